@@ -1,0 +1,26 @@
+"""Where intermediate tables are written."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A path of its own in the shared folder the session names.
+
+    The folder is ``spark.checkpoint.dir``, which every executor can reach. Only
+    a local session without it gets a temporary folder of this machine.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        context = spark.sparkContext
+        root = context.getCheckpointDir()
+        if root is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            root = tempfile.mkdtemp(prefix="tillscope-")
+            context.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
