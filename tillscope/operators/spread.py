@@ -1,12 +1,12 @@
 """Keeping joins and writes balanced when one value holds much of the data.
 
 A value with more rows than one task should take is divided into pieces, and its
-rows are dealt out over them in turn. Shuffling by (value, piece) then sends the
-value to as many tasks as it has pieces. No row is left out or seen twice: a join
+rows are dealt out over them. Shuffling by (value, piece) then sends the value to
+as many tasks as it has pieces. No row is left out or seen twice: a join
 repeats the dimension's rows of that value once per piece.
 
-Rows are dealt by their position in the scan, not by their content, so that even
-equal rows are divided. The position must be the same if a lost task is run
+Rows are dealt by a hash of their position in the scan, not of their content, so
+that even equal rows are divided. The position must be the same if a lost task is run
 again, so `divide` belongs directly on tables read from files.
 """
 
@@ -50,6 +50,13 @@ def hot_values(rows: DataFrame, column: str, rows_per_piece: int) -> DataFrame:
     )
 
 
+def count_pieces(rows: DataFrame, column: str, rows_per_piece: int) -> int:
+    """How many pieces all values of a column make, those of one piece included."""
+    pieces = F.sum(F.ceil(F.col("n") / rows_per_piece))
+    counts = rows.groupBy(column).agg(F.count("*").alias("n"))
+    return counts.agg(pieces.alias("pieces")).first()["pieces"] or 0
+
+
 def divide(
     rows: DataFrame, columns: Iterable[str], rows_per_piece: int = ROWS_PER_PIECE
 ) -> Divided:
@@ -61,7 +68,8 @@ def divide(
     divided = rows.withColumn("RowPosition", F.monotonically_increasing_id())
     for column, values in hot.items():
         values = values.withColumnRenamed(column, "HotValue")
-        piece = F.coalesce(F.col("RowPosition") % F.col("Pieces"), F.lit(0).cast("long"))
+        dealt = F.pmod(F.xxhash64("RowPosition"), F.col("Pieces"))
+        piece = F.coalesce(dealt, F.lit(0).cast("long"))
         kept = [*kept, piece_column(column)]
         # A null is a value too: rows without an hour can be many.
         divided = divided.join(

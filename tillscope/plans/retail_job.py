@@ -14,7 +14,7 @@ from tillscope.operators.insights import (
     top_sold_by_category,
     top_sold_by_channel,
 )
-from tillscope.operators.spread import ROWS_PER_PIECE
+from tillscope.operators.spread import ROWS_PER_PIECE, count_pieces
 from tillscope.plans.scratch import scratch_folder
 from tillscope.schemas import EVENT_LINE, KINDS
 from tillscope.sinks import (
@@ -70,15 +70,18 @@ def save_catalogues(
     lines = stage_lines(raw, staging_dir or scratch_folder(spark, "lines"))
     dimensions = size_dimensions(customers, products, broadcast_limit)
     paths = {kind: catalogue_path(output_dir, kind) for kind in KINDS}
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for kind, path in paths.items():
+        of_kind = lines.filter(F.col("Kind") == kind)
         catalogue = build_catalogue(
-            lines.filter(F.col("Kind") == kind),
+            of_kind,
             dimensions.customers,
             dimensions.products,
             divided=(*dimensions.shuffled, "Timestamp"),
             rows_per_piece=rows_per_piece,
         )
-        save_catalogue(catalogue, path)
+        hours = count_pieces(of_kind, "Timestamp", rows_per_piece)
+        save_catalogue(catalogue, path, partitions=max(tasks, hours))
     return paths
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillscope.operators.insights import area_hour_counts
 from tillscope.schemas import AREA_HOUR
+from tillscope.sinks.by_hour import gather_hours, many_files, session_setting
 
 _HOUR = "TimestampDateHr"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -27,35 +28,34 @@ def create_area_hour_table(
 def refresh_area_hour_table(catalogue: DataFrame, table: str) -> None:
     """Replace in ``table`` the hours that the catalogue covers, and no others."""
     spark = catalogue.sparkSession
-    counts = _by_hour(_int_counts(catalogue))
+    counts = gather_hours(_int_counts(catalogue), _HOUR)
     # insertInto heeds only the session's setting, not a write option.
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
+    with many_files(spark), session_setting(spark, _OVERWRITE_MODE, "dynamic"):
         counts.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
 
 
 def refresh_area_hour_path(catalogue: DataFrame, path: str) -> None:
     """The same for a table that is only a directory of Parquet files."""
-    (
-        _by_hour(_int_counts(catalogue))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(_HOUR)
-        .parquet(path)
-    )
+    counts = gather_hours(_int_counts(catalogue), _HOUR)
+    with many_files(catalogue.sparkSession):
+        (
+            counts.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(_HOUR)
+            .parquet(path)
+        )
 
 
 def save_area_hour_table(
     catalogue: DataFrame, table: str, path: str | None = None, mode: str = "error"
 ) -> None:
     """Create ``table`` from the counts, which stay bigint here."""
-    writer = _by_hour(area_hour_counts(catalogue)).write.mode(mode).partitionBy(_HOUR)
+    counts = gather_hours(area_hour_counts(catalogue), _HOUR)
+    writer = counts.write.mode(mode).partitionBy(_HOUR)
     if path:
         writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    with many_files(catalogue.sparkSession):
+        writer.saveAsTable(table)
 
 
 def _int_counts(catalogue: DataFrame) -> DataFrame:
@@ -67,6 +67,3 @@ def _int_counts(catalogue: DataFrame) -> DataFrame:
     )
     return area_hour_counts(catalogue).withColumn("Count", checked).select(*AREA_HOUR.names)
 
-
-def _by_hour(counts: DataFrame) -> DataFrame:
-    return counts.hint("rebalance", _HOUR)

@@ -6,24 +6,24 @@ from pyspark.sql import DataFrame
 
 from tillscope.operators.spread import piece_column
 from tillscope.schemas import CATALOGUE
+from tillscope.sinks.by_hour import gather_hours, many_files
 
 
-def save_catalogue(catalogue: DataFrame, path: str) -> None:
+def save_catalogue(catalogue: DataFrame, path: str, partitions: int | None = None) -> None:
     """Replace the catalogue at ``path``.
 
-    Rows are brought together by hour first, or each task would write a file for
-    each hour it meets. ``rebalance`` lets adaptive execution cut partitions that
-    come out large and merge small ones; hours known to be hot come already
-    divided, if `build_catalogue` was asked for that.
+    A catalogue that `build_catalogue` made with its hours divided is shuffled by
+    hour and piece, so that hot hours are spread by their measured size.
     """
     hour_piece = piece_column("Timestamp")
     by = ["Timestamp", hour_piece] if hour_piece in catalogue.columns else ["Timestamp"]
-    (
-        catalogue.hint("rebalance", *by)
-        .select(*CATALOGUE.names)
-        .write.mode("overwrite")
-        .option("header", True)
-        .option("sep", ",")
-        .partitionBy("Timestamp")
-        .csv(path)
-    )
+    with many_files(catalogue.sparkSession):
+        (
+            gather_hours(catalogue, *by, partitions=partitions)
+            .select(*CATALOGUE.names)
+            .write.mode("overwrite")
+            .option("header", True)
+            .option("sep", ",")
+            .partitionBy("Timestamp")
+            .csv(path)
+        )
