@@ -25,7 +25,11 @@ from tillscope.operators import (  # noqa: E402
     top_sold_by_channel,
 )
 from tillscope.plans.raw_files import basket_log, price_text, retail_tables  # noqa: E402
-from tillscope.plans.retail_job import save_catalogues  # noqa: E402
+from tillscope.plans.retail_job import (  # noqa: E402
+    plan_catalogue,
+    save_catalogues,
+    stage_lines,
+)
 from tillscope.plans.scratch import scratch_folder  # noqa: E402
 from tillscope.schemas import KINDS  # noqa: E402
 from tillscope.sinks import (  # noqa: E402
@@ -50,11 +54,7 @@ def _numeric(table: DataFrame, *columns: str) -> DataFrame:
 
 def _catalogue(spark: SparkSession, sf_dir: str, kind: str = "Purchase") -> DataFrame:
     tables = retail_tables(spark, sf_dir)
-    events = split_events(tables.events)[KINDS.index(kind)]
-    dimensions = tables.dimensions
-    return build_catalogue(
-        events, dimensions.customers, dimensions.products, dimensions.shuffled
-    )
+    return plan_catalogue(tables.events, kind, tables.dimensions)
 
 
 def _catalogue_query(kind: str) -> Query:
@@ -98,8 +98,9 @@ def basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def purchase_catalogue_divided(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The purchase catalogue by shuffle joins, with frequent keys in pieces."""
     tables = retail_tables(spark, sf_dir)
+    lines = stage_lines(tables.events, scratch_folder(spark, "lines"))
     catalogue = build_catalogue(
-        split_events(tables.events).purchases,
+        lines.filter(F.col("Kind") == "Purchase"),
         tables.customers,
         tables.products,
         divided=("CustomerId", "ProductId"),

@@ -1,0 +1,88 @@
+"""Saved catalogues of an earlier engine, where they are at hand.
+
+RETAIL_SAVED names the folder that holds the three catalogues, RETAIL_CUSTOMERS
+and RETAIL_PRODUCTS the CSV files they were made from.
+"""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from rows import bag
+
+from tillscope.operators import (
+    area_hour_counts,
+    build_catalogue,
+    sold_by_area_hour,
+    top_sold_by_category,
+    top_sold_by_channel,
+)
+from tillscope.plans.retail_job import catalogue_path
+from tillscope.schemas import CATALOGUE
+from tillscope.sinks import save_catalogue
+from tillscope.sources import load_catalogue, load_customers, load_products
+
+PATHS = [os.environ.get(f"RETAIL_{name}") for name in ("SAVED", "CUSTOMERS", "PRODUCTS")]
+
+pytestmark = pytest.mark.skipif(not all(PATHS), reason="no saved catalogues at hand")
+
+# Rows, then lines per channel, then rows that occur more than once.
+FIGURES = {
+    "Purchase": (868, {"Desk": 304, "Mobile": 315, "Tablet": 249}, 31),
+    "AddToCart": (300, {"Desk": 86, "Mobile": 101, "Tablet": 113}, 1),
+    "ProductView": (600, {"Desk": 199, "Mobile": 198, "Tablet": 203}, 2),
+}
+TOP_MOBILE = [("131_PId", 12), ("134_PId", 12), ("136_PId", 12), ("147_PId", 12), ("111_PId", 11)]
+TOP_ELECTRONICS = [
+    ("140_PId", 25),
+    ("141_PId", 19),
+    ("142_PId", 19),
+    ("147_PId", 17),
+    ("143_PId", 16),
+]
+
+
+def saved(spark, kind):
+    return load_catalogue(spark, catalogue_path(PATHS[0], kind))
+
+
+@pytest.mark.parametrize("kind", FIGURES)
+def test_figures(spark, kind):
+    rows, channels, repeated = FIGURES[kind]
+    catalogue = saved(spark, kind)
+    assert catalogue.count() == rows
+    assert dict(catalogue.groupBy("Channel").count().collect()) == channels
+    assert rows - catalogue.distinct().count() == repeated
+    assert catalogue.select("Timestamp").distinct().count() == 24
+    assert catalogue.select("CustomerId").distinct().count() == 30
+    assert catalogue.select("ProductId").distinct().count() == 50
+
+
+@pytest.mark.parametrize("kind", FIGURES)
+@pytest.mark.parametrize("divided", [(), ("CustomerId", "ProductId", "Timestamp")])
+def test_rebuilding_gives_the_saved_rows(spark, tmp_path, kind, divided):
+    catalogue = saved(spark, kind)
+    rebuilt = build_catalogue(
+        catalogue,
+        load_customers(spark, PATHS[1]),
+        load_products(spark, PATHS[2]),
+        divided,
+        rows_per_piece=10,
+    )
+    assert bag(rebuilt.select(*CATALOGUE.names)) == bag(catalogue.select(*CATALOGUE.names))
+    save_catalogue(rebuilt, str(tmp_path / "again"))
+    assert bag(load_catalogue(spark, str(tmp_path / "again"))) == bag(catalogue)
+
+
+def test_answers(spark):
+    purchases = saved(spark, "Purchase")
+    channel = top_sold_by_channel(purchases, "Mobile").collect()
+    assert [(r.ProductId, r.Count) for r in channel] == TOP_MOBILE
+    category = top_sold_by_category(purchases, "Electronics").collect()
+    assert [(r.ProductId, r.Count) for r in category] == TOP_ELECTRONICS
+    areas = sold_by_area_hour(purchases)
+    assert tuple(areas.first()) == ("Stevens Point", "WI", "054481", 11)
+    assert areas.count() == area_hour_counts(purchases).count() == 218
+    assert tuple(areas.agg(F.sum("Count"), F.min("Count"), F.max("Count")).first()) == (868, 2, 11)

@@ -1,3 +1,8 @@
-from tillscope.plans.retail_job import RetailReport, run_retail_job, save_catalogues
+from tillscope.plans.retail_job import (
+    RetailReport,
+    plan_catalogue,
+    run_retail_job,
+    save_catalogues,
+)
 
-__all__ = ["RetailReport", "run_retail_job", "save_catalogues"]
+__all__ = ["RetailReport", "plan_catalogue", "run_retail_job", "save_catalogues"]

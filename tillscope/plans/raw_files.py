@@ -21,7 +21,8 @@ BASKET_SIZE = 8
 # Which kind of event each type of the events table stands for.
 _KIND_TYPES = {"Purchase": "purchase", "AddToCart": "click", "ProductView": "view"}
 
-_ITEM_TYPE = RAW_EVENT["EventType"].dataType["Purchase"].dataType.elementType
+_KINDS_TYPE = RAW_EVENT["EventType"].dataType
+_ITEM_TYPE = _KINDS_TYPE["Purchase"].dataType.elementType
 
 
 class RetailTables(NamedTuple):
@@ -143,29 +144,31 @@ def basket_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     An order with more lines than that has several baskets, so that no group
     grows with the data.
     """
-    item = F.struct(
-        F.col("l_partkey").cast("string").alias("ProductId"),
-        F.col("l_extendedprice").cast("string").alias("Price"),
-        F.col("l_quantity").cast("long").alias("Quantity"),
-    ).cast(_ITEM_TYPE)
     basket = F.floor(F.monotonically_increasing_id() / BASKET_SIZE)
+    # Sorted by every column: rows that tie are equal, so a task that is run again
+    # puts the same items into the same baskets.
+    lines = (
+        _table(spark, sf_dir, "lineitem")
+        .select(
+            F.col("l_orderkey").cast("string").alias("CustomerId"),
+            F.col("l_partkey").cast("string").alias("ProductId"),
+            F.col("l_extendedprice").cast("string").alias("Price"),
+            F.col("l_quantity").cast("long").alias("Quantity"),
+        )
+        .sortWithinPartitions("CustomerId", *_ITEM_TYPE.names)
+        .select("CustomerId", F.struct(*_ITEM_TYPE.names).alias("item"), basket.alias("basket"))
+    )
     kinds = F.struct(
         F.col("items").alias("Purchase"),
-        F.lit(None).cast(RAW_EVENT["EventType"].dataType["AddToCart"].dataType).alias("AddToCart"),
-        F.lit(None)
-        .cast(RAW_EVENT["EventType"].dataType["ProductView"].dataType)
-        .alias("ProductView"),
+        F.lit(None).cast(_KINDS_TYPE["AddToCart"].dataType).alias("AddToCart"),
+        F.lit(None).cast(_KINDS_TYPE["ProductView"].dataType).alias("ProductView"),
     )
     return (
-        _table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", item.alias("item"))
-        .sortWithinPartitions("l_orderkey")
-        .withColumn("basket", basket)
-        .groupBy("l_orderkey", "basket")
+        lines.groupBy("CustomerId", "basket")
         .agg(F.collect_list("item").alias("items"))
         .select(
             F.lit(None).cast("string").alias("timestamp"),
-            F.col("l_orderkey").cast("string").alias("CustomerId"),
+            "CustomerId",
             F.lit(None).cast("string").alias("Source"),
             kinds.alias("EventType"),
         )

@@ -7,8 +7,13 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.operators.catalogue import BROADCAST_BYTES, build_catalogue, size_dimensions
-from tillscope.operators.events import event_lines
+from tillscope.operators.catalogue import (
+    BROADCAST_BYTES,
+    Dimensions,
+    build_catalogue,
+    size_dimensions,
+)
+from tillscope.operators.events import event_lines, split_events
 from tillscope.operators.insights import (
     sold_by_area_hour,
     top_sold_by_category,
@@ -52,6 +57,22 @@ def stage_lines(raw: DataFrame, folder: str) -> DataFrame:
     return raw.sparkSession.read.schema(EVENT_LINE).parquet(folder)
 
 
+def plan_catalogue(raw: DataFrame, kind: str, dimensions: Dimensions) -> DataFrame:
+    """The catalogue of one kind of event, unsaved.
+
+    Broadcast dimensions are joined in the pass that parses the log. Beyond that
+    size the hot keys have to be counted first, so the lines are staged.
+    """
+    if dimensions.shuffled:
+        lines = stage_lines(raw, scratch_folder(raw.sparkSession, "lines"))
+        events = lines.filter(F.col("Kind") == kind)
+    else:
+        events = split_events(raw)[KINDS.index(kind)]
+    return build_catalogue(
+        events, dimensions.customers, dimensions.products, dimensions.shuffled
+    )
+
+
 def save_catalogues(
     raw: DataFrame,
     customers: DataFrame,
