@@ -17,7 +17,9 @@ from tillscope.sinks import (
     refresh_area_hour_table,
     save_area_hour_table,
     save_catalogue,
+    save_divided_catalogue,
 )
+from tillscope.sinks.by_hour import session_settings
 from tillscope.sources import load_catalogue
 
 
@@ -58,12 +60,13 @@ def test_saving_leaves_the_session_as_it_was(spark, tmp_path):
     keys = (
         "spark.sql.adaptive.coalescePartitions.enabled",
         "spark.sql.sources.partitionOverwriteMode",
+        "hive.exec.dynamic.partition.mode",
     )
-    before = [spark.conf.get(key) for key in keys]
+    before = [spark.conf.get(key, None) for key in keys]
     save_catalogue(lines(spark, {"x": 1}), str(tmp_path / "saved"))
     with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
         refresh_area_hour_table(lines(spark, {"x": 1}), "no_such_table")
-    assert [spark.conf.get(key) for key in keys] == before
+    assert [spark.conf.get(key, None) for key in keys] == before
 
 
 def test_hot_hour_is_written_by_several_tasks(spark, tmp_path, raw_paths, customers, products):
@@ -76,12 +79,33 @@ def test_hot_hour_is_written_by_several_tasks(spark, tmp_path, raw_paths, custom
         spark.read.parquet(source), customers, products, divided=("Timestamp",), rows_per_piece=50
     )
     path = str(tmp_path / "saved")
-    save_catalogue(catalogue, path, partitions=16)
+    save_divided_catalogue(catalogue, path, pieces=11)
     assert load_catalogue(spark, path).count() == 350
     assert len(glob.glob(f"{path}/Timestamp=h-0/part-*.csv")) > 1
     assert len(glob.glob(f"{path}/Timestamp=h-3/part-*.csv")) == 1
 
 
+def test_large_hour_of_unknown_size_is_cut(spark, tmp_path):
+    catalogue = spark.range(40_000, numPartitions=4).select(
+        *(F.concat(F.lit("v"), F.hash("id")).alias(name) for name in CATALOGUE.names)
+    )
+    hour = F.when(F.rand(1) < 0.9, "hot").otherwise("cold")
+    catalogue = catalogue.withColumn("Timestamp", hour)
+    path = str(tmp_path / "saved")
+    with session_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k"}):
+        save_catalogue(catalogue, path)
+    assert load_catalogue(spark, path).count() == 40_000
+    assert len(glob.glob(f"{path}/Timestamp=hot/part-*.csv")) > 1
+
+
+def test_saving_replaces_all_hours_in_any_overwrite_mode(spark, tmp_path):
+    path = str(tmp_path / "saved")
+    save_catalogue(lines(spark, {"a": 1}), path)
+    with session_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        save_catalogue(lines(spark, {"b": 1}), path)
+    assert [row.Timestamp for row in load_catalogue(spark, path).collect()] == ["b"]
+
+
 @pytest.mark.parametrize(("limit", "rows_per_piece"), [(10**9, 10**6), (0, 1)])
 def test_save_catalogues(spark, tmp_path, raw_events, customers, products, limit, rows_per_piece):
     paths = save_catalogues(

@@ -68,8 +68,8 @@ def build_catalogue(
 
     ``divided`` names keys whose hot values are dealt out over several tasks; it
     needs events that come straight from files (see `spread`). With ``Timestamp``
-    among them the catalogue keeps a column by which `save_catalogue` divides the
-    hot hours.
+    among them the catalogue keeps the piece of its hour, for
+    `save_divided_catalogue`.
     """
     divided = tuple(divided)
     lines, hot = divide(

@@ -25,7 +25,7 @@ from tillscope.schemas import EVENT_LINE, KINDS
 from tillscope.sinks import (
     create_area_hour_table,
     refresh_area_hour_table,
-    save_catalogue,
+    save_divided_catalogue,
 )
 from tillscope.sources import (
     load_catalogue,
@@ -91,7 +91,6 @@ def save_catalogues(
     lines = stage_lines(raw, staging_dir or scratch_folder(spark, "lines"))
     dimensions = size_dimensions(customers, products, broadcast_limit)
     paths = {kind: catalogue_path(output_dir, kind) for kind in KINDS}
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for kind, path in paths.items():
         of_kind = lines.filter(F.col("Kind") == kind)
         catalogue = build_catalogue(
@@ -101,8 +100,8 @@ def save_catalogues(
             divided=(*dimensions.shuffled, "Timestamp"),
             rows_per_piece=rows_per_piece,
         )
-        hours = count_pieces(of_kind, "Timestamp", rows_per_piece)
-        save_catalogue(catalogue, path, partitions=max(tasks, hours))
+        pieces = count_pieces(of_kind, "Timestamp", rows_per_piece)
+        save_divided_catalogue(catalogue, path, pieces)
     return paths
 
 

@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 from tillscope.operators.insights import area_hour_counts
 from tillscope.schemas import AREA_HOUR
-from tillscope.sinks.by_hour import gather_hours, many_files, session_setting
+from tillscope.sinks.by_hour import in_even_tasks, session_settings
 
 _HOUR = "TimestampDateHr"
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+# The first is for a table of Spark's own formats, the others for a Hive table.
+_DYNAMIC_OVERWRITE = {
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "hive.exec.dynamic.partition": "true",
+    "hive.exec.dynamic.partition.mode": "nonstrict",
+}
 
 
 def create_area_hour_table(
@@ -27,35 +33,36 @@ def create_area_hour_table(
 
 def refresh_area_hour_table(catalogue: DataFrame, table: str) -> None:
     """Replace in ``table`` the hours that the catalogue covers, and no others."""
-    spark = catalogue.sparkSession
-    counts = gather_hours(_int_counts(catalogue), _HOUR)
-    # insertInto heeds only the session's setting, not a write option.
-    with many_files(spark), session_setting(spark, _OVERWRITE_MODE, "dynamic"):
+    counts = _by_hour(_int_counts(catalogue))
+    # insertInto heeds only the session's settings, not a write option.
+    with session_settings(catalogue.sparkSession, _DYNAMIC_OVERWRITE):
         counts.write.insertInto(table, overwrite=True)
 
 
 def refresh_area_hour_path(catalogue: DataFrame, path: str) -> None:
     """The same for a table that is only a directory of Parquet files."""
-    counts = gather_hours(_int_counts(catalogue), _HOUR)
-    with many_files(catalogue.sparkSession):
-        (
-            counts.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(_HOUR)
-            .parquet(path)
-        )
+    (
+        _by_hour(_int_counts(catalogue))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(_HOUR)
+        .parquet(path)
+    )
 
 
 def save_area_hour_table(
     catalogue: DataFrame, table: str, path: str | None = None, mode: str = "error"
 ) -> None:
     """Create ``table`` from the counts, which stay bigint here."""
-    counts = gather_hours(area_hour_counts(catalogue), _HOUR)
-    writer = counts.write.mode(mode).partitionBy(_HOUR)
+    writer = _by_hour(area_hour_counts(catalogue)).write.mode(mode).partitionBy(_HOUR)
     if path:
         writer = writer.option("path", path)
-    with many_files(catalogue.sparkSession):
-        writer.saveAsTable(table)
+    writer.saveAsTable(table)
+
+
+def _by_hour(counts: DataFrame) -> DataFrame:
+    # Counted already, so an hour has no more rows than there are areas.
+    return in_even_tasks(counts, _HOUR)
 
 
 def _int_counts(catalogue: DataFrame) -> DataFrame:

@@ -1,4 +1,7 @@
-"""How rows are brought together before a write with one directory per hour."""
+"""How rows are brought together before a write with one directory per hour.
+
+Without a shuffle by hour each task would write a file for each hour it meets.
+"""
 
 from __future__ import annotations
 
@@ -7,34 +10,48 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
+# More reducers than this cost the driver more than they save a task.
+MOST_TASKS = 20_000
+
 
-def gather_hours(table: DataFrame, *columns: str, partitions: int | None = None) -> DataFrame:
-    """Shuffle by the hour, or each task would write a file for each hour it meets.
+def shuffle_tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    ``rebalance`` lets adaptive execution cut partitions that come out large, so
-    one hour with much of the data is written by many tasks.
+
+def in_even_tasks(table: DataFrame, *columns: str, pieces: int = 0) -> DataFrame:
+    """Shuffle groups that are known to be small enough for a task each.
+
+    A fixed number of tasks, which adaptive execution leaves alone: merging tasks
+    that hold little data would save no file and leave few to create them all.
     """
-    sizing = [partitions] if partitions else []
-    return table.hint("rebalance", *sizing, *columns)
+    tasks = max(shuffle_tasks(table.sparkSession), min(pieces, MOST_TASKS))
+    return table.repartition(tasks, *columns)
 
 
 @contextmanager
-def many_files(spark: SparkSession) -> Iterator[None]:
-    """Settings for a write whose cost is the number of files, not their size.
+def cutting_large_tasks(table: DataFrame, *columns: str) -> Iterator[DataFrame]:
+    """Shuffle groups of unknown size for the write in the body of ``with``.
 
-    Merging small shuffle partitions saves no file here, since an hour is whole
-    in its partition anyway, and would leave few tasks to create all the files.
+    Adaptive execution cuts partitions that come out large, so an hour with much
+    of the data is written by many tasks, but merges none (see `in_even_tasks`).
     """
-    with session_setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
-        yield
+    with session_settings(table.sparkSession, {_COALESCE: "false"}):
+        yield table.hint("rebalance", *columns)
 
 
 @contextmanager
-def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """Set a session setting for the duration of one write."""
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Set session settings for the duration of one write."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -6,24 +6,31 @@ from pyspark.sql import DataFrame
 
 from tillscope.operators.spread import piece_column
 from tillscope.schemas import CATALOGUE
-from tillscope.sinks.by_hour import gather_hours, many_files
+from tillscope.sinks.by_hour import cutting_large_tasks, in_even_tasks
 
 
-def save_catalogue(catalogue: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Replace the catalogue at ``path``.
+def save_catalogue(catalogue: DataFrame, path: str) -> None:
+    """Replace the catalogue at ``path``, whatever hours it had."""
+    with cutting_large_tasks(catalogue, "Timestamp") as gathered:
+        _write(gathered, path)
 
-    A catalogue that `build_catalogue` made with its hours divided is shuffled by
-    hour and piece, so that hot hours are spread by their measured size.
+
+def save_divided_catalogue(catalogue: DataFrame, path: str, pieces: int) -> None:
+    """The same for a catalogue whose hot hours `build_catalogue` has divided.
+
+    Writes one file per hour and piece; ``pieces`` is their number.
     """
-    hour_piece = piece_column("Timestamp")
-    by = ["Timestamp", hour_piece] if hour_piece in catalogue.columns else ["Timestamp"]
-    with many_files(catalogue.sparkSession):
-        (
-            gather_hours(catalogue, *by, partitions=partitions)
-            .select(*CATALOGUE.names)
-            .write.mode("overwrite")
-            .option("header", True)
-            .option("sep", ",")
-            .partitionBy("Timestamp")
-            .csv(path)
-        )
+    by = ("Timestamp", piece_column("Timestamp"))
+    _write(in_even_tasks(catalogue, *by, pieces=pieces), path)
+
+
+def _write(catalogue: DataFrame, path: str) -> None:
+    (
+        catalogue.select(*CATALOGUE.names)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .option("header", True)
+        .option("sep", ",")
+        .partitionBy("Timestamp")
+        .csv(path)
+    )
