@@ -15,12 +15,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillscope.functions import parse_price  # noqa: E402
 from tillscope.operators import (  # noqa: E402
+    area_hour_counts,
     build_catalogue,
     customers_by_zip,
     customers_per_state,
+    events_of_kind,
     products_per_category,
     sold_by_area_hour,
-    split_events,
     top_sold_by_category,
     top_sold_by_channel,
 )
@@ -31,7 +32,6 @@ from tillscope.plans.retail_job import (  # noqa: E402
     stage_lines,
 )
 from tillscope.plans.scratch import scratch_folder  # noqa: E402
-from tillscope.schemas import KINDS  # noqa: E402
 from tillscope.sinks import (  # noqa: E402
     create_area_hour_table,
     refresh_area_hour_path,
@@ -65,7 +65,7 @@ def _catalogue_query(kind: str) -> Query:
 
 def _events_query(kind: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        events = split_events(retail_tables(spark, sf_dir).events)[KINDS.index(kind)]
+        events = events_of_kind(retail_tables(spark, sf_dir).events, kind)
         events = _numeric(events, "CustomerId", "ProductId")
         return events.withColumn("Price", F.col("Price").cast("double"))
 
@@ -86,7 +86,7 @@ def price_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = split_events(basket_log(spark, sf_dir)).purchases
+    items = events_of_kind(basket_log(spark, sf_dir), "Purchase")
     return _numeric(items, "CustomerId", "ProductId").select(
         F.col("CustomerId").alias("l_orderkey"),
         "ProductId",
@@ -140,22 +140,21 @@ def saved_catalogue_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def area_hour_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "area-hour")
-    refresh_area_hour_path(_catalogue(spark, sf_dir), path)
+    refresh_area_hour_path(area_hour_counts(_catalogue(spark, sf_dir)), path)
     return spark.read.parquet(path)
 
 
 def area_hour_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"area_hour_{uuid.uuid4().hex}"
     create_area_hour_table(spark, table, scratch_folder(spark, "area-hour"))
-    refresh_area_hour_table(_catalogue(spark, sf_dir), table)
+    refresh_area_hour_table(area_hour_counts(_catalogue(spark, sf_dir)), table)
     return spark.table(table)
 
 
 def area_hour_saved_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"area_hour_saved_{uuid.uuid4().hex}"
-    save_area_hour_table(
-        _catalogue(spark, sf_dir), table, path=scratch_folder(spark, "area-hour")
-    )
+    counts = area_hour_counts(_catalogue(spark, sf_dir))
+    save_area_hour_table(counts, table, path=scratch_folder(spark, "area-hour"))
     return spark.table(table)
 
 

@@ -6,6 +6,7 @@ from rows import bag
 from tillscope.operators import (
     customers_by_zip,
     customers_per_state,
+    product_counts,
     products_per_category,
     sold_by_area_hour,
     top_sold_by_category,
@@ -50,6 +51,12 @@ def test_top_by_category(catalogue):
     ]
 
 
+def test_counts_of_products_answer_the_same(catalogue):
+    counts = product_counts(catalogue)
+    for question, value in ((top_sold_by_channel, "Mobile"), (top_sold_by_category, "Pets")):
+        assert question(counts, value).collect() == question(catalogue, value).collect()
+
+
 def test_by_area_and_hour(catalogue):
     result = sold_by_area_hour(catalogue)
     assert result.columns == ["City", "State", "Zipcode", "Count"]

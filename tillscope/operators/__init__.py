@@ -1,10 +1,12 @@
 from tillscope.operators.catalogue import build_catalogue
-from tillscope.operators.events import EventTables, event_lines, split_events
+from tillscope.operators.events import EventTables, event_lines, events_of_kind, split_events
 from tillscope.operators.insights import (
     area_hour_counts,
     customers_by_zip,
     customers_per_state,
+    product_counts,
     products_per_category,
+    rank_areas,
     sold_by_area_hour,
     top_sold_by_category,
     top_sold_by_channel,
@@ -17,7 +19,10 @@ __all__ = [
     "customers_by_zip",
     "customers_per_state",
     "event_lines",
+    "events_of_kind",
+    "product_counts",
     "products_per_category",
+    "rank_areas",
     "sold_by_area_hour",
     "split_events",
     "top_sold_by_category",

@@ -23,21 +23,21 @@ def split_events(raw: DataFrame) -> EventTables:
     The split is not exclusive: a record that carries two kinds of event is in
     two tables. A record without a kind, or with an empty basket, is in none.
     """
-    return EventTables(_purchases(raw), _single(raw, "AddToCart"), _single(raw, "ProductView"))
+    return EventTables(*(events_of_kind(raw, kind) for kind in KINDS))
 
 
-def _purchases(raw: DataFrame) -> DataFrame:
-    items = raw.filter(F.col("EventType.Purchase").isNotNull()).select(
-        "timestamp", "CustomerId", "Source", F.explode("EventType.Purchase").alias("item")
+def events_of_kind(raw: DataFrame, kind: str) -> DataFrame:
+    """The cleaned table of one kind of event."""
+    member = f"EventType.{kind}"
+    rows = raw.filter(F.col(member).isNotNull())
+    if kind != "Purchase":
+        return _clean(rows, member, EVENT.names)
+    items = rows.select(
+        "timestamp", "CustomerId", "Source", F.explode(member).alias("item")
     )
     return _clean(items, "item", PURCHASE.names)
 
 
-def _single(raw: DataFrame, kind: str) -> DataFrame:
-    member = f"EventType.{kind}"
-    return _clean(raw.filter(F.col(member).isNotNull()), member, EVENT.names)
-
-
 def _clean(rows: DataFrame, item: str, names: list[str]) -> DataFrame:
     cleaned = {
         "Timestamp": hour_bucket(F.col("timestamp")),

@@ -10,24 +10,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def top_sold_by_channel(catalogue: DataFrame, channel: str = "Mobile", n: int = 5) -> DataFrame:
-    """The n products with the most sold basket lines in a channel."""
-    return _top_sold(catalogue, "Channel", channel, n)
+def product_counts(catalogue: DataFrame) -> DataFrame:
+    """Sold basket lines per product, category and channel.
+
+    Enough to answer both `top_sold_by_channel` and `top_sold_by_category` after
+    one pass over the catalogue.
+    """
+    return catalogue.groupBy("ProductId", "Product", "Category", "Channel").agg(
+        F.count("*").alias("Count")
+    )
+
+
+def top_sold_by_channel(sold: DataFrame, channel: str = "Mobile", n: int = 5) -> DataFrame:
+    """The n products with the most sold basket lines in a channel.
+
+    ``sold`` is a catalogue or its `product_counts`.
+    """
+    return _top_sold(sold, "Channel", channel, n)
 
 
-def top_sold_by_category(
-    catalogue: DataFrame, category: str = "Electronics", n: int = 5
-) -> DataFrame:
-    """The n products with the most sold basket lines in a category."""
-    return _top_sold(catalogue, "Category", category, n)
+def top_sold_by_category(sold: DataFrame, category: str = "Electronics", n: int = 5) -> DataFrame:
+    """The n products with the most sold basket lines in a category.
+
+    ``sold`` is a catalogue or its `product_counts`.
+    """
+    return _top_sold(sold, "Category", category, n)
 
 
-def _top_sold(catalogue: DataFrame, column: str, value: str, n: int) -> DataFrame:
+def _top_sold(sold: DataFrame, column: str, value: str, n: int) -> DataFrame:
+    lines = F.sum("Count") if "Count" in sold.columns else F.count("*")
     # Ties on the count are broken by ProductId, so the cut is always the same.
     return (
-        catalogue.filter(F.col(column) == value)
+        sold.filter(F.col(column) == value)
         .groupBy("ProductId", "Product", column)
-        .agg(F.count("*").alias("Count"))
+        .agg(lines.alias("Count"))
         .orderBy(F.desc("Count"), "ProductId", "Product")
         .limit(n)
     )
@@ -48,16 +64,19 @@ def area_hour_counts(catalogue: DataFrame) -> DataFrame:
 
 
 def sold_by_area_hour(catalogue: DataFrame) -> DataFrame:
-    """Sold basket lines, one row per area and hour, largest first.
+    """Sold basket lines, one row per area and hour, largest first."""
+    return rank_areas(area_hour_counts(catalogue))
+
+
+def rank_areas(counts: DataFrame) -> DataFrame:
+    """The counts of `area_hour_counts`, largest first, without their hour.
 
     The hour groups and breaks ties but is not shown. Sorting by more than the
     count also lets the range shuffle split the many groups of equal count.
     """
-    return (
-        area_hour_counts(catalogue)
-        .orderBy(F.desc("Count"), "City", "State", "Zipcode", "TimestampDateHr")
-        .drop("TimestampDateHr")
-    )
+    return counts.orderBy(
+        F.desc("Count"), "City", "State", "Zipcode", "TimestampDateHr"
+    ).drop("TimestampDateHr")
 
 
 def customers_by_zip(customers: DataFrame, zip_code: str) -> DataFrame:

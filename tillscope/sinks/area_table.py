@@ -1,11 +1,13 @@
-"""The table of sold lines per area and hour, replaced hour by hour."""
+"""The table of sold lines per area and hour, replaced hour by hour.
+
+Each function takes the counts that `area_hour_counts` makes from a catalogue.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.operators.insights import area_hour_counts
 from tillscope.schemas import AREA_HOUR
 from tillscope.sinks.by_hour import in_even_tasks, session_settings
 
@@ -31,18 +33,17 @@ def create_area_hour_table(
     )
 
 
-def refresh_area_hour_table(catalogue: DataFrame, table: str) -> None:
-    """Replace in ``table`` the hours that the catalogue covers, and no others."""
-    counts = _by_hour(_int_counts(catalogue))
+def refresh_area_hour_table(counts: DataFrame, table: str) -> None:
+    """Replace in ``table`` the hours that the counts cover, and no others."""
     # insertInto heeds only the session's settings, not a write option.
-    with session_settings(catalogue.sparkSession, _DYNAMIC_OVERWRITE):
-        counts.write.insertInto(table, overwrite=True)
+    with session_settings(counts.sparkSession, _DYNAMIC_OVERWRITE):
+        _by_hour(_int_counts(counts)).write.insertInto(table, overwrite=True)
 
 
-def refresh_area_hour_path(catalogue: DataFrame, path: str) -> None:
+def refresh_area_hour_path(counts: DataFrame, path: str) -> None:
     """The same for a table that is only a directory of Parquet files."""
     (
-        _by_hour(_int_counts(catalogue))
+        _by_hour(_int_counts(counts))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(_HOUR)
@@ -51,10 +52,10 @@ def refresh_area_hour_path(catalogue: DataFrame, path: str) -> None:
 
 
 def save_area_hour_table(
-    catalogue: DataFrame, table: str, path: str | None = None, mode: str = "error"
+    counts: DataFrame, table: str, path: str | None = None, mode: str = "error"
 ) -> None:
     """Create ``table`` from the counts, which stay bigint here."""
-    writer = _by_hour(area_hour_counts(catalogue)).write.mode(mode).partitionBy(_HOUR)
+    writer = _by_hour(counts).write.mode(mode).partitionBy(_HOUR)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
@@ -65,12 +66,12 @@ def _by_hour(counts: DataFrame) -> DataFrame:
     return in_even_tasks(counts, _HOUR)
 
 
-def _int_counts(catalogue: DataFrame) -> DataFrame:
+def _int_counts(counts: DataFrame) -> DataFrame:
     # The insert goes by position, so the order of the columns matters. A count
     # over the int range stops the job, whether or not ANSI mode is on.
     count = F.col("Count")
     checked = F.when(count <= 2**31 - 1, count.cast("int")).otherwise(
         F.raise_error(F.concat(F.lit("count does not fit an int: "), count.cast("string")))
     )
-    return area_hour_counts(catalogue).withColumn("Count", checked).select(*AREA_HOUR.names)
+    return counts.withColumn("Count", checked).select(*AREA_HOUR.names)
 
