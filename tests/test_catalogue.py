@@ -8,6 +8,7 @@ from tillscope.operators import build_catalogue, spread, split_events
 from tillscope.operators.catalogue import size_dimensions
 from tillscope.operators.spread import count_pieces, divide, hot_values
 from tillscope.schemas import CATALOGUE
+from tillscope.sinks.by_hour import session_settings
 
 
 def test_catalogue(raw_events, customers, products):
@@ -95,23 +96,25 @@ def plan_of(table):
     return table._jdf.queryExecution().executedPlan().toString()
 
 
+def test_dividing_again_deals_the_same(skewed):
+    first, second = (divide(skewed, ("CustomerId",), rows_per_piece=50).rows for _ in range(2))
+    assert bag(first) == bag(second)
+
+
 def test_dimensions_are_broadcast_only_below_the_limit(skewed, customers, products, spark):
     small = size_dimensions(customers, products)
-    assert small.shuffled == ()
-    plan = plan_of(build_catalogue(skewed, small.customers, small.products, small.shuffled))
-    assert plan.count("BroadcastHashJoin") == 2
-    assert "Exchange hashpartitioning" not in plan
-
     large = size_dimensions(customers, products, limit=0)
+    assert small.shuffled == ()
     assert large.shuffled == ("CustomerId", "ProductId")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = plan_of(
-            build_catalogue(skewed, large.customers, large.products, large.shuffled)
+
+    # Without Spark's own choice, only what was measured and marked is broadcast.
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        broadcast, shuffled = (
+            plan_of(build_catalogue(skewed, d.customers, d.products, d.shuffled))
+            for d in (small, large)
         )
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    # Both joins shuffle by key and piece; only hot values are broadcast.
-    assert plan.count("SortMergeJoin") == 2
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert broadcast.count("BroadcastHashJoin") == 2
+    assert "Exchange hashpartitioning" not in broadcast
+    assert shuffled.count("SortMergeJoin") == 2
+    assert "CustomerIdPiece" in shuffled and "ProductIdPiece" in shuffled
+    assert "CartesianProduct" not in shuffled and "NestedLoop" not in shuffled

@@ -10,6 +10,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from tillscope.plans import run_retail_job
+from tillscope.plans.raw_files import write_raw_files
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -42,6 +44,39 @@ def test_query_equals_oracle(spark, duck, name):
     assert got[1], "an empty result proves nothing"
 
 
+def test_whole_job_equals_oracle(spark, duck, tmp_path):
+    raw = str(tmp_path / "raw")
+    write_raw_files(spark, SF_DIR, raw)
+    report = run_retail_job(
+        spark,
+        f"{raw}/customers",
+        f"{raw}/products",
+        f"{raw}/events",
+        str(tmp_path / "out"),
+        area_table="whole_job_areas",
+        category=driver.CATEGORY,
+    )
+    # Ids are text in the files, so ties in the lists are cut in the order of text.
+    lists = {"Channel": (report.top_by_channel, "Mobile")}
+    lists["Category"] = (report.top_by_category, driver.CATEGORY)
+    for column, (result, value) in lists.items():
+        expected = duck.sql(
+            driver._TABLES
+            + f"SELECT CAST(ProductId AS VARCHAR) AS id, Product, {column}, COUNT(*) AS n "
+            f"FROM sold WHERE {column} = '{value}' GROUP BY ALL ORDER BY n DESC, id LIMIT 5"
+        )
+        assert list(map(tuple, result.collect())) == expected.fetchall()
+    for result, name in (
+        (report.purchase_catalogue, "catalogue_roundtrip"),
+        (report.by_area_hour, "sold_by_area_hour"),
+        (spark.table("whole_job_areas"), "area_hour_table"),
+    ):
+        relation = duck.sql(driver.oracle_sql()[name])
+        got = _by_name(result.columns, map(tuple, result.collect()))
+        assert got == _by_name(relation.columns, relation.fetchall())
+    spark.sql("DROP TABLE whole_job_areas")
+
+
 def test_entry(spark):
     rows = driver.entry(spark).collect()
     assert len(rows) == 5

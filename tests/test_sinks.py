@@ -56,6 +56,15 @@ def test_save_and_load(spark, tmp_path):
     assert load_catalogue(spark, path).count() == 1
 
 
+def test_awkward_text_survives_saving(spark, tmp_path):
+    texts = ['a,b', '"', 'say "hi", ok', "back\\slash", 'end\\', ',\\', '\\",', "ünï", "=1+1", "'"]
+    rows = [("c", f"p{i}", "h", text, "S", "z", text, text, "s", "Desk") for i, text in enumerate(texts)]
+    catalogue = spark.createDataFrame(rows, CATALOGUE)
+    path = str(tmp_path / "saved")
+    save_catalogue(catalogue, path)
+    assert bag(load_catalogue(spark, path).select(*CATALOGUE.names)) == bag(catalogue)
+
+
 def test_saving_leaves_the_session_as_it_was(spark, tmp_path):
     keys = (
         "spark.sql.adaptive.coalescePartitions.enabled",

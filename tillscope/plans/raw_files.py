@@ -22,7 +22,6 @@ BASKET_SIZE = 8
 _KIND_TYPES = {"Purchase": "purchase", "AddToCart": "click", "ProductView": "view"}
 
 _KINDS_TYPE = RAW_EVENT["EventType"].dataType
-_ITEM_TYPE = _KINDS_TYPE["Purchase"].dataType.elementType
 
 
 class RetailTables(NamedTuple):
@@ -145,18 +144,19 @@ def basket_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     grows with the data.
     """
     basket = F.floor(F.monotonically_increasing_id() / BASKET_SIZE)
+    item = F.struct(
+        F.col("l_partkey").cast("string").alias("ProductId"),
+        F.col("l_extendedprice").cast("string").alias("Price"),
+        F.col("l_quantity").cast("long").alias("Quantity"),
+    )
     # Sorted by every column: rows that tie are equal, so a task that is run again
     # puts the same items into the same baskets.
+    columns = ("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity")
     lines = (
         _table(spark, sf_dir, "lineitem")
-        .select(
-            F.col("l_orderkey").cast("string").alias("CustomerId"),
-            F.col("l_partkey").cast("string").alias("ProductId"),
-            F.col("l_extendedprice").cast("string").alias("Price"),
-            F.col("l_quantity").cast("long").alias("Quantity"),
-        )
-        .sortWithinPartitions("CustomerId", *_ITEM_TYPE.names)
-        .select("CustomerId", F.struct(*_ITEM_TYPE.names).alias("item"), basket.alias("basket"))
+        .select(*columns)
+        .sortWithinPartitions(*columns)
+        .select("l_orderkey", basket.alias("basket"), item.alias("item"))
     )
     kinds = F.struct(
         F.col("items").alias("Purchase"),
@@ -164,11 +164,11 @@ def basket_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast(_KINDS_TYPE["ProductView"].dataType).alias("ProductView"),
     )
     return (
-        lines.groupBy("CustomerId", "basket")
+        lines.groupBy("l_orderkey", "basket")
         .agg(F.collect_list("item").alias("items"))
         .select(
             F.lit(None).cast("string").alias("timestamp"),
-            "CustomerId",
+            F.col("l_orderkey").cast("string").alias("CustomerId"),
             F.lit(None).cast("string").alias("Source"),
             kinds.alias("EventType"),
         )
