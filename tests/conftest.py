@@ -28,14 +28,24 @@ def spark(tmp_path_factory):
 
 
 # A record of two kinds, an empty basket and, on purpose, a malformed last line.
-EVENT_LOG = """\
-{"timestamp":"20-06-2019 0:05:10","CustomerId":"c1","Source":"desktop","EventType":{"Purchase":[{"ProductId":"p1","Price":"10.5$","Quantity":2},{"ProductId":"p2","Price":"abc","Quantity":1}]}}
-{"timestamp":"20-06-2019 1:05:10","CustomerId":"c2","Source":"tablet-app","EventType":{"AddToCart":{"ProductId":"p1","Price":"$7"}}}
-{"timestamp":"20-06-2019 1:05:10","CustomerId":"c3","Source":"Desktop","EventType":{"ProductView":{"ProductId":"p1","Price":"7 $"}}}
-{"timestamp":"20-06-2019 2:05:10","CustomerId":"c3","Source":"m","EventType":{"Purchase":[]}}
-{"timestamp":"20-06-2019 2:05:10","CustomerId":"c9","Source":"m","EventType":{"Purchase":[{"ProductId":"p9","Price":"1","Quantity":3}],"AddToCart":{"ProductId":"p1","Price":"1"}}}
-{bad json
-"""
+EVENT_LOG = "".join(
+    f"{line}\n"
+    for line in (
+        '{"timestamp":"20-06-2019 0:05:10","CustomerId":"c1","Source":"desktop",'
+        '"EventType":{"Purchase":[{"ProductId":"p1","Price":"10.5$","Quantity":2},'
+        '{"ProductId":"p2","Price":"abc","Quantity":1}]}}',
+        '{"timestamp":"20-06-2019 1:05:10","CustomerId":"c2","Source":"tablet-app",'
+        '"EventType":{"AddToCart":{"ProductId":"p1","Price":"$7"}}}',
+        '{"timestamp":"20-06-2019 1:05:10","CustomerId":"c3","Source":"Desktop",'
+        '"EventType":{"ProductView":{"ProductId":"p1","Price":"7 $"}}}',
+        '{"timestamp":"20-06-2019 2:05:10","CustomerId":"c3","Source":"m",'
+        '"EventType":{"Purchase":[]}}',
+        '{"timestamp":"20-06-2019 2:05:10","CustomerId":"c9","Source":"m",'
+        '"EventType":{"Purchase":[{"ProductId":"p9","Price":"1","Quantity":3}],'
+        '"AddToCart":{"ProductId":"p1","Price":"1"}}}',
+        "{bad json",
+    )
+)
 
 CUSTOMERS = """\
 CustomerId,First_Name,Last_Name,City,Country,State,Zip

@@ -15,9 +15,10 @@ def test_catalogue(raw_events, customers, products):
     purchases, carts, views = split_events(raw_events)
     catalogue = build_catalogue(purchases, customers, products)
     assert catalogue.schema.simpleString() == CATALOGUE.simpleString()
+    place = ("20-06-2019-0", "Aville", "AA", "008014")
     assert bag(catalogue) == {
-        ("c1", "p1", "20-06-2019-0", "Aville", "AA", "008014", "Cat Bed", "Pets", "Cats", "Desk"): 1,
-        ("c1", "p2", "20-06-2019-0", "Aville", "AA", "008014", "Cable, 2 m", "Electronics", "Cables", "Desk"): 1,
+        ("c1", "p1", *place, "Cat Bed", "Pets", "Cats", "Desk"): 1,
+        ("c1", "p2", *place, "Cable, 2 m", "Electronics", "Cables", "Desk"): 1,
     }
     assert [r.CustomerId for r in build_catalogue(carts, customers, products).collect()] == ["c2"]
     assert [r.CustomerId for r in build_catalogue(views, customers, products).collect()] == ["c3"]
@@ -33,7 +34,10 @@ def test_unmatched_null_and_repeated_keys(spark, customers, products):
 
 
 def test_ids_need_not_be_text(spark, customers, products):
-    events = spark.createDataFrame([(1, 2, "d-1", "Desk")], "CustomerId long, ProductId long, Timestamp string, Channel string")
+    events = spark.createDataFrame(
+        [(1, 2, "d-1", "Desk")],
+        "CustomerId long, ProductId long, Timestamp string, Channel string",
+    )
     customers = customers.limit(1).withColumn("CustomerId", F.lit(1).cast("long"))
     products = products.limit(1).withColumn("ProductId", F.lit(2).cast("long"))
     row = build_catalogue(events, customers, products).first()
@@ -48,7 +52,9 @@ def skewed(spark, tmp_path_factory):
     copy = n % 3 == 0
     spark.range(2000).select(
         F.when(copy, "c1").otherwise(F.concat(F.lit("c"), n % 5)).alias("CustomerId"),
-        F.when(copy | (n % 2 == 0), "p1").when(n % 7 > 0, F.concat(F.lit("p"), n % 4)).alias("ProductId"),
+        F.when(copy | (n % 2 == 0), "p1")
+        .when(n % 7 > 0, F.concat(F.lit("p"), n % 4))
+        .alias("ProductId"),
         F.when(copy, "d-1").when(n % 11 > 0, F.concat(F.lit("d-"), n % 24)).alias("Timestamp"),
         F.when(copy, "Desk").otherwise("Mobile").alias("Channel"),
     ).write.parquet(path)

@@ -57,8 +57,11 @@ def test_save_and_load(spark, tmp_path):
 
 
 def test_awkward_text_survives_saving(spark, tmp_path):
-    texts = ['a,b', '"', 'say "hi", ok', "back\\slash", 'end\\', ',\\', '\\",', "ünï", "=1+1", "'"]
-    rows = [("c", f"p{i}", "h", text, "S", "z", text, text, "s", "Desk") for i, text in enumerate(texts)]
+    texts = ["a,b", '"', 'say "hi", ok', "back\\slash", "end\\", ",\\", '\\",', "ünï", "=1+1", "'"]
+    rows = [
+        ("c", f"p{i}", "h", text, "S", "z", text, text, "s", "Desk")
+        for i, text in enumerate(texts)
+    ]
     catalogue = spark.createDataFrame(rows, CATALOGUE)
     path = str(tmp_path / "saved")
     save_catalogue(catalogue, path)
@@ -79,7 +82,8 @@ def test_saving_leaves_the_session_as_it_was(spark, tmp_path):
 
 
 def test_hot_hour_is_written_by_several_tasks(spark, tmp_path, raw_paths, customers, products):
-    rows = [("c1", "p1", "h-0", "Desk")] * 300 + [("c1", "p1", f"h-{i % 5 + 1}", "Desk") for i in range(50)]
+    rows = [("c1", "p1", "h-0", "Desk")] * 300
+    rows += [("c1", "p1", f"h-{i % 5 + 1}", "Desk") for i in range(50)]
     source = str(tmp_path / "events")
     spark.createDataFrame(
         rows, "CustomerId string, ProductId string, Timestamp string, Channel string"
