@@ -61,7 +61,7 @@ def test_figures(spark, kind):
 
 
 @pytest.mark.parametrize("kind", FIGURES)
-@pytest.mark.parametrize("divided", [(), ("CustomerId", "ProductId", "Timestamp")])
+@pytest.mark.parametrize("divided", [(), ("CustomerId", "ProductId")])
 def test_rebuilding_gives_the_saved_rows(spark, tmp_path, kind, divided):
     catalogue = saved(spark, kind)
     rebuilt = build_catalogue(
@@ -71,7 +71,7 @@ def test_rebuilding_gives_the_saved_rows(spark, tmp_path, kind, divided):
         divided,
         rows_per_piece=10,
     )
-    assert bag(rebuilt.select(*CATALOGUE.names)) == bag(catalogue.select(*CATALOGUE.names))
+    assert bag(rebuilt) == bag(catalogue.select(*CATALOGUE.names))
     save_catalogue(rebuilt, str(tmp_path / "again"))
     assert bag(load_catalogue(spark, str(tmp_path / "again"))) == bag(catalogue)
 

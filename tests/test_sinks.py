@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from rows import bag
 
 from tillscope.operators import area_hour_counts, build_catalogue, split_events
+from tillscope.operators.catalogue import size_dimensions
 from tillscope.plans import run_retail_job, save_catalogues
+from tillscope.plans.retail_job import catalogue_by_hour
 from tillscope.plans.scratch import scratch_folder
 from tillscope.schemas import AREA_HOUR, CATALOGUE, SAVED_CATALOGUE
 from tillscope.sinks import (
@@ -17,7 +19,7 @@ from tillscope.sinks import (
     refresh_area_hour_table,
     save_area_hour_table,
     save_catalogue,
-    save_divided_catalogue,
+    write_catalogue,
 )
 from tillscope.sinks.by_hour import session_settings
 from tillscope.sources import load_catalogue
@@ -88,11 +90,11 @@ def test_hot_hour_is_written_by_several_tasks(spark, tmp_path, raw_paths, custom
     spark.createDataFrame(
         rows, "CustomerId string, ProductId string, Timestamp string, Channel string"
     ).write.parquet(source)
-    catalogue = build_catalogue(
-        spark.read.parquet(source), customers, products, divided=("Timestamp",), rows_per_piece=50
+    catalogue = catalogue_by_hour(
+        spark.read.parquet(source), size_dimensions(customers, products), rows_per_piece=50
     )
     path = str(tmp_path / "saved")
-    save_divided_catalogue(catalogue, path, pieces=11)
+    write_catalogue(catalogue, path)
     assert load_catalogue(spark, path).count() == 350
     assert len(glob.glob(f"{path}/Timestamp=h-0/part-*.csv")) > 1
     assert len(glob.glob(f"{path}/Timestamp=h-3/part-*.csv")) == 1
@@ -119,6 +121,29 @@ def test_saving_replaces_all_hours_in_any_overwrite_mode(spark, tmp_path):
     assert [row.Timestamp for row in load_catalogue(spark, path).collect()] == ["b"]
 
 
+def test_hours_are_shuffled_before_broadcast_joins_and_after_others(
+    spark, tmp_path, customers, products
+):
+    source = str(tmp_path / "events")
+    spark.createDataFrame(
+        [("c1", "p1", "h", "Desk")],
+        "CustomerId string, ProductId string, Timestamp string, Channel string",
+    ).write.parquet(source)
+    events = spark.read.parquet(source)
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plans = [
+            catalogue_by_hour(events, size_dimensions(customers, products, limit))
+            ._jdf.queryExecution()
+            .executedPlan()
+            .toString()
+            for limit in (10**9, 0)
+        ]
+    # A plan is printed from its last step to its first.
+    by_hour = [plan.index("REPARTITION_BY_NUM") for plan in plans]
+    assert plans[0].count("BroadcastHashJoin", 0, by_hour[0]) == 2
+    assert plans[1].count("SortMergeJoin", by_hour[1]) == 2
+
+
 @pytest.mark.parametrize(("limit", "rows_per_piece"), [(10**9, 10**6), (0, 1)])
 def test_save_catalogues(spark, tmp_path, raw_events, customers, products, limit, rows_per_piece):
     paths = save_catalogues(

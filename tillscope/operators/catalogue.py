@@ -8,11 +8,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.operators.spread import ROWS_PER_PIECE, divide, join_divided, piece_column
+from tillscope.operators.spread import ROWS_PER_PIECE, divide, join_divided
 from tillscope.schemas import CATALOGUE
 
-CUSTOMER_COLUMNS = ["CustomerId", "City", "State", "ZipCode"]
-PRODUCT_COLUMNS = ["ProductId", "Product", "Category", "SubCategory"]
+EVENT_COLUMNS = ["CustomerId", "ProductId", "Timestamp", "Channel"]
+DIMENSION_COLUMNS = {
+    "CustomerId": ["CustomerId", "City", "State", "ZipCode"],
+    "ProductId": ["ProductId", "Product", "Category", "SubCategory"],
+}
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 
@@ -39,12 +42,12 @@ def size_dimensions(
     """
     shuffled = []
     sized = []
-    for table, columns in ((customers, CUSTOMER_COLUMNS), (products, PRODUCT_COLUMNS)):
-        table = table.select(*columns)
+    for key, table in (("CustomerId", customers), ("ProductId", products)):
+        table = table.select(*DIMENSION_COLUMNS[key])
         if _held_bytes(table) <= limit:
             table = F.broadcast(table)
         else:
-            shuffled.append(columns[0])
+            shuffled.append(key)
         sized.append(table)
     return Dimensions(*sized, tuple(shuffled))
 
@@ -67,25 +70,20 @@ def build_catalogue(
     dimension lists twice gives two.
 
     ``divided`` names keys whose hot values are dealt out over several tasks; it
-    needs events that come straight from files (see `spread`). With ``Timestamp``
-    among them the catalogue keeps the piece of its hour, for
-    `save_divided_catalogue`.
+    needs events that come straight from files (see `spread`). Those joins come
+    first, for they shuffle the events, and each join makes the events wider.
     """
-    divided = tuple(divided)
-    lines, hot = divide(
-        events.select("CustomerId", "ProductId", "Timestamp", "Channel"),
-        divided,
-        rows_per_piece,
-    )
-    for dimension, columns in (
-        (customers, CUSTOMER_COLUMNS),
-        (products, PRODUCT_COLUMNS),
-    ):
-        key = columns[0]
-        dimension = dimension.select(*columns)
-        if key in hot:
-            lines = join_divided(lines, dimension, key, hot[key])
-        else:
-            lines = lines.join(dimension, key)
-    hour_piece = [piece_column("Timestamp")] if "Timestamp" in hot else []
-    return lines.select(*CATALOGUE.names, *hour_piece)
+    lines, hot = divide(events.select(*EVENT_COLUMNS), divided, rows_per_piece)
+    tables = {"CustomerId": customers, "ProductId": products}
+    for key in sorted(tables, key=lambda key: key not in hot):
+        lines = join_dimension(lines, tables[key], key, hot.get(key))
+    return lines.select(*CATALOGUE.names)
+
+
+def join_dimension(
+    lines: DataFrame, dimension: DataFrame, key: str, hot: DataFrame | None = None
+) -> DataFrame:
+    dimension = dimension.select(*DIMENSION_COLUMNS[key])
+    if hot is None:
+        return lines.join(dimension, key)
+    return join_divided(lines, dimension, key, hot)

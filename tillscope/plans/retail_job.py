@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tillscope.operators.catalogue import (
     BROADCAST_BYTES,
+    EVENT_COLUMNS,
     Dimensions,
     build_catalogue,
+    join_dimension,
     size_dimensions,
 )
 from tillscope.operators.events import event_lines, events_of_kind
@@ -21,14 +23,15 @@ from tillscope.operators.insights import (
     top_sold_by_category,
     top_sold_by_channel,
 )
-from tillscope.operators.spread import ROWS_PER_PIECE, count_pieces
+from tillscope.operators.spread import ROWS_PER_PIECE, count_pieces, divide, piece_column
 from tillscope.plans.scratch import scratch_folder
-from tillscope.schemas import EVENT_LINE, KINDS
+from tillscope.schemas import CATALOGUE, EVENT_LINE, KINDS
 from tillscope.sinks import (
     create_area_hour_table,
     refresh_area_hour_table,
-    save_divided_catalogue,
+    write_catalogue,
 )
+from tillscope.sinks.by_hour import in_even_tasks
 from tillscope.sources import (
     load_catalogue,
     load_customers,
@@ -75,6 +78,26 @@ def plan_catalogue(raw: DataFrame, kind: str, dimensions: Dimensions) -> DataFra
     )
 
 
+def catalogue_by_hour(
+    events: DataFrame, dimensions: Dimensions, rows_per_piece: int = ROWS_PER_PIECE
+) -> DataFrame:
+    """The catalogue of staged events, laid out by hour for `write_catalogue`.
+
+    The hours are measured and hot ones divided. The events are shuffled by hour
+    while they are narrow: broadcast dimensions are joined only after that.
+    """
+    lines = events.select(*EVENT_COLUMNS)
+    pieces = count_pieces(lines, "Timestamp", rows_per_piece)
+    lines, hot = divide(lines, (*dimensions.shuffled, "Timestamp"), rows_per_piece)
+    tables = {"CustomerId": dimensions.customers, "ProductId": dimensions.products}
+    for key in dimensions.shuffled:
+        lines = join_dimension(lines, tables.pop(key), key, hot[key])
+    lines = in_even_tasks(lines, "Timestamp", piece_column("Timestamp"), pieces=pieces)
+    for key, table in tables.items():
+        lines = join_dimension(lines, table, key)
+    return lines.select(*CATALOGUE.names)
+
+
 def save_catalogues(
     raw: DataFrame,
     customers: DataFrame,
@@ -94,16 +117,8 @@ def save_catalogues(
     dimensions = size_dimensions(customers, products, broadcast_limit)
     paths = {kind: catalogue_path(output_dir, kind) for kind in KINDS}
     for kind, path in paths.items():
-        of_kind = lines.filter(F.col("Kind") == kind)
-        catalogue = build_catalogue(
-            of_kind,
-            dimensions.customers,
-            dimensions.products,
-            divided=(*dimensions.shuffled, "Timestamp"),
-            rows_per_piece=rows_per_piece,
-        )
-        pieces = count_pieces(of_kind, "Timestamp", rows_per_piece)
-        save_divided_catalogue(catalogue, path, pieces)
+        events = lines.filter(F.col("Kind") == kind)
+        write_catalogue(catalogue_by_hour(events, dimensions, rows_per_piece), path)
     return paths
 
 

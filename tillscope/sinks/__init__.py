@@ -4,7 +4,7 @@ from tillscope.sinks.area_table import (
     refresh_area_hour_table,
     save_area_hour_table,
 )
-from tillscope.sinks.catalogue_files import save_catalogue, save_divided_catalogue
+from tillscope.sinks.catalogue_files import save_catalogue, write_catalogue
 
 __all__ = [
     "create_area_hour_table",
@@ -12,5 +12,5 @@ __all__ = [
     "refresh_area_hour_table",
     "save_area_hour_table",
     "save_catalogue",
-    "save_divided_catalogue",
+    "write_catalogue",
 ]

@@ -4,27 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tillscope.operators.spread import piece_column
 from tillscope.schemas import CATALOGUE
-from tillscope.sinks.by_hour import cutting_large_tasks, in_even_tasks
+from tillscope.sinks.by_hour import cutting_large_tasks
 
 
 def save_catalogue(catalogue: DataFrame, path: str) -> None:
     """Replace the catalogue at ``path``, whatever hours it had."""
     with cutting_large_tasks(catalogue, "Timestamp") as gathered:
-        _write(gathered, path)
+        write_catalogue(gathered, path)
 
 
-def save_divided_catalogue(catalogue: DataFrame, path: str, pieces: int) -> None:
-    """The same for a catalogue whose hot hours `build_catalogue` has divided.
-
-    Writes one file per hour and piece; ``pieces`` is their number.
-    """
-    by = ("Timestamp", piece_column("Timestamp"))
-    _write(in_even_tasks(catalogue, *by, pieces=pieces), path)
-
-
-def _write(catalogue: DataFrame, path: str) -> None:
+def write_catalogue(catalogue: DataFrame, path: str) -> None:
+    """The same for rows that already lie together by hour: no shuffle."""
     (
         catalogue.select(*CATALOGUE.names)
         .write.mode("overwrite")
