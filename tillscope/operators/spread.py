@@ -50,13 +50,6 @@ def hot_values(rows: DataFrame, column: str, rows_per_piece: int) -> DataFrame:
     )
 
 
-def count_pieces(rows: DataFrame, column: str, rows_per_piece: int) -> int:
-    """How many pieces all values of a column make, those of one piece included."""
-    pieces = F.sum(F.ceil(F.col("n") / rows_per_piece))
-    counts = rows.groupBy(column).agg(F.count("*").alias("n"))
-    return counts.agg(pieces.alias("pieces")).first()["pieces"] or 0
-
-
 def divide(
     rows: DataFrame, columns: Iterable[str], rows_per_piece: int = ROWS_PER_PIECE
 ) -> Divided:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from math import ceil
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from tillscope.operators.insights import (
     top_sold_by_category,
     top_sold_by_channel,
 )
-from tillscope.operators.spread import ROWS_PER_PIECE, count_pieces, divide, piece_column
+from tillscope.operators.spread import ROWS_PER_PIECE, divide, piece_column
 from tillscope.plans.scratch import scratch_folder
 from tillscope.schemas import CATALOGUE, EVENT_LINE, KINDS
 from tillscope.sinks import (
@@ -83,16 +84,17 @@ def catalogue_by_hour(
 ) -> DataFrame:
     """The catalogue of staged events, laid out by hour for `write_catalogue`.
 
-    The hours are measured and hot ones divided. The events are shuffled by hour
-    while they are narrow: broadcast dimensions are joined only after that.
+    The events are counted for the number of tasks, and hot hours divided. They are
+    shuffled by hour while they are narrow: broadcast dimensions are joined only
+    after that.
     """
     lines = events.select(*EVENT_COLUMNS)
-    pieces = count_pieces(lines, "Timestamp", rows_per_piece)
+    tasks = ceil(lines.count() / rows_per_piece)
     lines, hot = divide(lines, (*dimensions.shuffled, "Timestamp"), rows_per_piece)
     tables = {"CustomerId": dimensions.customers, "ProductId": dimensions.products}
     for key in dimensions.shuffled:
         lines = join_dimension(lines, tables.pop(key), key, hot[key])
-    lines = in_even_tasks(lines, "Timestamp", piece_column("Timestamp"), pieces=pieces)
+    lines = in_even_tasks(lines, "Timestamp", piece_column("Timestamp"), tasks=tasks)
     for key, table in tables.items():
         lines = join_dimension(lines, table, key)
     return lines.select(*CATALOGUE.names)

@@ -16,18 +16,15 @@ _COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
 MOST_TASKS = 20_000
 
 
-def shuffle_tasks(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def in_even_tasks(table: DataFrame, *columns: str, pieces: int = 0) -> DataFrame:
+def in_even_tasks(table: DataFrame, *columns: str, tasks: int = 0) -> DataFrame:
     """Shuffle groups that are known to be small enough for a task each.
 
-    A fixed number of tasks, which adaptive execution leaves alone: merging tasks
-    that hold little data would save no file and leave few to create them all.
+    At least as many tasks as a shuffle has by default, and a fixed number that
+    adaptive execution leaves alone: merging tasks that hold little data would
+    save no file and leave few to create them all.
     """
-    tasks = max(shuffle_tasks(table.sparkSession), min(pieces, MOST_TASKS))
-    return table.repartition(tasks, *columns)
+    default = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return table.repartition(max(default, min(tasks, MOST_TASKS)), *columns)
 
 
 @contextmanager
