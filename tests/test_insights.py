@@ -72,13 +72,19 @@ def test_by_area_and_hour(catalogue):
 def test_questions_in_sql_on_the_view(spark, catalogue):
     register_catalogue(catalogue)
     by_channel = spark.sql(
-        "SELECT ProductId,Product,Channel,COUNT(*) as Count FROM PurchaseCatalogue "
-        "WHERE Channel='Mobile' GROUP BY ProductId,Product,Channel"
+        """
+        SELECT ProductId, Product, Channel, COUNT(*) AS Count
+        FROM PurchaseCatalogue WHERE Channel = 'Mobile'
+        GROUP BY ProductId, Product, Channel
+        """
     )
     assert bag(by_channel) == bag(top_sold_by_channel(catalogue, "Mobile", 100))
+    # Names are found in any case and come out as the query spells them.
     by_area = spark.sql(
-        "SELECT City,State,Zipcode,COUNT(*) as Count FROM PurchaseCatalogue "
-        "GROUP BY City,State,Zipcode,Timestamp ORDER BY Count DESC"
+        """
+        SELECT City, State, Zipcode, COUNT(*) AS Count
+        FROM purchasecatalogue GROUP BY City, State, Zipcode, timestamp
+        """
     )
     assert by_area.columns == ["City", "State", "Zipcode", "Count"]
     assert bag(by_area) == bag(sold_by_area_hour(catalogue))

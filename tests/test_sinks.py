@@ -230,6 +230,22 @@ def test_whole_job(spark, tmp_path, raw_paths, table):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_whole_job_on_a_log_without_purchases(spark, tmp_path, raw_paths, table):
+    log = tmp_path / "log.json"
+    log.write_text('{"timestamp":"1-1-2019 1:1","CustomerId":"c1","EventType":{}}\n')
+    report = run_retail_job(
+        spark,
+        raw_paths["customers"],
+        raw_paths["products"],
+        str(log),
+        str(tmp_path / "out"),
+        area_table=table,
+    )
+    for result in (*report, spark.table(table)):
+        assert result.count() == 0
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_scratch_folder_is_in_the_shared_folder(spark):
     first, second = (scratch_folder(spark, "x") for _ in range(2))
     assert first != second
