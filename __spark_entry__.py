@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
 
 from tillscope.functions import parse_price  # noqa: E402
 from tillscope.operators import (  # noqa: E402
@@ -41,6 +42,17 @@ from tillscope.sinks import (  # noqa: E402
 )
 from tillscope.sources import load_catalogue, register_catalogue  # noqa: E402
 
+try:
+    from corpus_pipeline import ORACLE_SQL, run  # noqa: E402
+    from tillscope.llm.queries import ORACLES, QUERIES  # noqa: E402
+except ModuleNotFoundError as missing:
+    # The subpackage and its pipeline may be left out of an installation.
+    if missing.name not in ("corpus_pipeline", "tillscope.llm", "tillscope.llm.queries"):
+        raise
+    ORACLE_SQL, ORACLES, QUERIES = None, {}, {}
+else:
+    QUERIES = {**QUERIES, "pipeline": run}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 CATEGORY = "PROMO"
@@ -171,6 +183,19 @@ def by_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numeric(customers_by_zip(customers, ZIP_CODE), "CustomerId")
 
 
+def _with_package(query: Query) -> Query:
+    """Python workers have to find this package where it isn't installed."""
+
+    def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers = spark.sparkContext.environment
+        paths = workers.get("PYTHONPATH", "").split(os.pathsep)
+        if ROOT not in paths:
+            workers["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+        return query(spark, sf_dir)
+
+    return run_query
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the products sold most through the mobile channel."""
     return top_by_channel(spark, "/root/testdata/sf0.001")
@@ -205,6 +230,7 @@ def queries() -> dict[str, Query]:
         "products_per_category": lambda spark, sf_dir: products_per_category(
             retail_tables(spark, sf_dir).products
         ),
+        **{name: _with_package(query) for name, query in QUERIES.items()},
     }
 
 
@@ -317,4 +343,5 @@ def oracle_sql() -> dict[str, str]:
             "SELECT p_type AS Category, COUNT(*) AS count FROM part GROUP BY p_type"
         ),
     }
-    return {name: f"{_TABLES} {tail}" for name, tail in tails.items()}
+    of_pipeline = {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
+    return {name: f"{_TABLES} {tail}" for name, tail in tails.items()} | ORACLES | of_pipeline
