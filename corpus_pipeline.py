@@ -14,11 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from tillscope.llm.exact import without_exact_copies
 from tillscope.llm.minhash import without_near_duplicates
 from tillscope.llm.mixing import mixed_documents
+from tillscope.llm.packing import pack_documents
+from tillscope.llm.quality import good_documents, train
 from tillscope.llm.staging import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line model finds good; it learns from the labels beside them."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return good_documents(docs, train(docs, labels))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document of the largest doc_id stays."""
     return without_exact_copies(docs)
@@ -34,10 +42,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all training sequences."""
+    return pack_documents(docs).withColumnRenamed("id", "doc_id")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
     ("mix", mix),
+    ("pack", pack),
 ]
 
 # Trained models, hash bands and a tokenizer are not expressible in SQL.
@@ -47,6 +62,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's result over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all training sequences."""
+    return pack_documents(docs).withColumnRenamed("id", "doc_id")
+
+
+STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)
     return docs

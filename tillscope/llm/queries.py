@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tillscope.llm.exact import exact_groups
 from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.mixing import mix_sources
+from tillscope.llm.packing import pack_documents
+from tillscope.llm.quality import held_out, score_documents, train
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,15 +32,30 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(_table(spark, sf_dir, "documents"))
+    return packed.withColumnRenamed("id", "doc_id")
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    model = train(documents, _table(spark, sf_dir, "labels"))
+    return score_documents(documents, model).select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op7_packing": op7_packing,
     "op8_minhash": op8_minhash,
+    "op10_quality": op10_quality,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
