@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.llm.exact import exact_groups
+from tillscope.llm.lz import compare_with_next
 from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.mixing import mix_sources
 from tillscope.llm.packing import pack_documents
@@ -20,6 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = compare_with_next(_table(spark, sf_dir, "documents"))
+    return compared.withColumnRenamed("id", "doc_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_groups(_table(spark, sf_dir, "documents"), every_digest=True)
     return groups.withColumnsRenamed({"id": "doc_id", "digest": "text_sha256"})
@@ -51,6 +57,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lz_fingerprint": op1_lz_fingerprint,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op7_packing": op7_packing,
