@@ -67,10 +67,11 @@ def exact_groups(
     )
     heads = staged(rows.select("n_bytes", "beginning"), "exact-heads")
     lengths = heads.groupBy("n_bytes").count().filter("count > 1").select("n_bytes")
+    # Rows of one length may be many, but those of a large group begin alike: counted first.
     classes = (
-        heads.join(lengths, "n_bytes", "left_semi")
-        .groupBy("n_bytes", "beginning")
+        heads.groupBy("n_bytes", "beginning")
         .count()
+        .join(lengths, "n_bytes", "left_semi")
         .filter("count > 1")
         .select("n_bytes", "beginning", F.lit(True).alias("shared"))
     )
