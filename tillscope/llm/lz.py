@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,50 +32,54 @@ _WIDTH = np.uint64(2**64 // SLOTS)
 _ROUND_OF_ROWS = 64
 
 
+def _parse(text: str, start: int, known: set[str]) -> list[int]:
+    """Ends of the phrases from ``start`` on; ``known`` grows by them."""
+    ends = []
+    add, put = known.add, ends.append
+    phrase = ""
+    for end, char in enumerate(text[start:], start + 1):
+        phrase += char
+        if phrase not in known:
+            add(phrase)
+            put(end)
+            phrase = ""
+    if phrase:
+        put(len(text))
+    return ends
+
+
 def phrase_ends(text: str) -> list[int]:
-    """Where each phrase of the parse ends.
+    """Where each phrase of the parse ends."""
+    return _parse(text, 0, set())
 
-    Every beginning of a phrase is a phrase, so a phrase's length is searched up or down
-    from the length of the one before.
-    """
+
+def forked_ends(text: str, edited: str, same: int) -> tuple[list[int], list[int]]:
+    """The parses of two texts of which the first ``same`` characters agree, parsed once."""
     known: set[str] = set()
-    ends = []
-    start, n, length = 0, len(text), 1
-    add = known.add
-    while start < n:
-        phrase = text[start : start + length]
-        end = min(start + length, n)
-        if phrase in known:
-            while phrase in known and end < n:
-                end += 1
-                phrase = text[start:end]
-        else:
-            while end - start > 1:
-                shorter = text[start : end - 1]
-                if shorter in known:
-                    break
-                phrase, end = shorter, end - 1
-        add(phrase)
-        ends.append(end)
-        length, start = end - start, end
-    return ends
+    common = _parse(text[:same], 0, known)
+    if len(common) > len(known):
+        common.pop()  # known already, so in the longer texts it goes on
+    start = common[-1] if common else 0
+    other = known.copy()
+    return common + _parse(text, start, known), common + _parse(edited, start, other)
 
 
-def fingerprints(texts: list[str]) -> np.ndarray:
+def fingerprints(texts: list[str], phrases: list[list[int]]) -> np.ndarray:
     """A row of `SLOTS` hashes for each text; an empty slot holds the largest hash."""
-    slots = np.full((len(texts), SLOTS), _EMPTY)
+    slots = np.full(len(texts) * SLOTS, _EMPTY)
     points, starts = code_points(texts)
-    begins, ends, owners = [], [], []
-    for row, text in enumerate(texts):
-        cut = np.array(phrase_ends(text), dtype=np.int64) + starts[row]
-        ends.append(cut)
-        begins.append(np.concatenate(([starts[row]], cut[:-1])) if len(cut) else cut)
-        owners.append(np.full(len(cut), row))
     if len(points):
+        counts = np.array([len(ends) for ends in phrases], dtype=np.int64)
+        cuts = np.fromiter(chain.from_iterable(phrases), np.int64, int(counts.sum()))
+        row = np.repeat(np.arange(len(texts)), counts)
+        ends = cuts + starts[row]
+        begins = np.empty_like(ends)
+        begins[1:] = ends[:-1]
+        begins[spread_starts(counts)[:-1][counts > 0]] = starts[:-1][counts > 0]
         values = mix(points.astype(np.uint64) + np.uint64(1))
-        hashes = substring_hashes(values, np.concatenate(begins), np.concatenate(ends))
-        np.minimum.at(slots, (np.concatenate(owners), (hashes // _WIDTH).astype(np.int64)), hashes)
-    return slots
+        hashes = substring_hashes(values, begins, ends)
+        np.minimum.at(slots, row * SLOTS + (hashes // _WIDTH).astype(np.int64), hashes)
+    return slots.reshape(len(texts), SLOTS)
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -116,15 +121,15 @@ def _rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of their ids, and last the row that follows all of them."""
-    carried = None
     for ids, texts in _rounds(batches):
-        fresh = texts if carried is None else texts[1:]
-        own = fingerprints(fresh)
-        if carried is not None:
-            own = np.vstack((carried, own))
-        carried = own[-1:]
         edits = [edited_text(a, b) for a, b in zip(texts, texts[1:], strict=False)]
-        edited = fingerprints(edits)
+        forked = [
+            forked_ends(text, edit, len(text) - len(text) // 4)
+            for text, edit in zip(texts, edits, strict=False)
+        ]
+        # The last text's own turn comes with the next rows; here it is only a successor.
+        own = fingerprints(texts, [own for own, _ in forked] + [phrase_ends(texts[-1])])
+        edited = fingerprints(edits, [other for _, other in forked])
         yield pa.RecordBatch.from_pydict(
             {
                 "id": pa.array(ids[:-1], pa.int64()),
@@ -157,7 +162,7 @@ def compare_with_next(
     Rows are dealt by ranges of ids, whose bounds are quantiles of the ids, so the texts are
     shuffled once. The row that a range begins with goes to the range before it too; the
     first of all goes to the last range. Every range is read in the order of ids with
-    only two rows' results at hand. Integer ids; a null id is below all others.
+    only some rows at hand. Integer ids; a null id is below all others.
     """
     spark = documents.sparkSession
     rows = documents.select(
