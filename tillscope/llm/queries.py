@@ -13,6 +13,9 @@ from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.mixing import mix_sources
 from tillscope.llm.packing import pack_documents
 from tillscope.llm.quality import held_out, score_documents, train
+from tillscope.llm.tokencount import count_tokens
+from tillscope.llm.warc import page_of, page_records, read_warc, write_warc
+from tillscope.plans.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +29,29 @@ def op1_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared.withColumnRenamed("id", "doc_id")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    path = scratch_folder(spark, "warc")
+    write_warc(page_records(pages), path)
+    kind = pages.schema["page_id"].dataType.simpleString()
+    # Payloads are decoded and measured where they are stored; revisits have headers only.
+    stored = read_warc(spark, path).filter("record_type = 'response'")
+    revisits = read_warc(spark, path, payload=False).filter("record_type = 'revisit'")
+    return (
+        stored.withColumn("payload_length", F.octet_length("payload").cast("long"))
+        .withColumn("payload_digest", F.sha1("payload"))
+        .drop("payload")
+        .unionByName(revisits)
+        .select(
+            page_of("record_id", kind).alias("page_id"),
+            F.col("payload_length").alias("payload_bytes"),
+            "payload_digest",
+            "record_type",
+            page_of("refers_to", kind).alias("refers_to"),
+        )
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_groups(_table(spark, sf_dir, "documents"), every_digest=True)
     return groups.withColumnsRenamed({"id": "doc_id", "digest": "text_sha256"})
@@ -48,6 +74,11 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(_table(spark, sf_dir, "documents"))
+    return counted.withColumnRenamed("id", "doc_id")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     model = train(documents, _table(spark, sf_dir, "labels"))
@@ -58,16 +89,32 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
+    "op2_warc": op2_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op7_packing": op7_packing,
     "op8_minhash": op8_minhash,
+    "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
 ORACLES: dict[str, str] = {
+    "op2_warc": """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+digested AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest
+  FROM payloads),
+grouped AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000
+                 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id
+  FROM digested)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM grouped""",
     "op5_exact_dedup": """
 WITH lowered AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
