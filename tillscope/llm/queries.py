@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.llm.exact import exact_groups
+from tillscope.llm.licences import scan_licences
 from tillscope.llm.lz import compare_with_next
 from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.mixing import mix_sources
@@ -52,6 +53,26 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths, so every one gets a path by rule.
+
+    A source is a tree of shelves of 400 documents, in folders of 20. A folder's first
+    document is its licence file, and a shelf's first that of the whole shelf.
+    """
+    number = F.col("doc_id")
+    shelf = F.concat(F.col("source"), F.lit("/"), F.floor(number / 400))
+    folder = F.concat(shelf, F.lit("/"), F.floor(number / 20))
+    path = (
+        F.when(number % 400 == 0, F.concat(shelf, F.lit("/LICENSE")))
+        .when(number % 20 == 0, F.concat(folder, F.lit("/LICENSE")))
+        .otherwise(F.concat(folder, F.lit("/"), number, F.lit(".txt")))
+    )
+    files = _table(spark, sf_dir, "documents").select(
+        number.alias("id"), path.alias("path"), "text"
+    )
+    return scan_licences(files).withColumnRenamed("id", "doc_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_groups(_table(spark, sf_dir, "documents"), every_digest=True)
     return groups.withColumnsRenamed({"id": "doc_id", "digest": "text_sha256"})
@@ -90,6 +111,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
     "op2_warc": op2_warc,
+    "op4_licences": op4_licences,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op7_packing": op7_packing,
