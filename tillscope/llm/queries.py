@@ -14,6 +14,7 @@ from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.mixing import mix_sources
 from tillscope.llm.packing import pack_documents
 from tillscope.llm.quality import held_out, score_documents, train
+from tillscope.llm.suffix import remove_repeats
 from tillscope.llm.tokencount import count_tokens
 from tillscope.llm.warc import page_of, page_records, read_warc, write_warc
 from tillscope.plans.scratch import scratch_folder
@@ -53,6 +54,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = remove_repeats(_table(spark, sf_dir, "documents"))
+    return removed.withColumnRenamed("id", "doc_id")
+
+
 def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents have no paths, so every one gets a path by rule.
 
@@ -111,6 +117,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
     "op2_warc": op2_warc,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_licences": op4_licences,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
