@@ -9,8 +9,9 @@ their Jaccard similarity each. The values are banded in 32 bands of 4: a pair of
 Equal sets are one class from the start, so copies never meet each other. In a band's
 bucket of several classes every class is compared with one centre, which gives as many
 pairs as there are members, and similarity is confirmed on the full sets. Where a bucket
-is then still in several components, other centres follow; what is left after
-these rounds is compared between components pair by pair, so that no link is lost.
+is then still in several components, no link is lost either: sets that such buckets
+connect are a cluster, and all that are not in its largest component are compared with
+the whole cluster, block by block, inside tasks that return at most one link per set.
 
 Defined cases: a text of fewer than five words has its whole sequence as its one shingle;
 a text without words and a null have the empty set, which is linked with nothing; rows
@@ -28,14 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.graph import connected_components
-from tillscope.llm.staging import release, staged
+from tillscope.llm.staging import release, shuffle_partitions, staged
 from tillscope.llm.textblocks import blocks, mix, shingles, spread_starts
 
 PERMUTATIONS = 64
 BANDS = 32
 ROWS = 2 * PERMUTATIONS // BANDS
 SIMILAR = 75  # per cent
-CENTRE_ROUNDS = 3
+CENTRE_ROUNDS = 1
+BLOCK_SETS, BLOCK_SHINGLES = 500, 400_000
+_MATRIX_COLUMNS = 2048
 
 _RANDOM = np.random.Generator(np.random.PCG64(75))
 _FACTORS = _RANDOM.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -160,20 +163,136 @@ def _centre_pairs(rows: DataFrame, turn: int) -> DataFrame:
     )
 
 
-def _pairs_between_components(rows: DataFrame) -> DataFrame:
-    one, other = rows.alias("x"), rows.alias("y")
-    return (
-        one.join(
-            other,
-            (F.col("x.band") == F.col("y.band"))
-            & (F.col("x.id") < F.col("y.id"))
-            & (F.col("x.component") != F.col("y.component"))
-            & (100 * F.least("x.n_shingles", "y.n_shingles")
-               >= SIMILAR * F.greatest("x.n_shingles", "y.n_shingles")),
-        )
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+def _in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components of each cluster, from comparing its sets in blocks.
+
+    A cluster's largest component is its body, the others its rest. Blocks of the rest
+    meet all blocks of the body and of the rest; those of the body never meet each other.
+    """
+    centres = rows.groupBy("band").agg(F.min("id").alias("centre"))
+    stars = rows.join(centres, "band").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+    clusters = staged(connected_components(stars), "clusters")
+    members = staged(
+        rows.select("id", "n_shingles", "component")
         .distinct()
+        .join(clusters.withColumnsRenamed({"node": "id", "component": "cluster"}), "id"),
+        "members",
+    )
+    parts = members.groupBy("cluster", "component").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")
+    )
+    body = F.max(F.struct("n", "component", "shingles"))
+    sizes = (
+        parts.groupBy("cluster")
+        .agg(body.alias("body"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"))
+        .select(
+            "cluster",
+            F.col("body.component").alias("body"),
+            _blocks(F.col("body.n"), F.col("body.shingles")).alias("body_blocks"),
+            _blocks(F.col("n") - F.col("body.n"), F.col("shingles") - F.col("body.shingles")).alias(
+                "rest_blocks"
+            ),
+        )
+    )
+    placed = members.join(sizes, "cluster").withColumn(
+        "is_body", F.col("component") == F.col("body")
+    )
+    of_body, of_rest = (
+        F.sequence(F.lit(0).cast("long"), F.col(f"{name}_blocks") - 1) for name in ("body", "rest")
+    )
+    block = F.pmod(
+        F.xxhash64("id"), F.when(F.col("is_body"), F.col("body_blocks")).otherwise(F.col("rest_blocks"))
     )
+    small = (F.col("body_blocks") == 1) & (F.col("rest_blocks") == 1)
+
+    def task(kind: str, one, other):
+        return F.struct(F.col("cluster").alias("task"), F.lit(kind).alias("kind"),
+                        one.alias("one"), other.alias("other"))
+
+    zero = F.lit(0).cast("long")
+    # Small clusters share tasks; there each set is sent once.
+    shared = F.struct(
+        F.pmod(F.xxhash64("cluster"), F.lit(4 * shuffle_partitions(rows.sparkSession))).alias("task"),
+        F.lit("small").alias("kind"),
+        zero.alias("one"),
+        zero.alias("other"),
+    )
+    tasks = (
+        F.when(small, F.array(shared))
+        .when(F.col("is_body"), F.transform(of_rest, lambda i: task("body", i, F.col("block"))))
+        .otherwise(
+            F.concat(
+                F.transform(of_body, lambda j: task("body", F.col("block"), j)),
+                F.transform(
+                    of_rest,
+                    lambda j: task("rest", F.least(F.col("block"), j), F.greatest(F.col("block"), j)),
+                ),
+            )
+        )
+    )
+    return (
+        placed.withColumn("block", block)
+        .select("id", "component", "cluster", F.explode(tasks).alias("at"))
+        .select("id", "component", "cluster", "at.*")
+        .join(sets, "id")
+        .groupBy("task", "kind", "one", "other")
+        .applyInArrow(_links_of_block, "a {0}, b {0}".format(rows.schema["id"].dataType.simpleString()))
+    )
+
+
+def _blocks(n, shingles):
+    return F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES)).cast("long")
+
+
+def _links_of_block(table: pa.Table) -> pa.Table:
+    """Links that join components, of each cluster in the table at most one per set."""
+    ids = np.array(table.column("id").to_pylist(), dtype=object)
+    components = np.unique(
+        np.array(table.column("component").to_pylist(), dtype=object), return_inverse=True
+    )[1]
+    clusters = np.array(table.column("cluster").to_pylist(), dtype=object)
+    lists = table.column("shingles").combine_chunks()
+    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    shingle = lists.flatten().to_numpy()
+    one, other = [], []
+    order = np.argsort(clusters, kind="stable")
+    cuts = np.flatnonzero(clusters[order][1:] != clusters[order][:-1]) + 1
+    for rows in np.split(order, cuts):
+        if len(np.unique(components[rows])) > 1:
+            # A set can be there twice, as a block meets itself.
+            rows = rows[np.unique(ids[rows], return_index=True)[1]]
+            found = joining_links([shingle[offsets[k] : offsets[k + 1]] for k in rows], components[rows])
+            one += [ids[rows[x]] for x, _ in found]
+            other += [ids[rows[y]] for _, y in found]
+    kind = table.schema.field("id").type
+    return pa.table({"a": pa.array(one, kind), "b": pa.array(other, kind)})
+
+
+def joining_links(sets: list[np.ndarray], components: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of similar sets that connect what is not connected yet."""
+    sizes = np.array([len(one) for one in sets])
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    frequent = np.bincount(column) > 1
+    row, column = row[frequent[column]], (np.cumsum(frequent) - 1)[column[frequent[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, int(frequent.sum()), _MATRIX_COLUMNS):
+        part = slice(*np.searchsorted(column, (low, low + _MATRIX_COLUMNS)))
+        width = int(min(_MATRIX_COLUMNS, frequent.sum() - low))
+        held = np.zeros((len(sets), width), dtype=np.float32)
+        held[row[part], column[part] - low] = 1
+        both += held @ held.T
+    counts = both.astype(np.int64)
+    similar = 100 * counts >= SIMILAR * (sizes[:, None] + sizes[None, :] - counts)
+    group = components.copy()
+    links = []
+    for x, y in zip(*np.nonzero(np.triu(similar, 1)), strict=True):
+        if group[x] != group[y]:
+            links.append((int(x), int(y)))
+            group[group == group[y]] = group[x]
+    return links
 
 
 def near_duplicates(
@@ -210,16 +329,17 @@ def near_duplicates(
     for turn in range(CENTRE_ROUNDS + 1):
         if buckets.isEmpty():
             break
-        last = turn == CENTRE_ROUNDS
-        pairs = _pairs_between_components(buckets) if last else _centre_pairs(buckets, turn)
-        links = staged(_confirmed(pairs, sets), "links")
+        if turn < CENTRE_ROUNDS:
+            links = _confirmed(_centre_pairs(buckets, turn), sets)
+        else:
+            links = _in_blocks(buckets, sets)
+        links = staged(links, "links")
         found = links if found is None else found.union(links)
         components = staged(connected_components(found), "components")
-        if last:
-            break
-        still_open = staged(_open_buckets(buckets, components), "buckets")
-        release(buckets)
-        buckets = still_open
+        if turn < CENTRE_ROUNDS:
+            still_open = staged(_open_buckets(buckets, components), "buckets")
+            release(buckets)
+            buckets = still_open
     release(sets)
     joined = signed.drop("bands").join(classes, keys, "left")
     if components is None:
