@@ -47,6 +47,9 @@ _SHALLOW = GRAM // 8
 _FACTORS = np.array([0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 _GRAM_SEED = np.uint64(0xA24BAED4963EE407)
 _LEFT_FACTOR = np.uint64(0x9E6C63D0876A9A47)
+# Marks a window that is sent by itself: in its place of the anchor, and in its answer.
+_SINGLE = 64
+_SINGLE_ANSWER = 1 << 30
 _HALF = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -320,9 +323,8 @@ def _single_windows(anchors: Anchors, ids, parts: int, chosen) -> tuple[np.ndarr
     first, several = _first_of_each(keys, ids[anchors.row[of]])
     start, of, keys = start[first], of[first], keys[first]
     part, name = _split_gram(mix(keys), parts)
-    return (
-        part, name, ids[anchors.row[of]], anchors.position[of] - start, start, start + LENGTH, several
-    )
+    left = anchors.position[of] - start + _SINGLE
+    return part, name, ids[anchors.row[of]], left, start, start + LENGTH, several
 
 
 def duplicate_windows(
@@ -377,6 +379,8 @@ def _compare(table: pa.Table) -> pa.Table:
     groups = _flat(table, "grams").view(np.uint32).astype(np.int64)
     ids = _flat(table, "ids")
     left, lengths = (_flat(table, name).astype(np.int64) for name in ("lefts", "lengths"))
+    single = left >= _SINGLE
+    left = left % _SINGLE
     several = _flat(table, "several")
     block = _owners(table, "grams", "block")
     content = np.frombuffer(b"".join(table.column("content").to_pylist()), dtype=np.uint8)
@@ -391,6 +395,7 @@ def _compare(table: pa.Table) -> pa.Table:
         groups[order], ids[order], left[order], lengths[order], sorted_content
     )
     told = np.flatnonzero((masks != 0) | several)
+    masks[single] |= _SINGLE_ANSWER
     back = told[np.argsort(block[told], kind="stable")]
     key, (key_lists, first_lists, mask_lists) = _lists(
         block[back], keys[back].view(np.int64), ids[back], masks[back]
@@ -409,24 +414,30 @@ def removed_windows(
     order = np.argsort(keys)
     keys, firsts, masks = keys[order], firsts[order], masks[order]
 
-    def removed(found_keys: np.ndarray, owners: np.ndarray, everything: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(keys, found_keys), len(keys) - 1)
-        told = keys[at] == found_keys
+    single = masks >= _SINGLE_ANSWER
+
+    def removed(of_windows: bool, found: np.ndarray, owners: np.ndarray, everything) -> np.ndarray:
+        chosen = single == of_windows
+        if not chosen.any():
+            return np.zeros(len(found), dtype=np.int64)
+        known = keys[chosen]
+        at = np.minimum(np.searchsorted(known, found), len(known) - 1)
         # Later documents of the block lose all of the surrounding, the first what is marked.
-        bits = np.where(owners > firsts[at], everything, masks[at].astype(np.int64))
-        return np.where(told, bits, 0)
+        marked = masks[chosen][at].astype(np.int64) % _SINGLE_ANSWER
+        bits = np.where(owners > firsts[chosen][at], everything, marked)
+        return np.where(known[at] == found, bits, 0)
 
     chosen = np.arange(len(anchors.position))
     counts = anchors.last - anchors.first + 1
     bits = removed(
-        anchors.surroundings(chosen), ids[anchors.row], (np.int64(1) << counts) - 1
+        False, anchors.surroundings(chosen), ids[anchors.row], (np.int64(1) << counts) - 1
     )
-    starts = [
-        anchors.first[(bits >> j) & 1 == 1] + j for j in range(WINDOW)
-    ]
-    start, of, window_keys = _windows_of(anchors, chosen[bits == 0])
-    single = removed(window_keys, ids[anchors.row[of]], np.ones(len(start), dtype=np.int64))
-    return np.concatenate([*starts, start[single == 1]])
+    starts = [anchors.first[(bits >> j) & 1 == 1] + j for j in range(WINDOW)]
+    if single.any():
+        for some in np.array_split(chosen[bits == 0], 1 + len(chosen) // _CHUNK):
+            start, of, found = _windows_of(anchors, some)
+            starts.append(start[removed(True, found, ids[anchors.row[of]], 1) == 1])
+    return np.concatenate(starts)
 
 
 def _remove(texts: pa.Table, replies: pa.Table) -> pa.Table:
