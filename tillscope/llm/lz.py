@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.staging import shuffle_partitions
-from tillscope.llm.textblocks import mix, spread_starts, substring_hashes
+from tillscope.llm.textblocks import blocks, mix, spread_starts, substring_hashes
 
 SLOTS = 128
 _EMPTY = np.uint64(2**64 - 1)
 _WIDTH = np.uint64(2**64 // SLOTS)
-_ROUND_OF_ROWS = 64
+_ROUND_BYTES = 1 << 19
 
 
 def _parse(text: str, start: int, known: set[str]) -> list[int]:
@@ -107,13 +107,12 @@ def edited_text(text: str, following: str) -> str:
 
 
 def _rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """Some rows at a time, each with its text's successor; the last row needs the guest."""
+    """Some rows at a time, and after them the row that follows; it begins the next round."""
     ids, texts = [], []
     for batch in batches:
-        for at in range(0, batch.num_rows, _ROUND_OF_ROWS):
-            part = batch.slice(at, _ROUND_OF_ROWS)
-            ids += part.column("id").to_pylist()
-            texts += part.column("text").to_pylist()
+        for block in blocks(iter([batch]), "text", _ROUND_BYTES):
+            ids += block.rows.column("id").to_pylist()
+            texts += block.rows.column("text").to_pylist()
             if len(ids) > 1:
                 yield ids, texts
                 ids, texts = ids[-1:], texts[-1:]

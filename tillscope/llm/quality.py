@@ -41,6 +41,8 @@ TRAIN_DOCUMENTS = 5_000
 TRAIN_WINDOWS = 8
 WINDOW_LINES = 64
 FITS = 3
+# Chains of a block advance together, so a larger block has fewer steps.
+BLOCK_BYTES = 4 << 20
 STEPS = 80
 THRESHOLD = 0.7
 GOOD = 1
@@ -251,7 +253,7 @@ def fit_model(lines: Lines, labels: np.ndarray) -> Model:
 
 
 def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in blocks(batches, "text"):
+    for block in blocks(batches, "text", BLOCK_BYTES):
         lines = line_features(block.data, block.starts)
         ends = spread_starts(lines.counts)
         for row, label in enumerate(block.rows.column("label").to_pylist()):
@@ -314,7 +316,7 @@ def score_documents(
     """Id, score and predicted label of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK_BYTES):
             found = scores(block.data, block.starts, model)
             yield pa.RecordBatch.from_arrays(
                 [block.rows.column("id"), pa.array(found)], names=["id", "score"]
@@ -331,7 +333,7 @@ def good_documents(documents: DataFrame, model: Model) -> DataFrame:
     """The documents that are predicted good, with all their columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK_BYTES):
             keep = scores(block.data, block.starts, model) >= THRESHOLD
             if keep.any():
                 yield block.rows.filter(pa.array(keep))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 SHINGLE_WORDS = 5
 
 # Fixed seeds: every run and every executor must hash alike.
@@ -78,7 +78,7 @@ class _Powers:
             up, down = np.full(n, _BASE), np.full(n, _BASE_INVERSE)
             up[0] = down[0] = 1
             made = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-            if n > 2 * BLOCK_BYTES:  # a very long text; its table isn't kept
+            if n > 4 * BLOCK_BYTES:  # a very long text; its table isn't kept
                 return made
             cls.up, cls.down = made
         return cls.up, cls.down
