@@ -26,7 +26,7 @@ from tillscope.operators import (  # noqa: E402
     top_sold_by_category,
     top_sold_by_channel,
 )
-from tillscope.plans.raw_files import basket_log, price_text, retail_tables  # noqa: E402
+from tillscope.plans.raw_files import odd_price_text, retail_tables  # noqa: E402
 from tillscope.plans.retail_job import (  # noqa: E402
     plan_catalogue,
     save_catalogues,
@@ -57,6 +57,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CATEGORY = "PROMO"
 ZIP_CODE = "000016"
+LATER_DAYS = "16"
 
 
 def _numeric(table: DataFrame, *columns: str) -> DataFrame:
@@ -94,11 +95,20 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.select("event_id", parse_price(price_text()).cast("double").alias("Price"))
+    price = parse_price(odd_price_text()).cast("double")
+    endless = F.lit(float("inf"))
+    special = F.when(F.isnan(price), "NaN").when(price == endless, "Infinity").when(
+        price == -endless, "-Infinity"
+    )
+    return events.select(
+        "event_id",
+        F.when(special.isNull(), price).alias("Price"),
+        F.coalesce(special, F.lit("number")).alias("PriceKind"),
+    )
 
 
 def basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = events_of_kind(basket_log(spark, sf_dir), "Purchase")
+    items = events_of_kind(retail_tables(spark, sf_dir).baskets, "Purchase")
     return _numeric(items, "CustomerId", "ProductId").select(
         F.col("CustomerId").alias("l_orderkey"),
         "ProductId",
@@ -117,6 +127,7 @@ def purchase_catalogue_divided(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables.products,
         divided=("CustomerId", "ProductId"),
         rows_per_piece=10,
+        how="merge",
     )
     return _numeric(catalogue, "CustomerId", "ProductId")
 
@@ -143,23 +154,40 @@ def saved_catalogue_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A question put in SQL to the registered view of a saved catalogue."""
     view = f"PurchaseCatalogue_{uuid.uuid4().hex}"
     register_catalogue(catalogue_roundtrip(spark, sf_dir), view)
-    return spark.sql(
-        f"SELECT ProductId, Product, Channel, COUNT(*) AS Count FROM {view} "
-        "WHERE Channel = 'Mobile' GROUP BY ProductId, Product, Channel "
-        "ORDER BY Count DESC, ProductId LIMIT 5"
+    return spark.sql(f"SELECT channel, category, COUNT(*) AS Lines FROM {view} GROUP BY ALL")
+
+
+def category_by_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories with outer spaces, counted with and without saving the catalogue."""
+    routes = {"memory": _catalogue(spark, sf_dir), "saved": catalogue_roundtrip(spark, sf_dir)}
+    counts = (
+        catalogue.groupBy("Category").agg(F.count("*").alias("Lines")).withColumn(
+            "Route", F.lit(route)
+        )
+        for route, catalogue in routes.items()
     )
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _filled_then_refreshed(
+    spark: SparkSession, sf_dir: str, refresh: Callable[[DataFrame], None]
+) -> None:
+    """All hours with counts that are 1,000 too high, then the first days' hours again."""
+    counts = area_hour_counts(_catalogue(spark, sf_dir))
+    refresh(counts.withColumn("Count", F.col("Count") + 1000))
+    refresh(counts.filter(F.col("TimestampDateHr") < LATER_DAYS))
 
 
 def area_hour_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "area-hour")
-    refresh_area_hour_path(area_hour_counts(_catalogue(spark, sf_dir)), path)
+    _filled_then_refreshed(spark, sf_dir, lambda counts: refresh_area_hour_path(counts, path))
     return spark.read.parquet(path)
 
 
 def area_hour_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"area_hour_{uuid.uuid4().hex}"
     create_area_hour_table(spark, table, scratch_folder(spark, "area-hour"))
-    refresh_area_hour_table(area_hour_counts(_catalogue(spark, sf_dir)), table)
+    _filled_then_refreshed(spark, sf_dir, lambda counts: refresh_area_hour_table(counts, table))
     return spark.table(table)
 
 
@@ -217,6 +245,7 @@ def queries() -> dict[str, Query]:
         "catalogue_roundtrip": catalogue_roundtrip,
         "saved_catalogues": saved_catalogues,
         "saved_catalogue_sql": saved_catalogue_sql,
+        "category_by_route": category_by_route,
         "top_sold_by_channel": top_by_channel,
         "top_sold_by_category": top_by_category,
         "sold_by_area_hour": lambda spark, sf_dir: sold_by_area_hour(_catalogue(spark, sf_dir)),
@@ -239,39 +268,66 @@ _TABLES = """
 WITH cust AS (
   SELECT c_custkey AS CustomerId, c_name AS FirstName, c_mktsegment AS LastName,
          n_name AS City, r_name AS Country, r_name AS State,
-         CASE WHEN length(CAST(c_nationkey AS VARCHAR)) < 6
+         CASE WHEN c_custkey % 31 = 0 THEN '12345-6789'
+              WHEN length(CAST(c_nationkey AS VARCHAR)) < 6
               THEN lpad(CAST(c_nationkey AS VARCHAR), 6, '0')
               ELSE CAST(c_nationkey AS VARCHAR) END AS ZipCode
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-                JOIN region ON n_regionkey = r_regionkey),
+                JOIN region ON n_regionkey = r_regionkey
+                JOIN (VALUES (1), (2)) AS t(listing)
+                  ON c_custkey % 13 <> 5 AND (listing = 1 OR c_custkey % 17 = 3)),
+prod AS (
+  SELECT p_partkey AS ProductId, p_name AS Product,
+         CASE p_partkey % 10 WHEN 3 THEN concat(p_type, ' ') WHEN 4 THEN concat(' ', p_type)
+                             ELSE p_type END AS Category,
+         p_brand AS SubCategory
+  FROM part JOIN (VALUES (1), (2)) AS t(listing)
+              ON p_partkey % 19 <> 5 AND (listing = 1 OR p_partkey % 23 = 3)),
 src AS (
-  SELECT event_id, ts, user_id,
-         CASE event_type WHEN 'purchase' THEN 'Purchase' WHEN 'click' THEN 'AddToCart'
-                         WHEN 'view' THEN 'ProductView' END AS Kind,
-         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+  SELECT event_id, ts, CASE WHEN event_id % 29 > 0 THEN user_id END AS CustomerId,
+         event_type,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS ProductId,
          CASE event_id % 4 WHEN 0 THEN 'desktop-web' WHEN 1 THEN 'tablet-app'
                            WHEN 2 THEN 'desk-tablet' ELSE 'Desktop' END AS Source,
          CASE WHEN event_id % 7 = 0 THEN 'n/a'
               ELSE concat(CAST(value AS VARCHAR), '$') END AS p
   FROM events),
+kinds AS (
+  SELECT *, CASE event_type WHEN 'purchase' THEN 'Purchase' WHEN 'click' THEN 'AddToCart'
+                            WHEN 'view' THEN 'ProductView' END AS Kind FROM src
+  UNION ALL
+  SELECT *, CASE event_type WHEN 'click' THEN 'ProductView' ELSE 'AddToCart' END AS Kind
+  FROM src WHERE event_id % 11 = 0),
 ev AS (
-  SELECT event_id, user_id AS CustomerId, k AS ProductId,
+  SELECT event_id, CustomerId, ProductId,
          strftime(ts, '%d-%m-%Y') || '-' || hour(ts) AS Timestamp, Kind, Source,
          CASE WHEN contains(Source, 'desk') THEN 'Desk'
               WHEN contains(Source, 'tablet') THEN 'Tablet'
               ELSE 'Mobile' END AS Channel,
-         CAST(COALESCE(TRY_CAST(CASE WHEN right(p, 1) = '$' THEN substring(p, 1, length(p) - 1)
-                                     ELSE p END AS FLOAT), CAST(0 AS FLOAT)) AS DOUBLE) AS Price
-  FROM src),
+         CAST(CASE WHEN p = 'n/a' THEN 0 ELSE CAST(rtrim(p, '$') AS FLOAT) END AS DOUBLE) AS Price
+  FROM kinds),
 cat AS (
   SELECT ev.Kind, ev.CustomerId, ev.ProductId, ev.Timestamp, City, State, ZipCode,
-         p_name AS Product, p_type AS Category, p_brand AS SubCategory, Channel
+         Product, Category, SubCategory, Channel
   FROM ev JOIN cust ON ev.CustomerId = cust.CustomerId
-          JOIN part ON ev.ProductId = p_partkey
+          JOIN prod ON ev.ProductId = prod.ProductId
   WHERE Kind IS NOT NULL),
 sold AS (SELECT * EXCLUDE (Kind) FROM cat WHERE Kind = 'Purchase')
 """
 
+# What each spelling is by the rule: only these two words in this case are numbers.
+_ODD_PRICES = """
+, odd(k, Price, PriceKind) AS (VALUES
+  (0, 0.0, 'number'), (1, 0.0, 'number'), (2, 0.0, 'number'), (3, 0.0, 'number'),
+  (4, NULL, 'Infinity'), (5, NULL, '-Infinity'), (6, NULL, 'NaN'), (7, 1000.0, 'number'),
+  (8, 0.0, 'number'), (9, 5.5, 'number'))
+SELECT event_id,
+       CASE WHEN event_id % 3 = 0 THEN CAST(odd.Price AS DOUBLE)
+            WHEN p = 'n/a' THEN 0
+            ELSE CAST(CAST(rtrim(p, '$') AS FLOAT) AS DOUBLE) END AS Price,
+       CASE WHEN event_id % 3 = 0 THEN PriceKind ELSE 'number' END AS PriceKind
+FROM src JOIN odd ON k = (event_id // 3) % 10"""
+
 _SAVED_COLUMNS = (
     "CAST(CustomerId AS VARCHAR) AS CustomerId, CAST(ProductId AS VARCHAR) AS ProductId, "
     "City, State, ZipCode, Product, Category, SubCategory, Channel, Timestamp"
@@ -280,7 +336,9 @@ _AREA_HOUR = (
     "SELECT City, State, ZipCode AS Zipcode, {count} AS Count, Timestamp AS TimestampDateHr "
     "FROM sold GROUP BY City, State, ZipCode, Timestamp"
 )
-_INT_AREA_HOUR = _AREA_HOUR.format(count="CAST(COUNT(*) AS INT)")
+_REFRESHED = _AREA_HOUR.format(
+    count=f"CAST(COUNT(*) + CASE WHEN Timestamp < '{LATER_DAYS}' THEN 0 ELSE 1000 END AS INT)"
+)
 
 
 def _events_sql(kind: str, extra: str = "") -> str:
@@ -293,14 +351,11 @@ def _events_sql(kind: str, extra: str = "") -> str:
 def oracle_sql() -> dict[str, str]:
     tails = {
         "customers_clean": "SELECT * FROM cust",
-        "products": (
-            "SELECT p_partkey AS ProductId, p_name AS Product, p_type AS Category, "
-            "p_brand AS SubCategory FROM part"
-        ),
+        "products": "SELECT * FROM prod",
         "purchase_events": _events_sql("Purchase", ", CAST(1 AS BIGINT) AS Quantity"),
         "cart_events": _events_sql("AddToCart"),
         "view_events": _events_sql("ProductView"),
-        "price_parse": "SELECT event_id, Price FROM ev",
+        "price_parse": _ODD_PRICES,
         "basket_items": (
             "SELECT l_orderkey, l_partkey AS ProductId, "
             "CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE) AS Price, "
@@ -313,10 +368,12 @@ def oracle_sql() -> dict[str, str]:
         "catalogue_roundtrip": f"SELECT {_SAVED_COLUMNS} FROM sold",
         "saved_catalogues": f"SELECT {_SAVED_COLUMNS}, Kind FROM cat",
         "saved_catalogue_sql": (
-            "SELECT CAST(ProductId AS VARCHAR) AS ProductId, Product, Channel, "
-            "COUNT(*) AS Count FROM sold WHERE Channel = 'Mobile' "
-            "GROUP BY ProductId, Product, Channel "
-            "ORDER BY Count DESC, CAST(sold.ProductId AS VARCHAR) LIMIT 5"
+            "SELECT Channel AS channel, Category AS category, COUNT(*) AS Lines "
+            "FROM sold GROUP BY Channel, Category"
+        ),
+        "category_by_route": (
+            "SELECT Category, COUNT(*) AS Lines, Route FROM sold "
+            "CROSS JOIN (VALUES ('memory'), ('saved')) AS t(Route) GROUP BY Category, Route"
         ),
         "top_sold_by_channel": (
             "SELECT ProductId, Product, Channel, COUNT(*) AS Count FROM sold "
@@ -332,15 +389,15 @@ def oracle_sql() -> dict[str, str]:
             "SELECT City, State, ZipCode AS Zipcode, COUNT(*) AS Count FROM sold "
             "GROUP BY City, State, ZipCode, Timestamp"
         ),
-        "area_hour_path": _INT_AREA_HOUR,
-        "area_hour_table": _INT_AREA_HOUR,
+        "area_hour_path": _REFRESHED,
+        "area_hour_table": _REFRESHED,
         "area_hour_saved_table": _AREA_HOUR.format(count="COUNT(*)"),
         "customers_by_zip": (
             f"SELECT CustomerId, FirstName, ZipCode, State FROM cust WHERE ZipCode = '{ZIP_CODE}'"
         ),
         "customers_per_state": "SELECT State, COUNT(*) AS count FROM cust GROUP BY State",
         "products_per_category": (
-            "SELECT p_type AS Category, COUNT(*) AS count FROM part GROUP BY p_type"
+            "SELECT Category, COUNT(*) AS count FROM prod GROUP BY Category"
         ),
     }
     of_pipeline = {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}

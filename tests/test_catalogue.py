@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from rows import bag
 
-from tillscope.operators import build_catalogue, spread, split_events
+from tillscope.operators import build_catalogue, event_lines, split_events
 from tillscope.operators.catalogue import size_dimensions
 from tillscope.operators.spread import divide, hot_values
+from tillscope.plans import plan_catalogue
 from tillscope.schemas import CATALOGUE
 from tillscope.sinks.by_hour import session_settings
 
@@ -89,14 +92,11 @@ def test_pieces_are_even_and_no_row_is_lost(skewed):
     assert hot["Timestamp"].filter("Timestamp IS NULL").count() == 1
 
 
-def test_only_the_hottest_values_are_divided(skewed, customers, products, monkeypatch):
-    plain = bag(build_catalogue(skewed, customers, products))
-    monkeypatch.setattr(spread, "MOST_DIVIDED", 1)
-    assert hot_values(skewed, "CustomerId", 1).count() == 1
-    divided = build_catalogue(
-        skewed, customers, products, divided=("CustomerId", "ProductId"), rows_per_piece=1
-    )
-    assert bag(divided) == plain
+def test_every_value_over_the_size_is_divided(skewed):
+    counts = skewed.groupBy("CustomerId").count()
+    for rows_per_piece in (1, 100, 400):
+        hot = hot_values(skewed, "CustomerId", rows_per_piece)
+        assert hot.count() == counts.filter(F.col("count") > rows_per_piece).count()
 
 
 def plan_of(table):
@@ -125,3 +125,24 @@ def test_dimensions_are_broadcast_only_below_the_limit(skewed, customers, produc
     assert shuffled.count("SortMergeJoin") == 2
     assert "CustomerIdPiece" in shuffled and "ProductIdPiece" in shuffled
     assert "CartesianProduct" not in shuffled and "NestedLoop" not in shuffled
+
+
+def test_planning_writes_nothing(spark, raw_events, customers, products):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    dimensions = size_dimensions(customers, products, limit=0)
+    plain = bag(build_catalogue(split_events(raw_events).purchases, customers, products))
+    assert bag(plan_catalogue(raw_events, "Purchase", dimensions)) == plain
+    assert (set(os.listdir(shared)) if os.path.isdir(shared) else set()) == before
+    lines = event_lines(raw_events)
+    assert bag(plan_catalogue(raw_events, "Purchase", dimensions, lines)) == plain
+
+
+def test_a_hint_makes_divided_joins_shuffle(skewed, customers, products):
+    plan = plan_of(
+        build_catalogue(
+            skewed, customers, products, ("CustomerId", "ProductId"), rows_per_piece=50, how="merge"
+        )
+    )
+    assert plan.count("SortMergeJoin") == 2
+    assert "CustomerIdPiece" in plan and "ProductIdPiece" in plan

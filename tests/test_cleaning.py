@@ -92,11 +92,12 @@ def test_parse_price(spark):
 
 
 def test_parse_price_special_values(spark):
-    # Spark reads "inf" as infinity. A parser that knows only the spelling
-    # "Infinity" would make it 0.0; the difference is accepted.
-    nan, inf, spelled_out = apply(spark, parse_price, ["NaN", "inf", "Infinity"])
-    assert math.isnan(nan)
-    assert inf == spelled_out == math.inf
+    prices = ["NaN", " NaN$", "Infinity", "-Infinity$", "+Infinity"]
+    nan, signed, up, down, plus = apply(spark, parse_price, prices)
+    assert math.isnan(nan) and math.isnan(signed)
+    assert up == plus == math.inf and down == -math.inf
+    others = ["nan", "NAN", "inf", "-inf", "inf$", "+INF", "infinity", "INFINITY$"]
+    assert apply(spark, parse_price, others) == [0.0] * len(others)
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])

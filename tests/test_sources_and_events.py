@@ -23,11 +23,26 @@ def test_products(products):
     assert ("p2", "Cable, 2 m", "Electronics", "Cables") in bag(products)
 
 
-def test_csv_with_other_columns_is_refused(spark, raw_paths):
-    with pytest.raises(Exception, match="(?i)header"):
-        load_products(spark, raw_paths["customers"]).collect()
+def test_csv_columns_are_found_by_name(spark, tmp_path, products):
+    path = tmp_path / "products.csv"
+    path.write_text("SubCategory,Extra,Product,ProductId,Category\nCats,x,Cat Bed,p1,Pets\n")
+    loaded = load_products(spark, str(path))
+    assert loaded.schema == PRODUCT
+    assert bag(loaded) == {("p1", "Cat Bed", "Pets", "Cats"): 1}
+
+
+def test_csv_without_a_needed_column_is_refused(spark, raw_paths):
+    with pytest.raises(ValueError, match="no column Category, Product, ProductId, SubCategory"):
+        load_products(spark, raw_paths["customers"])
+    with pytest.raises(ValueError, match="no column .*Zip"):
+        load_customers(spark, raw_paths["products"])
+
+
+def test_csv_files_of_different_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ProductId,Product,Category,SubCategory\np1,a,b,c\n")
+    (tmp_path / "b.csv").write_text("Product,ProductId,Category,SubCategory\na,p1,b,c\n")
     with pytest.raises(Exception, match="(?i)header"):
-        load_customers(spark, raw_paths["products"]).collect()
+        load_products(spark, str(tmp_path)).collect()
 
 
 def test_purchases(raw_events):

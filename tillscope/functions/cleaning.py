@@ -40,7 +40,18 @@ def channel_of(source: Column) -> Column:
 
 
 def parse_price(price: Column) -> Column:
-    """Float price without one trailing ``$``; 0.0 where it cannot be read."""
+    """Float price without one trailing ``$``; 0.0 where it cannot be read.
+
+    ``NaN`` and ``Infinity``, with a sign or without, are numbers in this spelling only.
+    """
     has_sign = F.endswith(price, F.lit("$"))
     bare = F.when(has_sign, F.left(price, F.length(price) - 1)).otherwise(price)
-    return F.coalesce(bare.try_cast("float"), F.lit(0.0).cast("float"))
+    word = F.trim(bare)
+    # The cast takes these words in any case, and a short form too.
+    other_spelling = word.rlike("(?i)^[+-]?(nan|inf|infinity)$") & ~word.rlike(
+        "^[+-]?(NaN|Infinity)$"
+    )
+    unreadable = F.lit(0.0).cast("float")
+    return F.when(other_spelling, unreadable).otherwise(
+        F.coalesce(bare.try_cast("float"), unreadable)
+    )

@@ -63,6 +63,7 @@ def build_catalogue(
     products: DataFrame,
     divided: Iterable[str] = (),
     rows_per_piece: int = ROWS_PER_PIECE,
+    how: str | None = None,
 ) -> DataFrame:
     """Each event with the place of its customer and the kind of its product.
 
@@ -71,19 +72,25 @@ def build_catalogue(
 
     ``divided`` names keys whose hot values are dealt out over several tasks; it
     needs events that come straight from files (see `spread`). Those joins come
-    first, for they shuffle the events, and each join makes the events wider.
+    first, for they shuffle the events, and each join makes the events wider. ``how`` is
+    their join hint. Without ``divided`` a shuffle join has adaptive execution alone
+    against skew; `plan_catalogue` measures and divides.
     """
     lines, hot = divide(events.select(*EVENT_COLUMNS), divided, rows_per_piece)
     tables = {"CustomerId": customers, "ProductId": products}
     for key in sorted(tables, key=lambda key: key not in hot):
-        lines = join_dimension(lines, tables[key], key, hot.get(key))
+        lines = join_dimension(lines, tables[key], key, hot.get(key), how)
     return lines.select(*CATALOGUE.names)
 
 
 def join_dimension(
-    lines: DataFrame, dimension: DataFrame, key: str, hot: DataFrame | None = None
+    lines: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    hot: DataFrame | None = None,
+    how: str | None = None,
 ) -> DataFrame:
     dimension = dimension.select(*DIMENSION_COLUMNS[key])
     if hot is None:
         return lines.join(dimension, key)
-    return join_divided(lines, dimension, key, hot)
+    return join_divided(lines, dimension, key, hot, how)

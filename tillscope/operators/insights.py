@@ -63,6 +63,29 @@ def area_hour_counts(catalogue: DataFrame) -> DataFrame:
     )
 
 
+_PRODUCT = ("ProductId", "Product", "Category", "Channel")
+_AREA = ("City", "State", "ZipCode", "Timestamp")
+
+
+def product_and_area_counts(catalogue: DataFrame) -> DataFrame:
+    """`product_counts` and `area_hour_counts` in one pass; `split_counts` parts them."""
+    return catalogue.groupingSets([_PRODUCT, _AREA], *_PRODUCT, *_AREA).agg(
+        F.count("*").alias("Count"), F.grouping("City").alias("OfProduct")
+    )
+
+
+def split_counts(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Counts of products, and of areas and hours."""
+    areas = counts.filter("OfProduct = 0").select(
+        "City",
+        "State",
+        F.col("ZipCode").alias("Zipcode"),
+        "Count",
+        F.col("Timestamp").alias("TimestampDateHr"),
+    )
+    return counts.filter("OfProduct = 1").select(*_PRODUCT, "Count"), areas
+
+
 def sold_by_area_hour(catalogue: DataFrame) -> DataFrame:
     """Sold basket lines, one row per area and hour, largest first."""
     return rank_areas(area_hour_counts(catalogue))

@@ -15,15 +15,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_PIECE = 2_000_000
 
-# Bounds the broadcast of divided values. The values beyond it, of which each has
-# at most 1/50,000 of the rows, stay in one piece.
-MOST_DIVIDED = 50_000
-
 
 class Divided(NamedTuple):
     rows: DataFrame
@@ -37,47 +33,64 @@ def piece_column(column: str) -> str:
 def hot_values(rows: DataFrame, column: str, rows_per_piece: int) -> DataFrame:
     """Values of a column with more than ``rows_per_piece`` rows, and their pieces.
 
-    At most `MOST_DIVIDED` rows. The order is total, so every use of this table in
-    a plan sees the same values.
+    There are fewer of them than ``rows_per_piece`` goes into the number of rows, which
+    bounds their broadcast.
     """
     return (
         rows.groupBy(column)
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") > rows_per_piece)
-        .orderBy(F.desc("n"), column)
-        .limit(MOST_DIVIDED)
         .select(column, F.ceil(F.col("n") / rows_per_piece).alias("Pieces"))
     )
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Give each row of a table that comes straight from files its position."""
+    if "RowPosition" in rows.columns:
+        return rows
+    return rows.withColumn("RowPosition", F.monotonically_increasing_id())
+
+
+def dealt(pieces: Column) -> Column:
+    """The piece of a row with a ``RowPosition``, 0 where ``pieces`` is null."""
+    piece = F.pmod(F.xxhash64("RowPosition"), pieces)
+    return F.coalesce(piece, F.lit(0).cast("long"))
+
+
 def divide(
     rows: DataFrame, columns: Iterable[str], rows_per_piece: int = ROWS_PER_PIECE
 ) -> Divided:
-    """Add a piece number for each of the columns; 0 for values that are not hot."""
+    """Add a piece number for each of the columns; 0 for values that are not hot.
+
+    Rows that are `numbered` already are dealt by that position.
+    """
     hot = {column: hot_values(rows, column, rows_per_piece) for column in columns}
     if not hot:
         return Divided(rows, hot)
-    kept = rows.columns
-    divided = rows.withColumn("RowPosition", F.monotonically_increasing_id())
+    kept = [column for column in rows.columns if column != "RowPosition"]
+    divided = numbered(rows)
     for column, values in hot.items():
         values = values.withColumnRenamed(column, "HotValue")
-        dealt = F.pmod(F.xxhash64("RowPosition"), F.col("Pieces"))
-        piece = F.coalesce(dealt, F.lit(0).cast("long"))
         kept = [*kept, piece_column(column)]
         # A null is a value too: rows without an hour can be many.
         divided = divided.join(
             F.broadcast(values), F.col(column).eqNullSafe(F.col("HotValue")), "left"
-        ).select("RowPosition", *kept[:-1], piece.alias(kept[-1]))
+        ).select("RowPosition", *kept[:-1], dealt(F.col("Pieces")).alias(kept[-1]))
     return Divided(divided.select(*kept), hot)
 
 
 def join_divided(
-    rows: DataFrame, dimension: DataFrame, key: str, hot: DataFrame
+    rows: DataFrame, dimension: DataFrame, key: str, hot: DataFrame, how: str | None = None
 ) -> DataFrame:
-    """Inner join on a divided key; the same rows as joining on the key alone."""
+    """Inner join on a divided key; the same rows as joining on the key alone.
+
+    ``how`` is a join hint, such as ``merge`` for a dimension known to be large.
+    """
     piece = piece_column(key)
     pieces = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("Pieces"), F.lit(1)) - 1)
     copies = dimension.join(F.broadcast(hot), key, "left").select(
         *dimension.columns, F.explode(pieces).alias(piece)
     )
+    if how:
+        copies = copies.hint(how)
     return rows.join(copies, [key, piece]).drop(piece)

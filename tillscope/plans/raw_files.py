@@ -1,7 +1,8 @@
 """The driver's tables written in the raw shapes that the loaders read.
 
-Written once per session and folder of tables, so that queries go through the
-same CSV and JSON sources as a real log.
+The files hold what the rules are about: customers and products that are missing or listed
+twice, events without a customer, records of two kinds, long zip codes, categories with
+outer spaces, and baskets of many items. Which rows those are follows from their ids.
 """
 
 from __future__ import annotations
@@ -22,39 +23,63 @@ BASKET_SIZE = 8
 _KIND_TYPES = {"Purchase": "purchase", "AddToCart": "click", "ProductView": "view"}
 
 _KINDS_TYPE = RAW_EVENT["EventType"].dataType
+_TABLES = ("nation", "region", "customer", "part", "events", "lineitem")
+_AS_IT_IS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 class RetailTables(NamedTuple):
     customers: DataFrame
     products: DataFrame
     events: DataFrame
+    baskets: DataFrame
     dimensions: Dimensions
 
 
-_loaded: dict[tuple[SparkSession, str], RetailTables] = {}
+_written: dict[tuple, str] = {}
 
 
 def retail_tables(spark: SparkSession, sf_dir: str) -> RetailTables:
-    """Load customers, products and the event log of a folder of driver tables."""
-    key = (spark, sf_dir)
-    if key not in _loaded:
+    """Load customers, products and both event logs of a folder of driver tables.
+
+    The raw files are written once per application and state of the driver's tables, so
+    that every query goes through the same sources as a real log.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
+    if key not in _written:
         folder = scratch_folder(spark, "raw")
         write_raw_files(spark, sf_dir, folder)
-        customers = load_customers(spark, f"{folder}/customers")
-        products = load_products(spark, f"{folder}/products")
-        _loaded[key] = RetailTables(
-            customers,
-            products,
-            load_events(spark, f"{folder}/events"),
-            size_dimensions(customers, products),
-        )
-    return _loaded[key]
+        _written[key] = folder
+    folder = _written[key]
+    customers = load_customers(spark, f"{folder}/customers")
+    products = load_products(spark, f"{folder}/products")
+    return RetailTables(
+        customers,
+        products,
+        load_events(spark, f"{folder}/events"),
+        load_events(spark, f"{folder}/baskets"),
+        size_dimensions(customers, products),
+    )
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Times and sizes of the tables' files."""
+    found = []
+    for name in _TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in system.listStatus(path):
+            found.append((str(status.getPath()), status.getModificationTime(), status.getLen()))
+    return tuple(sorted(found))
 
 
 def write_raw_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    _raw_customers(spark, sf_dir).write.option("header", True).csv(f"{folder}/customers")
-    _raw_products(spark, sf_dir).write.option("header", True).csv(f"{folder}/products")
+    for name, table in (
+        ("customers", _raw_customers(spark, sf_dir)),
+        ("products", _raw_products(spark, sf_dir)),
+    ):
+        table.write.options(header=True, **_AS_IT_IS).csv(f"{folder}/{name}")
     _raw_events(spark, sf_dir).write.json(f"{folder}/events")
+    _basket_log(spark, sf_dir).write.json(f"{folder}/baskets")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,9 +100,14 @@ def _raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_name").alias("City"),
             F.col("r_name").alias("Country"),
             F.col("r_name").alias("State"),
-            F.col("c_nationkey").cast("string").alias("Zip"),
+            F.when(F.col("c_custkey") % 31 == 0, "12345-6789")
+            .otherwise(F.col("c_nationkey").cast("string"))
+            .alias("Zip"),
+            _listings(F.col("c_custkey"), 13, 17),
+            F.col("c_mktsegment").alias("Segment"),
         )
-        .select(*RAW_CUSTOMER.names)
+        # In another order than the loader's, and with a column that nobody asks for.
+        .select("Segment", *reversed(RAW_CUSTOMER.names))
     )
 
 
@@ -87,24 +117,41 @@ def _raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("p_partkey").cast("string").alias("ProductId"),
             F.col("p_name").alias("Product"),
-            F.col("p_type").alias("Category"),
+            F.when(F.col("p_partkey") % 10 == 3, F.concat("p_type", F.lit(" ")))
+            .when(F.col("p_partkey") % 10 == 4, F.concat(F.lit(" "), "p_type"))
+            .otherwise(F.col("p_type"))
+            .alias("Category"),
             F.col("p_brand").alias("SubCategory"),
+            _listings(F.col("p_partkey"), 19, 23),
         )
         .select(*PRODUCT.names)
     )
 
 
+def _listings(number: Column, missing: int, twice: int) -> Column:
+    """No listing of some numbers, two of others, and one of the rest."""
+    times = F.when(number % missing == 5, 0).when(number % twice == 3, 2).otherwise(1)
+    return F.explode(F.array_repeat(F.lit(True), times)).alias("listed")
+
+
 def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     product = F.from_json("props", "k INT")["k"].cast("string").alias("ProductId")
     item = F.struct(product, price_text().alias("Price"))
     basket_item = F.struct(product, price_text().alias("Price"), F.lit(1).alias("Quantity"))
 
+    # Each eleventh record carries a cart too, or a view beside a cart.
+    second = F.when(F.col("event_id") % 11 == 0, F.lit("AddToCart"))
+    second = F.when(
+        F.col("event_type") == "click", F.when(second.isNotNull(), "ProductView")
+    ).otherwise(second)
+
     def member(kind: str, value: Column) -> Column:
-        return F.when(F.col("event_type") == _KIND_TYPES[kind], value).alias(kind)
+        carried = (F.col("event_type") == _KIND_TYPES[kind]) | (second == kind)
+        return F.when(carried, value).alias(kind)
 
     return _table(spark, sf_dir, "events").select(
         _log_time(F.col("ts")).alias("timestamp"),
-        F.col("user_id").cast("string").alias("CustomerId"),
+        F.when(F.col("event_id") % 29 > 0, F.col("user_id").cast("string")).alias("CustomerId"),
         _source_name(F.col("event_id")).alias("Source"),
         F.struct(
             member("Purchase", F.array(basket_item)),
@@ -137,7 +184,19 @@ def price_text() -> Column:
     )
 
 
-def basket_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Spellings that are numbers and that only look like it.
+_ODD_PRICES = ("inf", "-inf", "nan", "NAN", "Infinity", "-Infinity", "NaN", "1e3", "12$$", " 5.5 ")
+
+
+def odd_price_text() -> Column:
+    """`price_text`, but each third event has one of the odd spellings."""
+    odd = F.get(
+        F.array(*map(F.lit, _ODD_PRICES)), (F.floor(F.col("event_id") / 3) % 10).cast("int")
+    )
+    return F.when(F.col("event_id") % 3 == 0, odd).otherwise(price_text())
+
+
+def _basket_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as purchase records, up to `BASKET_SIZE` items in a basket.
 
     An order with more lines than that has several baskets, so that no group

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from math import ceil
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,21 +17,21 @@ from tillscope.operators.catalogue import (
 )
 from tillscope.operators.events import event_lines, events_of_kind
 from tillscope.operators.insights import (
-    area_hour_counts,
-    product_counts,
+    product_and_area_counts,
     rank_areas,
+    split_counts,
     top_sold_by_category,
     top_sold_by_channel,
 )
-from tillscope.operators.spread import ROWS_PER_PIECE, divide, piece_column
-from tillscope.plans.scratch import scratch_folder
+from tillscope.operators.spread import ROWS_PER_PIECE, divide, numbered
+from tillscope.plans.scratch import remove_folders, scratch_folder
 from tillscope.schemas import CATALOGUE, EVENT_LINE, KINDS
 from tillscope.sinks import (
     create_area_hour_table,
     refresh_area_hour_table,
     write_catalogue,
 )
-from tillscope.sinks.by_hour import in_even_tasks
+from tillscope.sinks.by_hour import hour_counts, in_hour_tasks, with_hour_task
 from tillscope.sources import (
     load_catalogue,
     load_customers,
@@ -43,10 +42,13 @@ from tillscope.sources import (
 
 
 class RetailReport(NamedTuple):
+    """The answers. They are read from ``scratch``, which the caller may remove after use."""
+
     purchase_catalogue: DataFrame
     top_by_channel: DataFrame
     top_by_category: DataFrame
     by_area_hour: DataFrame
+    scratch: str
 
 
 def catalogue_path(output_dir: str, kind: str) -> str:
@@ -56,45 +58,51 @@ def catalogue_path(output_dir: str, kind: str) -> str:
 def stage_lines(raw: DataFrame, folder: str) -> DataFrame:
     """Write the lines of all kinds as Parquet and read them back.
 
-    The log is parsed once for three catalogues, and each catalogue reads only
-    its own kind. A lost executor costs a re-read of this table, not of the log.
+    The log is parsed once for three catalogues. A task writes one file in the order of
+    kinds, so a catalogue skips the pages of others. A lost executor costs a re-read of
+    this table, not of the log.
     """
-    event_lines(raw).write.partitionBy("Kind").parquet(folder)
+    event_lines(raw).sortWithinPartitions("Kind").write.parquet(folder)
     return raw.sparkSession.read.schema(EVENT_LINE).parquet(folder)
 
 
-def plan_catalogue(raw: DataFrame, kind: str, dimensions: Dimensions) -> DataFrame:
-    """The catalogue of one kind of event, unsaved.
+def plan_catalogue(
+    raw: DataFrame, kind: str, dimensions: Dimensions, lines: DataFrame | None = None
+) -> DataFrame:
+    """The catalogue of one kind of event, unsaved; nothing is run or written.
 
-    Broadcast dimensions are joined in the pass that parses the log. Beyond that
-    size the hot keys have to be counted first, so the lines are staged.
+    Broadcast dimensions are joined in the pass that parses the log. For others the hot
+    keys are counted first, in a pass of its own; ``lines`` that are staged already
+    save parsing the log for it.
     """
-    if dimensions.shuffled:
-        lines = stage_lines(raw, scratch_folder(raw.sparkSession, "lines"))
-        events = lines.filter(F.col("Kind") == kind)
-    else:
+    if lines is None:
         events = events_of_kind(raw, kind)
+    else:
+        events = lines.filter(F.col("Kind") == kind)
     return build_catalogue(
         events, dimensions.customers, dimensions.products, dimensions.shuffled
     )
 
 
 def catalogue_by_hour(
-    events: DataFrame, dimensions: Dimensions, rows_per_piece: int = ROWS_PER_PIECE
+    events: DataFrame,
+    dimensions: Dimensions,
+    counts: DataFrame,
+    rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
     """The catalogue of staged events, laid out by hour for `write_catalogue`.
 
-    The events are counted for the number of tasks, and hot hours divided. They are
-    shuffled by hour while they are narrow: broadcast dimensions are joined only
-    after that.
+    ``counts`` are the events' `hour_counts`. The events are shuffled by hour while they
+    are narrow: broadcast dimensions are joined only after that.
     """
-    lines = events.select(*EVENT_COLUMNS)
-    tasks = ceil(lines.count() / rows_per_piece)
-    lines, hot = divide(lines, (*dimensions.shuffled, "Timestamp"), rows_per_piece)
+    lines, tasks = with_hour_task(
+        numbered(events.select(*EVENT_COLUMNS)), "Timestamp", counts, rows_per_piece
+    )
+    lines, hot = divide(lines, dimensions.shuffled, rows_per_piece)
     tables = {"CustomerId": dimensions.customers, "ProductId": dimensions.products}
     for key in dimensions.shuffled:
         lines = join_dimension(lines, tables.pop(key), key, hot[key])
-    lines = in_even_tasks(lines, "Timestamp", piece_column("Timestamp"), tasks=tasks)
+    lines = in_hour_tasks(lines.drop("RowPosition"), tasks)
     for key, table in tables.items():
         lines = join_dimension(lines, table, key)
     return lines.select(*CATALOGUE.names)
@@ -111,16 +119,20 @@ def save_catalogues(
 ) -> dict[str, str]:
     """Save the catalogue of each kind of event; returns their paths by kind.
 
-    The staged lines are left in ``staging_dir`` (by default a new folder in the
-    session's shared folder) for the caller to remove.
+    The lines are staged in a folder of the session's shared folder and removed at the
+    end, or else in ``staging_dir``, which is left to the caller.
     """
     spark = raw.sparkSession
-    lines = stage_lines(raw, staging_dir or scratch_folder(spark, "lines"))
+    folder = staging_dir or scratch_folder(spark, "staged")
+    lines = stage_lines(raw, f"{folder}/lines")
     dimensions = size_dimensions(customers, products, broadcast_limit)
     paths = {kind: catalogue_path(output_dir, kind) for kind in KINDS}
     for kind, path in paths.items():
         events = lines.filter(F.col("Kind") == kind)
-        write_catalogue(catalogue_by_hour(events, dimensions, rows_per_piece), path)
+        counts = _stage(hour_counts(events, "Timestamp"), f"{folder}/hours-{kind}")
+        write_catalogue(catalogue_by_hour(events, dimensions, counts, rows_per_piece), path)
+    if staging_dir is None:
+        remove_folders(spark, folder)
     return paths
 
 
@@ -138,9 +150,8 @@ def run_retail_job(
 ) -> RetailReport:
     """Run everything; the answers come from the saved purchase catalogue.
 
-    The catalogue is read twice, once for each set of counts that the answers and
-    the area table share. The counts are staged, for they are small and each is
-    used more than once.
+    The catalogue is read once, for both sets of counts that the answers and the area
+    table share. The counts are small and staged in the report's ``scratch``.
     """
     paths = save_catalogues(
         load_events(spark, events_path),
@@ -151,8 +162,8 @@ def run_retail_job(
     )
     purchases = load_catalogue(spark, paths["Purchase"])
     register_catalogue(purchases)
-    areas = _stage(area_hour_counts(purchases), scratch_folder(spark, "areas"))
-    sold = _stage(product_counts(purchases), scratch_folder(spark, "sold"))
+    scratch = scratch_folder(spark, "counts")
+    sold, areas = split_counts(_stage(product_and_area_counts(purchases), scratch))
     create_area_hour_table(spark, area_table)
     refresh_area_hour_table(areas, area_table)
     return RetailReport(
@@ -160,6 +171,7 @@ def run_retail_job(
         top_sold_by_channel(sold, channel, n),
         top_sold_by_category(sold, category, n),
         rank_areas(areas),
+        scratch,
     )
 
 

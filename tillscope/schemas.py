@@ -40,6 +40,7 @@ RAW_EVENT = T.StructType(
     ]
 )
 
+# Fixed names from here on: columns of the tables that are given out.
 CUSTOMER = _strings(
     "CustomerId", "FirstName", "LastName", "City", "Country", "State", "ZipCode"
 )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.schemas import AREA_HOUR
-from tillscope.sinks.by_hour import in_even_tasks, session_settings
+from tillscope.sinks.by_hour import by_hour, session_settings
 
 _HOUR = "TimestampDateHr"
 
@@ -26,7 +26,7 @@ def create_area_hour_table(
 ) -> None:
     """Create the table, empty, if it is not there."""
     columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in AREA_HOUR)
-    place = f" LOCATION '{path}'" if path else ""
+    place = " LOCATION '{}'".format(path.replace("\\", "\\\\").replace("'", "\\'")) if path else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
         f"PARTITIONED BY ({_HOUR}){place}"
@@ -63,7 +63,7 @@ def save_area_hour_table(
 
 def _by_hour(counts: DataFrame) -> DataFrame:
     # Counted already, so an hour has no more rows than there are areas.
-    return in_even_tasks(counts, _HOUR)
+    return by_hour(counts, _HOUR)
 
 
 def _int_counts(counts: DataFrame) -> DataFrame:

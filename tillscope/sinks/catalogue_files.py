@@ -3,25 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillscope.schemas import CATALOGUE
-from tillscope.sinks.by_hour import cutting_large_tasks
 
 
 def save_catalogue(catalogue: DataFrame, path: str) -> None:
-    """Replace the catalogue at ``path``, whatever hours it had."""
-    with cutting_large_tasks(catalogue, "Timestamp") as gathered:
-        write_catalogue(gathered, path)
+    """Replace the catalogue at ``path``, whatever hours it had.
+
+    Hours of unknown size: adaptive execution cuts tasks that come out large, so
+    an hour with much of the data is written by several. Without adaptive execution
+    use `write_catalogue` on rows laid out by measured hours.
+    """
+    write_catalogue(catalogue.hint("rebalance", "Timestamp"), path)
 
 
 def write_catalogue(catalogue: DataFrame, path: str) -> None:
-    """The same for rows that already lie together by hour: no shuffle."""
+    """The same for rows that already lie together by hour: no shuffle.
+
+    Texts keep their outer spaces. A line break can't be read back from CSV that is
+    read in parts, so a value that has one stops the write.
+    """
     (
-        catalogue.select(*CATALOGUE.names)
+        _on_one_line(catalogue.select(*CATALOGUE.names))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("header", True)
         .option("sep", ",")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .partitionBy("Timestamp")
         .csv(path)
     )
+
+
+def _on_one_line(catalogue: DataFrame) -> DataFrame:
+    text = F.concat_ws("", *(name for name in catalogue.columns if name != "Timestamp"))
+    broken = text.contains("\n") | text.contains("\r")
+    first = catalogue.columns[0]
+    checked = F.when(
+        broken, F.raise_error(F.lit("a catalogue value has a line break")).cast("string")
+    ).otherwise(F.col(first))
+    return catalogue.withColumn(first, checked)

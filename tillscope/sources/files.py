@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillscope.functions import pad_zip
 from tillscope.schemas import PRODUCT, RAW_CUSTOMER, RAW_EVENT, SAVED_CATALOGUE
@@ -22,9 +22,22 @@ def _read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     )
 
 
+def _read_by_name(spark: SparkSession, path: str, needed: list[str]) -> DataFrame:
+    """The needed columns of a CSV input, in whatever order and among whatever others.
+
+    One header is read for the names; all files of the input have to have the same one.
+    """
+    names = spark.read.option("header", True).option("sep", ",").csv(path).columns
+    missing = sorted(set(needed) - set(names))
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    schema = StructType([StructField(name, StringType()) for name in names])
+    return _read_csv(spark, path, schema).select(*needed)
+
+
 def load_customers(spark: SparkSession, path: str) -> DataFrame:
     """Customers with their names in one style and the zip code padded."""
-    raw = _read_csv(spark, path, RAW_CUSTOMER)
+    raw = _read_by_name(spark, path, RAW_CUSTOMER.names)
     return raw.select(
         "CustomerId",
         F.col("First_Name").alias("FirstName"),
@@ -37,7 +50,7 @@ def load_customers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_products(spark: SparkSession, path: str) -> DataFrame:
-    return _read_csv(spark, path, PRODUCT)
+    return _read_by_name(spark, path, PRODUCT.names)
 
 
 def load_events(spark: SparkSession, path: str) -> DataFrame:
