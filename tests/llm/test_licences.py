@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from tillscope.llm import licences
+from tillscope.llm.licences import NAMES, SIMILAR, TEMPLATES, TERMS, scan_licences
+
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_TERM = re.compile("[0-9a-z\u0080-\U0010ffff]+")
+
+FILES = [
+    (1, "LICENSE", "Some words.\nReleased under the MIT License.\nMore."),
+    (2, "src/main.c", "int main() {}"),
+    (3, "src/deep/er/x.c", "no statement"),
+    (4, "vendor/COPYING.txt", TEMPLATES["GPL-3.0"]),
+    (5, "vendor/lib/a.c", None),
+    (6, "vendor/lib/b.c", "// licensed under the apache license, version 2.0!\ncode"),
+    (7, "vendor/lib/LICENSE", "no statement here"),
+    (8, "vendor2/a.c", ""),
+    (9, None, "text"),
+    (9, None, "text"),
+    (10, "src/other", "This line holds the words License and under, and much else beside"),
+    (11, "two/LICENSE", "Released under the MIT License."),
+    (12, "two/COPYING", "Licensed under CC BY 4.0."),
+    (13, "two/x", "y"),
+    (14, "LICENSES/x", "a directory of that name is no licence file"),
+]
+
+
+def brute_force(rows):
+    found = {}
+    holding = Counter()
+    words = {}
+    for number, (_, _, text) in enumerate(rows):
+        lines = (text or "").translate(_LOWER).split("\n")
+        words[number] = [_TERM.findall(line) for line in lines]
+        holding.update({w for line in words[number] for w in line} & set(TERMS))
+    total = len(rows)
+
+    def idf(word):
+        return 1 + math.log((1 + total) / (1 + (holding[word] if word in TERMS else 1)))
+
+    def vector(terms):
+        counts = Counter(t for t in terms if t in TERMS)
+        return {t: n * idf(t) for t, n in counts.items()}
+
+    templates = {name: vector(_TERM.findall(TEMPLATES[name].lower())) for name in NAMES}
+    for number, lines in words.items():
+        best = (0, None)
+        for line in lines:
+            own = vector(line)
+            others = sum(w not in TERMS for w in line)
+            norm = math.sqrt(sum(v * v for v in own.values()) + others * idf("\0") ** 2)
+            for name, template in templates.items():
+                dot = sum(own.get(t, 0) * v for t, v in template.items())
+                length = math.sqrt(sum(v * v for v in template.values()))
+                likeness = round(dot / norm / length, 6) if norm else 0
+                if likeness > best[0]:
+                    best = (likeness, name)
+        found[number] = best if best[0] >= SIMILAR else (None, None)
+    return found
+
+
+@pytest.fixture(scope="module")
+def scanned(spark):
+    frame = spark.createDataFrame([(*f, "clash", 1) for f in FILES],
+                                  "id long, path string, text string, directory string, depth int")
+    return scan_licences(frame).collect()
+
+
+def test_own_licences(scanned):
+    expected = Counter(
+        (FILES[k][0], name, cosine) for k, (cosine, name) in brute_force(FILES).items()
+    )
+    assert Counter((r.id, r.own_licence, r.cosine) for r in scanned) == expected
+
+
+def test_nearest_directory_above(scanned):
+    got = {r.id: (r.licence, r.licence_from) for r in scanned}
+    assert len(scanned) == len(FILES)
+    assert got == {
+        1: ("MIT", None),
+        2: ("MIT", ""),
+        3: ("MIT", ""),
+        4: ("GPL-3.0", None),
+        5: ("GPL-3.0", "vendor"),
+        6: ("Apache-2.0", None),
+        7: ("GPL-3.0", "vendor"),
+        8: ("MIT", ""),
+        9: (None, None),
+        10: ("MIT", ""),
+        11: ("MIT", None),
+        12: ("CC-BY-4.0", None),
+        # Both files are as similar as can be; the first by name counts.
+        13: ("CC-BY-4.0", "two"),
+        14: ("MIT", ""),
+    }
+
+
+def test_documents(documents, texts):
+    files = documents.selectExpr("doc_id AS id", "concat('a/', doc_id) AS path", "text")
+    rows = [(k, f"a/{k}", text) for k, text in texts.items()]
+    expected = {rows[n][0]: found for n, found in brute_force(rows).items()}
+    got = {r.id: (r.cosine, r.own_licence) for r in scan_licences(files).collect()}
+    assert got.keys() == expected.keys()
+    for number, (cosine, name) in expected.items():
+        assert got[number][1] == name
+        assert got[number][0] == (cosine and pytest.approx(cosine, abs=2e-6))
+    assert any(name for _, name in expected.values())
+
+
+def test_odd_rows(odd, nothing):
+    files = odd.selectExpr("doc_id AS id", "source AS path", "text", "bucket", "lang AS directory")
+    assert scan_licences(files).count() == odd.count()
+    assert {r.licence for r in scan_licences(files).collect()} == {None}
+    assert scan_licences(files.limit(0)).count() == 0
+    assert len(licences.TERMS) < 200

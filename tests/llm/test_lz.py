@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tillscope.llm.lz import (
+    compare_with_next,
+    edited_text,
+    fingerprints,
+    forked_ends,
+    likeness,
+    phrase_ends,
+    printed,
+)
+
+
+def _slow_ends(text):
+    known, start, ends = set(), 0, []
+    for end in range(1, len(text) + 1):
+        if text[start:end] not in known:
+            known.add(text[start:end])
+            ends.append(end)
+            start = end
+    return ends + [len(text)] * (start < len(text))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abé𝄞", max_size=60), st.text(alphabet="abé𝄞", max_size=60))
+def test_parse(text, following):
+    assert phrase_ends(text) == _slow_ends(text)
+    edited = edited_text(text, following)
+    same = len(text) - len(text) // 4
+    assert forked_ends(text, edited, same) == (_slow_ends(text), _slow_ends(edited))
+
+
+def _prints(texts):
+    return fingerprints(texts, [phrase_ends(text) for text in texts])
+
+
+def test_fingerprints_do_not_depend_on_neighbours():
+    texts = ["abab" * 9, "", "abcabd" * 5, "x"]
+    together = _prints(texts)
+    for row, text in enumerate(texts):
+        assert (together[row] == _prints([text])[0]).all()
+    assert likeness(together, together).tolist() == [1.0] * 4
+    assert likeness(together[:1], together[1:2]).tolist() == [0.0]
+
+
+def test_likeness_follows_the_share_of_phrases(texts):
+    some = [text for text in texts.values() if len(text) > 4000][:20]
+    for text, other in zip(some, some[1:], strict=False):
+        one, two = (
+            {t[a:b] for a, b in zip([0, *phrase_ends(t)], phrase_ends(t), strict=False)}
+            for t in (text, other)
+        )
+        exact = len(one & two) / len(one | two)
+        estimate = likeness(_prints([text]), _prints([other]))[0]
+        assert abs(exact - estimate) < 0.16
+
+
+def _expected(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    texts = [text or "" for _, text in rows]
+    follows = texts[1:] + texts[:1]
+    edits = [edited_text(a, b) for a, b in zip(texts, follows, strict=True)]
+    own, edited, after = _prints(texts), _prints(edits), _prints(follows)
+    return [
+        (row[0], len(text), hashlib.sha256(edit.encode()).hexdigest(), *rest)
+        for row, text, edit, *rest in zip(
+            rows,
+            texts,
+            edits,
+            printed(own),
+            printed(edited),
+            likeness(own, edited).tolist(),
+            likeness(own, after).tolist(),
+            strict=True,
+        )
+    ]
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 50])
+def test_driver_documents(spark, documents, texts, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = sorted(map(tuple, compare_with_next(documents).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == _expected(texts.items())
+
+
+def test_odd_rows(spark, odd, nothing):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    got = sorted(map(tuple, compare_with_next(odd).collect()), key=str)
+    assert got == sorted(_expected(rows), key=str)
+    assert compare_with_next(nothing).count() == 0
+    alone = spark.createDataFrame([(7, "abcdefgh")], "doc_id long, text string")
+    (row,) = compare_with_next(alone).collect()
+    assert (row.id, row.near_next) == (7, 1.0)
+    assert row.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
+
+
+def test_quarters_differ():
+    base = "".join(np.random.default_rng(1).choice(list("abcdefgh "), 3000))
+    other = "".join(np.random.default_rng(2).choice(list("stuvwxyz "), 3000))
+    own = _prints([base])
+    assert likeness(own, _prints([edited_text(base, other)]))[0] > 0.5
+    assert likeness(own, _prints([other]))[0] < 0.1

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from tillscope.llm.mixing import mix_sources, mixed_documents, mixing_plan, times_taken
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _targets(sizes):
+    """Shares by weight; what is above a cap is shared again until none is above."""
+    sources = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weights = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sources)}
+    target, open_sources = dict.fromkeys(sources, 0.0), list(sources)
+    left = 1.5 * sum(sizes.values())
+    while open_sources and left > 1e-9:
+        total = sum(weights[s] for s in open_sources)
+        shared, left = left, 0.0
+        for s in open_sources:
+            target[s] += shared * weights[s] / total
+            if target[s] > 2 * sizes[s]:
+                left += target[s] - 2 * sizes[s]
+                target[s] = 2.0 * sizes[s]
+        open_sources = [s for s in open_sources if target[s] < 2 * sizes[s]]
+    return target
+
+
+def test_odd_rows(odd):
+    rows = mix_sources(odd).collect()
+    assert len(rows) == odd.count()
+    sizes = {}
+    for row in odd.collect():
+        count = len(WORDS.findall(row.text or ""))
+        sizes[row.source] = sizes.get(row.source, 0) + count
+    targets = _targets(sizes)
+    taken = dict.fromkeys(sizes, 0)
+    for row in rows:
+        assert row.source_size == sizes[row.source]
+        assert row.target == pytest.approx(targets[row.source], rel=1e-9)
+        assert 0 <= row.taken <= 2 * row.size and row.taken % max(row.size, 1) == 0
+        taken[row.source] += row.taken
+    longest = {r.source: 0 for r in rows}
+    for row in rows:
+        longest[row.source] = max(longest[row.source], row.size)
+    for source, words in taken.items():
+        # Nearer than half of the document where the budget ends; ties are taken together.
+        assert abs(words - targets[source]) <= longest[source]
+    assert sorted(map(str, rows)) == sorted(map(str, mix_sources(odd.repartition(5)).collect()))
+
+
+def test_a_hot_source_comes_near_its_target(spark):
+    drawn = random.Random(5)
+    rows = [
+        (k, "w " * drawn.randrange(1, 30), "hot" if k % 3 else f"s{k % 7}") for k in range(4000)
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mix_sources(frame).collect()
+    for source in {row.source for row in mixed}:
+        own = [row for row in mixed if row.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 15
+        # Complete epochs come first.
+        times = {r.taken // r.size for r in own}
+        assert max(times) - min(times) <= 1
+
+
+def test_quality_decides_who_comes_early(spark):
+    good = [(k, "w w w w", "a", 1.0) for k in range(1500)]
+    bad = [(k, "w w w w", "a", 0.2) for k in range(1500, 3000)]
+    frame = spark.createDataFrame(good + bad, "doc_id long, text string, source string, q double")
+    rows = mix_sources(frame, quality=frame.q).collect()
+    twice = [row.id for row in rows if row.times == 2]
+    assert len(rows) == 3000 and abs(len(twice) - 1500) <= 1
+    # Of the first half by exponential keys, most are of the larger weight.
+    assert sum(k < 1500 for k in twice) > 1050
+
+
+def test_documents_of_the_mix(odd, nothing):
+    times = {}
+    for row in mix_sources(odd).collect():
+        times.setdefault(row.id, []).append(row.times)
+    mixed = mixed_documents(odd)
+    assert mixed.columns == odd.columns
+    counts = {}
+    for row in mixed.collect():
+        counts[row.doc_id] = counts.get(row.doc_id, 0) + 1
+    assert counts == {number: sum(n) for number, n in times.items() if sum(n)}
+    assert mixed_documents(nothing).count() == mix_sources(nothing).count() == 0
+
+
+def test_native(documents):
+    from tillscope.llm.mixing import sized_documents
+    from tillscope.llm.staging import staged
+
+    sized = staged(sized_documents(documents), "sizes")
+    plans = [
+        frame._jdf.queryExecution().executedPlan().toString()
+        for frame in (sized_documents(documents), times_taken(sized, mixing_plan(sized)))
+    ]
+    for plan in plans:
+        assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)

@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from test_mixing import _targets
+from test_minhash import brute_force as near_brute_force
+from test_packing import _check
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tillscope.llm.mixing import WORD
+from tillscope.llm.packing import VOCABULARY
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """Every stage's input and result, over the driver's documents."""
+    folder = tmp_path_factory.mktemp("stages")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF_DIR).write.parquet(str(folder / name))
+        after = spark.read.parquet(str(folder / name))
+        out[name] = (docs, after)
+        docs = after
+    return out
+
+
+def _texts(frame):
+    return {r.doc_id: r.text for r in frame.collect()}
+
+
+def test_order_and_columns(stages):
+    assert list(stages) == ["quality", "exact_dedup", "near_dedup", "mix", "pack"]
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    for before, after in list(stages.values())[:-1]:
+        assert before.columns == after.columns == names
+        assert before.count() > 0
+
+
+def test_quality(spark, stages):
+    before, after = map(_texts, stages["quality"])
+    labels = {
+        r.doc_id: r.quality for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()
+    }
+    right = [(number in after) == bool(label) for number, label in labels.items()]
+    assert sum(right) / len(right) > 0.9
+    assert after.items() <= before.items()
+
+
+def test_exact_dedup(stages):
+    before, after = map(_texts, stages["exact_dedup"])
+    last = {}
+    for number, text in before.items():
+        # bytes.lower() changes A-Z only.
+        key = (text or "").encode().lower()
+        last[key] = max(number, last.get(key, number))
+    assert after == {number: before[number] for number in last.values()}
+
+
+def test_near_dedup(stages):
+    before, after = map(_texts, stages["near_dedup"])
+    kept = {number for number, (_, least) in near_brute_force(before).items() if number == least}
+    assert after == {number: before[number] for number in kept}
+
+
+def test_mix(spark, stages):
+    before, after = stages["mix"]
+    size = f"regexp_count(coalesce(text, ''), '{WORD}')".replace("\\", "\\\\")
+    sizes, taken = (
+        {r.source: r.n for r in frame.groupBy("source").agg({"n": "sum"}).toDF("source", "n").collect()}
+        for frame in (f.selectExpr("source", f"{size} AS n") for f in (before, after))
+    )
+    largest = before.selectExpr(f"max({size})").first()[0]
+    for source, target in _targets(sizes).items():
+        assert abs(taken.get(source, 0) - target) <= largest / 2
+    counts = Counter(r.doc_id for r in after.collect())
+    assert max(counts.values()) <= 2
+
+
+def test_pack(stages):
+    before, after = stages["pack"]
+    texts = {}
+    for row in before.collect():
+        texts.setdefault(row.doc_id, []).append(row.text)
+    rows = after.withColumnRenamed("doc_id", "id").collect()
+    _check(rows, texts, Tokenizer.from_file(VOCABULARY))
+
+
+def test_run_is_all_stages(spark, stages):
+    got = Counter(map(tuple, corpus_pipeline.run(spark, SF_DIR).collect()))
+    assert got == Counter(map(tuple, stages["pack"][1].collect()))
+    assert corpus_pipeline.ORACLE_SQL is None
