@@ -6,8 +6,8 @@ probability of being good, and their mean, weighted by the lines' lengths, is th
 document's quality, which a logistic curve fitted on the same labels turns into a score.
 
 The labels are of documents. A document labelled good has good lines only; in one labelled
-bad all lines count as bad first, and then, from the second fit on, those that the
-last fit finds bad, the worst of them at least.
+bad all lines count as bad at first, in a fit of lines without their chain, and then
+those that the last fit finds bad, the worst of them at least.
 
 Fitted on at most `TRAIN_DOCUMENTS` labelled rows, those of the smallest id hashes, of
 which a long one gives at most `TRAIN_WINDOWS` windows of `WINDOW_LINES` lines. Scores
@@ -192,9 +192,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _fit_chain(
-    features: np.ndarray, labels: np.ndarray, counts: np.ndarray, model: Model
+    features: np.ndarray, labels: np.ndarray, counts: np.ndarray, model: Model, chained: bool
 ) -> Model:
-    """Penalised conditional likelihood by Adam steps, on features of one scale."""
+    """Penalised conditional likelihood by Adam steps, on features of one scale.
+
+    Unless ``chained``, the lines count as independent of each other.
+    """
     size = len(model.weights)
     scale = np.maximum(np.sqrt((features**2).mean(axis=0)), 1e-3)
     features = features / scale
@@ -212,6 +215,7 @@ def _fit_chain(
         )
         slope = np.concatenate((features.T @ (labels - marginals), observed - expected.ravel()))
         slope = slope / len(labels) - 1e-4 * point
+        slope[size:] *= chained
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
         move = (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
@@ -241,8 +245,8 @@ def fit_model(lines: Lines, labels: np.ndarray) -> Model:
     of_line = np.repeat(labels, lines.counts)
     starts = spread_starts(lines.counts)[:-1]
     model, targets = constant, of_line
-    for _ in range(FITS):
-        model = _fit_chain(lines.features, targets, lines.counts, model)
+    for fit in range(FITS):
+        model = _fit_chain(lines.features, targets, lines.counts, model, chained=fit > 0)
         marginals, _ = line_marginals(
             lines.features @ model.weights, lines.counts, model.transitions
         )
