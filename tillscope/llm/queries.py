@@ -37,8 +37,8 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_warc(page_records(pages), path)
     kind = pages.schema["page_id"].dataType.simpleString()
     # Payloads are decoded and measured where they are stored; revisits have headers only.
-    stored = read_warc(spark, path).filter("record_type = 'response'")
-    revisits = read_warc(spark, path, payload=False).filter("record_type = 'revisit'")
+    stored = read_warc(spark, path, where=(("record_type", "=", "response"),))
+    revisits = read_warc(spark, path, payload=False, where=(("record_type", "=", "revisit"),))
     return (
         stored.withColumn("payload_length", F.octet_length("payload").cast("long"))
         .withColumn("payload_digest", F.sha1("payload"))

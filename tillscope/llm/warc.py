@@ -11,6 +11,11 @@ there; a record that fails them, or whose payload no column of the schema asks f
 skipped by its length without decoding its payload. Members without ``sl`` and
 archives without compression are read too.
 
+Predicates get to the reader in two ways. `read_warc` takes them as ``where`` and they belong
+to the table it returns. With ``pushdown`` Spark passes on the filters of the query.
+Spark 4.1 keeps those with the loaded table and not with the query, so that other filters on
+the same table, in one plan or later, see them too: such a table is for one query only.
+
 Columns: record_id, record_type, target_uri, refers_to, warc_date, payload_digest
 (SHA-1 in lower-case hexadecimal), payload_length and payload. A schema with some of them
 reads only those. Defined cases: a null target is a record without that header; control
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import struct
 import uuid
 import zlib
@@ -264,6 +270,18 @@ _TESTS = {
     StringEndsWith: lambda found, value: found.endswith(value),
     StringContains: lambda found, value: value in found,
 }
+#: The predicates of ``where``: (column, one of these, value).
+PREDICATES = {
+    "=": EqualTo,
+    "in": In,
+    ">": GreaterThan,
+    ">=": GreaterThanOrEqual,
+    "<": LessThan,
+    "<=": LessThanOrEqual,
+    "startswith": StringStartsWith,
+    "endswith": StringEndsWith,
+    "contains": StringContains,
+}
 _HEADER_COLUMNS = (
     "record_id", "record_type", "target_uri", "refers_to", "warc_date", "payload_digest"
 )
@@ -310,14 +328,12 @@ class WarcReader(DataSourceReader):
         self.columns = schema.names
         self.path = options["path"]
         self.split = int(options.get("splitbytes", SPLIT_BYTES))
-        self.predicates: list[Filter] = []
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for predicate in filters:
-            if header_test(predicate) is None:
-                yield predicate
-            else:
-                self.predicates.append(predicate)
+        self.predicates: list[Filter] = [
+            PREDICATES[kind]((column,), tuple(value) if kind == "in" else value)
+            for column, kind, value in json.loads(options.get("where", "[]"))
+        ]
+        if any(header_test(predicate) is None for predicate in self.predicates):
+            raise ValueError(f"where is on the columns {', '.join(_HEADER_COLUMNS)} only")
 
     def partitions(self) -> list[InputPartition]:
         """Archives together up to the split size; an archive is never divided."""
@@ -363,6 +379,17 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, kinds)
 
 
+class PushdownReader(WarcReader):
+    """Takes the filters of the query that can be decided on headers."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for predicate in filters:
+            if header_test(predicate) is None:
+                yield predicate
+            else:
+                self.predicates.append(predicate)
+
+
 # --- writing ---
 
 
@@ -423,27 +450,39 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> WarcReader:
-        return WarcReader(schema, self.options)
+        pushing = self.options.get("pushdown", "false") == "true"
+        return (PushdownReader if pushing else WarcReader)(schema, self.options)
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options)
 
 
-def register(spark: SparkSession) -> None:
-    """Make the format known to the session, and let its predicates be pushed down."""
-    spark.dataSource.register(WarcSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-
+def read_warc(
+    spark: SparkSession,
+    path: str,
+    payload: bool = True,
+    where: tuple[tuple, ...] = (),
+    pushdown: bool = False,
+) -> DataFrame:
+    """The records of all archives in the folder that satisfy each of ``where``.
 
-def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    register(spark)
-    schema = SCHEMA if payload else HEADERS_ONLY
-    return spark.read.format("warc").schema(schema).load(path)
+    ``where`` holds (column, predicate, value), with a predicate of `PREDICATES`.
+    """
+    spark.dataSource.register(WarcSource)
+    if pushdown:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return (
+        spark.read.format("warc")
+        .schema(SCHEMA if payload else HEADERS_ONLY)
+        .option("where", json.dumps(where))
+        .option("pushdown", pushdown)
+        .load(path)
+    )
 
 
 def write_warc(records: DataFrame, path: str) -> None:
     """Write records that have the columns of `SCHEMA`, or enough of them."""
-    register(records.sparkSession)
+    records.sparkSession.dataSource.register(WarcSource)
     given = set(records.columns)
     columns = [
         F.col(name) if name in given else F.lit(None).cast(kind).alias(name)
