@@ -90,12 +90,22 @@ def exact_groups(
         .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
         .filter("group_size > 1")
     )
-    return hashed.join(groups, "digest", "left").select(
-        "id",
-        F.coalesce("keep_id", "id").alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        F.coalesce(F.col("id").eqNullSafe(F.coalesce("keep_id", "id")), F.lit(True)).alias("kept"),
-        "digest",
+    # Only shared rows are joined: the others would meet in one task by their null digest.
+    alone = hashed.filter(~F.col("shared")).select(
+        "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "digest"
+    )
+    compared = (
+        hashed.filter("shared")
+        .join(groups, "digest", "left")
+        .select(
+            "id",
+            F.coalesce("keep_id", "id").alias("keep_id"),
+            F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+            "digest",
+        )
+    )
+    return alone.unionByName(compared).select(
+        "id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest"
     )
 
 

@@ -37,8 +37,8 @@ from tillscope.llm.textblocks import (
     words,
 )
 
-TRAIN_DOCUMENTS = 5_000
-TRAIN_WINDOWS = 8
+TRAIN_DOCUMENTS = 4_000
+TRAIN_WINDOWS = 2
 WINDOW_LINES = 64
 FITS = 3
 # Chains of a block advance together, so a larger block has fewer steps.

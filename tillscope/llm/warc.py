@@ -507,9 +507,14 @@ def page_records(
         F.col(row_id).alias("id"),
         F.col(url).cast("string").alias("target_uri"),
         F.coalesce(F.col(body), F.lit("")).cast("binary").alias("payload"),
-    ).withColumn("digest", F.when(F.octet_length("payload") >= least_bytes, F.sha1("payload")))
+    )
+    large = F.octet_length("payload") >= least_bytes
+    # A small payload's key is met by no group, and spreads the small ones over the tasks.
+    rows = rows.withColumn(
+        "digest", F.when(large, F.sha1("payload")).otherwise(F.xxhash64("id").cast("string"))
+    )
     groups = (
-        rows.filter(F.col("digest").isNotNull())
+        rows.filter(large)
         .groupBy("digest")
         .agg(F.max("id").alias("first_id"), F.count("*").alias("pages"))
         .filter("pages > 1")
