@@ -94,3 +94,11 @@ def test_run_is_all_stages(spark, stages):
     got = Counter(map(tuple, corpus_pipeline.run(spark, SF_DIR).collect()))
     assert got == Counter(map(tuple, stages["pack"][1].collect()))
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
+def test_odd_rows_and_empty_tables(spark, odd, nothing, name, stage):
+    after = stage(spark, odd, SF_DIR)
+    assert after.count() > 0
+    assert name == "pack" or after.columns == odd.columns
+    assert stage(spark, nothing, SF_DIR).count() == 0
