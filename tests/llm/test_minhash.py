@@ -73,10 +73,10 @@ def crowd():
     return texts
 
 
-@pytest.mark.parametrize(("rounds", "block"), [(1, 500), (0, 500), (0, 7), (1, 3)])
-def test_a_crowd_in_blocks(spark, monkeypatch, crowd, rounds, block):
-    monkeypatch.setattr(minhash, "CENTRE_ROUNDS", rounds)
+@pytest.mark.parametrize(("block", "piece"), [(500, 1000), (7, 5), (2, 1)])
+def test_a_crowd_in_blocks(spark, monkeypatch, crowd, block, piece):
     monkeypatch.setattr(minhash, "BLOCK_SETS", block)
+    monkeypatch.setattr(minhash, "PIECE_ROWS", piece)
     frame = spark.createDataFrame(list(crowd.items()), "doc_id long, text string")
     assert _got(frame) == brute_force(crowd)
 

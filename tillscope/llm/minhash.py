@@ -36,7 +36,7 @@ PERMUTATIONS = 64
 BANDS = 32
 ROWS = 2 * PERMUTATIONS // BANDS
 SIMILAR = 75  # per cent
-CENTRE_ROUNDS = 1
+PIECE_ROWS = 1_000
 BLOCK_SETS, BLOCK_SHINGLES = 500, 400_000
 _MATRIX_COLUMNS = 2048
 
@@ -119,44 +119,46 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _open_buckets(rows: DataFrame, components: DataFrame | None) -> DataFrame:
-    """Rows (band, id, n_shingles, component) of buckets that hold several components."""
+    """Rows (band, id, n_shingles, component, pieces) of buckets of several components.
+
+    ``pieces`` says over how many pieces the bucket's rows are to be dealt in joins.
+    """
+    rows = rows.select("band", "id", "n_shingles")
     if components is None:
         labelled = rows.withColumn("component", F.col("id"))
     else:
-        labelled = (
-            rows.drop("component")
-            .join(components.withColumnRenamed("node", "id"), "id", "left")
-            .withColumn("component", F.coalesce("component", "id"))
+        labelled = rows.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn(
+            "component", F.coalesce("component", "id")
         )
     several = (
         labelled.groupBy("band")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        .agg(
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.ceil(F.count("*") / PIECE_ROWS).alias("pieces"),
+        )
         .filter("least < most")
-        .select("band")
+        .select("band", "pieces")
     )
-    return labelled.join(several, "band", "left_semi")
+    return labelled.join(several, "band")
 
 
-def _centre_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's centre, unless known to be connected.
+def _with_centres(rows: DataFrame) -> DataFrame:
+    """Each row with its bucket's row of the smallest id, joined piece by piece."""
+    centres = rows.groupBy("band").agg(
+        F.min(F.struct("id", "component")).alias("centre"), F.max("pieces").alias("pieces")
+    )
+    copies = centres.select(
+        "band", "centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece")
+    )
+    dealt = rows.withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")))
+    return dealt.join(copies, ["band", "piece"])
+
 
-    The first centre is the smallest id; later ones are of the bucket's other components.
-    """
-    if turn == 0:
-        centres = rows.groupBy("band").agg(F.min(F.struct("id", "component")).alias("centre"))
-    else:
-        order = F.struct(-F.col("component"), F.xxhash64("id", F.lit(turn)), "id", "component")
-        centres = (
-            rows.groupBy("band")
-            .agg(F.min(order).alias("least"))
-            .select(
-                "band",
-                F.struct(F.col("least.id").alias("id"), F.col("least.component").alias("component"))
-                .alias("centre"),
-            )
-        )
+def _centre_pairs(rows: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's centre, unless known to be connected."""
     return (
-        rows.join(centres, "band")
+        _with_centres(rows)
         .filter("component != centre.component")
         .select(F.least("id", "centre.id").alias("a"), F.greatest("id", "centre.id").alias("b"))
         .distinct()
@@ -169,8 +171,7 @@ def _in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
     A cluster's largest component is its body, the others its rest. Blocks of the rest
     meet all blocks of the body and of the rest; those of the body never meet each other.
     """
-    centres = rows.groupBy("band").agg(F.min("id").alias("centre"))
-    stars = rows.join(centres, "band").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+    stars = _with_centres(rows).select(F.col("id").alias("a"), F.col("centre.id").alias("b"))
     clusters = staged(connected_components(stars), "clusters")
     members = staged(
         rows.select("id", "n_shingles", "component")
@@ -325,21 +326,15 @@ def near_duplicates(
         ),
         "sets",
     )
-    components, found = None, None
-    for turn in range(CENTRE_ROUNDS + 1):
-        if buckets.isEmpty():
-            break
-        if turn < CENTRE_ROUNDS:
-            links = _confirmed(_centre_pairs(buckets, turn), sets)
-        else:
-            links = _in_blocks(buckets, sets)
-        links = staged(links, "links")
-        found = links if found is None else found.union(links)
-        components = staged(connected_components(found), "components")
-        if turn < CENTRE_ROUNDS:
-            still_open = staged(_open_buckets(buckets, components), "buckets")
-            release(buckets)
-            buckets = still_open
+    components = None
+    if not buckets.isEmpty():
+        links = staged(_confirmed(_centre_pairs(buckets), sets), "links")
+        components = staged(connected_components(links), "components")
+        still_open = staged(_open_buckets(buckets, components), "buckets")
+        if not still_open.isEmpty():
+            links = links.union(staged(_in_blocks(still_open, sets), "links"))
+            components = staged(connected_components(links), "components")
+        release(buckets, still_open)
     release(sets)
     joined = signed.drop("bands").join(classes, keys, "left")
     if components is None:
