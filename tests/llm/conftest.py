@@ -53,7 +53,10 @@ ODD_ROWS = [
     (12, "x" * 50_000, "d"),
     (13, "\n\n\n", "d"),
 ]
-_CLASHING = "id string, size int, text_size int, key int, bucket int, component int, digest int, row int, block int, part int, band int, label int"
+_CLASHING = (
+    "id string, size int, text_size int, key int, bucket int, component int, digest int, "
+    "row int, block int, part int, band int, label int"
+)
 
 
 @pytest.fixture(scope="session")

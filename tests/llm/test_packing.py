@@ -68,7 +68,8 @@ def test_parts_are_encoded_like_whole_texts(tokenizer):
     encoder = WordEncoder(VOCABULARY)
     drawn = random.Random(4)
     letters = "abZ'sSt'lLdDrReEvVmM 19.,!—é×ñÀ÷́“\n\x0b\x85"
-    texts = ["".join(drawn.choice(letters) for _ in range(drawn.randrange(14))) for _ in range(3000)]
+    lengths = [drawn.randrange(14) for _ in range(3000)]
+    texts = ["".join(drawn.choice(letters) for _ in range(n)) for n in lengths]
     texts += ["a<|endoftext|>b C <|ENDOFTEXT|> d1", "İstanbul ΣΑΣ ﬁ x", "ß.ẞ,ſ" * 40, ""]
     for text in texts:
         data = np.frombuffer(text.encode(), np.uint8)

@@ -71,7 +71,7 @@ def test_mix(spark, stages):
     before, after = stages["mix"]
     size = f"regexp_count(coalesce(text, ''), '{WORD}')".replace("\\", "\\\\")
     sizes, taken = (
-        {r.source: r.n for r in frame.groupBy("source").agg({"n": "sum"}).toDF("source", "n").collect()}
+        {r["source"]: r["sum(n)"] for r in frame.groupBy("source").sum("n").collect()}
         for frame in (f.selectExpr("source", f"{size} AS n") for f in (before, after))
     )
     largest = before.selectExpr(f"max({size})").first()[0]

@@ -115,7 +115,8 @@ def test_odd_rows(spark, odd, nothing, model):
     assert all(len(scores) == 1 for scores in by_text.values())
     assert good_documents(odd, model).schema == odd.schema
     assert score_documents(nothing, model).count() == good_documents(nothing, model).count() == 0
-    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None)], "doc_id long, quality int")
+    known = [(1, 1), (1, 0), (None, 1), (2, None)]
+    labels = spark.createDataFrame(known, "doc_id long, quality int")
     for known, share in ((labels, 0.0), (labels.limit(0), 0.5)):
         fitted = train(odd, known)
         assert {round(r.score, 6) for r in score_documents(odd, fitted).collect()} == {share}

@@ -104,8 +104,9 @@ def exact_groups(
             "digest",
         )
     )
+    kept = F.col("id").eqNullSafe(F.col("keep_id"))
     return alone.unionByName(compared).select(
-        "id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest"
+        "id", "keep_id", "group_size", kept.alias("kept"), "digest"
     )
 
 

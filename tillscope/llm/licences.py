@@ -31,7 +31,6 @@ from tillscope.llm.textblocks import (
     LOWER,
     blocks,
     byte_values,
-    spread_starts,
     substring_hashes,
 )
 

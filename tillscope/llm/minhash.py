@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.graph import connected_components
@@ -148,9 +148,8 @@ def _with_centres(rows: DataFrame) -> DataFrame:
     centres = rows.groupBy("band").agg(
         F.min(F.struct("id", "component")).alias("centre"), F.max("pieces").alias("pieces")
     )
-    copies = centres.select(
-        "band", "centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece")
-    )
+    pieces = F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)
+    copies = centres.select("band", "centre", F.explode(pieces).alias("piece"))
     dealt = rows.withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")))
     return dealt.join(copies, ["band", "piece"])
 
@@ -201,23 +200,18 @@ def _in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
     of_body, of_rest = (
         F.sequence(F.lit(0).cast("long"), F.col(f"{name}_blocks") - 1) for name in ("body", "rest")
     )
-    block = F.pmod(
-        F.xxhash64("id"), F.when(F.col("is_body"), F.col("body_blocks")).otherwise(F.col("rest_blocks"))
-    )
+    blocks = F.when(F.col("is_body"), F.col("body_blocks")).otherwise(F.col("rest_blocks"))
+    block = F.pmod(F.xxhash64("id"), blocks)
     small = (F.col("body_blocks") == 1) & (F.col("rest_blocks") == 1)
 
-    def task(kind: str, one, other):
-        return F.struct(F.col("cluster").alias("task"), F.lit(kind).alias("kind"),
-                        one.alias("one"), other.alias("other"))
+    def task(kind: str, one: Column, other: Column, of: str | Column = "cluster") -> Column:
+        named = zip((of, F.lit(kind), one, other), ("task", "kind", "one", "other"), strict=True)
+        return F.struct(*((F.col(c) if isinstance(c, str) else c).alias(n) for c, n in named))
 
-    zero = F.lit(0).cast("long")
     # Small clusters share tasks; there each set is sent once.
-    shared = F.struct(
-        F.pmod(F.xxhash64("cluster"), F.lit(4 * shuffle_partitions(rows.sparkSession))).alias("task"),
-        F.lit("small").alias("kind"),
-        zero.alias("one"),
-        zero.alias("other"),
-    )
+    zero = F.lit(0).cast("long")
+    few = F.lit(4 * shuffle_partitions(rows.sparkSession))
+    shared = task("small", zero, zero, F.pmod(F.xxhash64("cluster"), few))
     tasks = (
         F.when(small, F.array(shared))
         .when(F.col("is_body"), F.transform(of_rest, lambda i: task("body", i, F.col("block"))))
@@ -226,7 +220,7 @@ def _in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
                 F.transform(of_body, lambda j: task("body", F.col("block"), j)),
                 F.transform(
                     of_rest,
-                    lambda j: task("rest", F.least(F.col("block"), j), F.greatest(F.col("block"), j)),
+                    lambda j: task("rest", F.least("block", j), F.greatest("block", j)),
                 ),
             )
         )
@@ -237,11 +231,11 @@ def _in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
         .select("id", "component", "cluster", "at.*")
         .join(sets, "id")
         .groupBy("task", "kind", "one", "other")
-        .applyInArrow(_links_of_block, "a {0}, b {0}".format(rows.schema["id"].dataType.simpleString()))
+        .applyInArrow(_links_of_block, "a {0}, b {0}".format(dict(rows.dtypes)["id"]))
     )
 
 
-def _blocks(n, shingles):
+def _blocks(n: Column, shingles: Column) -> Column:
     return F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES)).cast("long")
 
 
@@ -262,7 +256,8 @@ def _links_of_block(table: pa.Table) -> pa.Table:
         if len(np.unique(components[rows])) > 1:
             # A set can be there twice, as a block meets itself.
             rows = rows[np.unique(ids[rows], return_index=True)[1]]
-            found = joining_links([shingle[offsets[k] : offsets[k + 1]] for k in rows], components[rows])
+            held = [shingle[offsets[k] : offsets[k + 1]] for k in rows]
+            found = joining_links(held, components[rows])
             one += [ids[rows[x]] for x, _ in found]
             other += [ids[rows[y]] for _, y in found]
     kind = table.schema.field("id").type

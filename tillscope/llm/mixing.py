@@ -147,7 +147,7 @@ def mixing_plan(
         .withColumn("without_it", F.col("with_it") - F.col("bucket_size"))
         .alias("b")
         .join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")))
-        .filter((F.col("without_it") < F.col("left_over")) & (F.col("left_over") <= F.col("with_it")))
+        .filter("without_it < left_over AND left_over <= with_it")
         .select("b.source", "bucket", (F.col("left_over") - F.col("without_it")).alias("room"))
     )
     ends = staged(ends, "mix-ends")

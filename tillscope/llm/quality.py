@@ -87,7 +87,8 @@ def _repeated(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     owner = np.repeat(np.arange(len(counts)), counts)
     triple = hashes[:-2] * _REPEAT_FACTORS[0] + hashes[1:-1] * _REPEAT_FACTORS[1] + hashes[2:]
     inside = owner[:-2] == owner[2:]
-    triple, position = mix(triple[inside] + owner[:-2][inside].astype(np.uint64)), np.flatnonzero(inside)
+    triple = mix(triple[inside] + owner[:-2][inside].astype(np.uint64))
+    position = np.flatnonzero(inside)
     order = np.argsort(triple, kind="stable")
     again = np.zeros(len(order), dtype=bool)
     again[1:] = triple[order][1:] == triple[order][:-1]

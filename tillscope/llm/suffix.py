@@ -145,10 +145,12 @@ def _anchors_of_chunk(data: np.ndarray, at: int, valid: np.ndarray):
 
 def _lists(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
     """Columns cut into lists where the ascending keys change."""
-    edges = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else keys[:0]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    edges = np.flatnonzero(new)
     offsets = pa.array(np.append(edges, len(keys)).astype(np.int32))
     lists = [pa.ListArray.from_arrays(offsets, pa.array(column)) for column in columns]
-    return keys[edges.astype(np.int64)], lists
+    return keys[edges], lists
 
 
 def _flat(table: pa.Table, column: str) -> np.ndarray:

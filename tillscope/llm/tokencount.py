@@ -11,10 +11,10 @@ counts as having log probability -ln(r + `RANK_OFFSET`) (Zipf's law). A characte
 piece is as many byte tokens as it has UTF-8 bytes.
 
 Words are split at ASCII white space and begin with the vocabulary's mark of a word's
-beginning. A word is divided further between two ASCII characters that stand next to each other
-in no piece: every segmentation has a bound there, so the parts' tokens add up. Of segmentations of equal score, that of the fewest tokens counts. Defined cases:
-a null text is empty and has no tokens; a word of any length is one word; repeated rows are
-counted one by one.
+beginning. A word is divided further between two ASCII characters that stand next to each
+other in no piece: every segmentation has a bound there, so the parts' tokens add up. Of
+segmentations of equal score, that of the fewest tokens counts. Defined cases: a null text is
+empty and has no tokens; a word of any length is one word; repeated rows are counted one by one.
 """
 
 from __future__ import annotations

@@ -75,10 +75,10 @@ _LEVEL = 3
 
 
 def _place(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" not in path and not path.startswith("file:"):
-        return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(path.replace("file:/", "file:///", 1)
-                                    if path.startswith("file:/") and "://" not in path else path)
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path)
+    # Hadoop also writes file:/a/b.
+    return pafs.LocalFileSystem(), path.removeprefix("file:")
 
 
 # --- records ---
@@ -98,7 +98,11 @@ def record_bytes(row: dict) -> bytes:
     ).encode()
     revisit = row["record_type"] == "revisit"
     body = http if revisit else http + payload
-    headers = ["WARC/1.1", f"WARC-Type: {row['record_type']}", f"WARC-Record-ID: <{row['record_id']}>"]
+    headers = [
+        "WARC/1.1",
+        f"WARC-Type: {row['record_type']}",
+        f"WARC-Record-ID: <{row['record_id']}>",
+    ]
     if row["target_uri"] is not None:
         headers.append(f"WARC-Target-URI: {_encoded_target(row['target_uri'])}")
     headers += [f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha1:{digest}"]
