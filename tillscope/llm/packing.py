@@ -24,6 +24,8 @@ import heapq
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import public_tokenizers
@@ -43,6 +45,7 @@ CANDIDATES = 8
 QUADRATIC = 12_288
 _KNOWN_PARTS = 600_000
 _LONGEST_KNOWN = 48
+_LINE = 200
 
 _encoders: dict[str, tuple] = {}
 
@@ -67,13 +70,17 @@ def parted(data: np.ndarray) -> bytes:
     kind = _CLASS[data]
     after = kind[1:]
     before = kind[:-1].copy()
-    accented = (data[:-2] == 0xC3) & _LATIN[data[1:-1]]
-    before[1:][accented] = _LETTER
+    accented = np.flatnonzero(data[:-2] == 0xC3)
+    accented = accented[_LATIN[data[accented + 1]]]
+    before[accented + 1] = _LETTER
     bound = (before != after) | (after == _DIGIT)
     bound &= (before != _OTHER) & (after != _OTHER) & (data[:-1] != ord("'"))
-    place = np.arange(len(data)) + np.concatenate(([0], np.cumsum(bound)))
-    out = np.full(len(data) + int(bound.sum()), ord(" "), dtype=np.uint8)
-    out[place] = LOWER[data]
+    spaces = np.flatnonzero(bound)
+    spaces += np.arange(1, len(spaces) + 1)
+    text = np.ones(len(data) + len(spaces), dtype=bool)
+    text[spaces] = False
+    out = np.full(len(text), ord(" "), dtype=np.uint8)
+    out[text] = LOWER[data]
     return out.tobytes()
 
 
@@ -92,10 +99,32 @@ class WordEncoder:
         ]
         self.known: dict[bytes, bytes] = {}
 
-    def _encode(self, parts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(
-            [part.decode() for part in parts], add_special_tokens=False
-        )
+        names = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(names.values()) + 1, dtype=bool)
+        self.ends_word[[k for name, k in names.items() if name.endswith("</w>")]] = True
+
+    def _encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of each part. Words of letters alone are encoded many at a time, then cut."""
+        texts = [part.decode() for part in parts]
+        words = [text for text in texts if text.isalpha()]
+        lines = [words[at : at + _LINE] for at in range(0, len(words), _LINE)]
+        single = [text for text in texts if not text.isalpha()]
+        ids = {}
+        for line, found in zip(lines, self._ids([" ".join(line) for line in lines]), strict=True):
+            cuts = np.flatnonzero(self.ends_word[np.frombuffer(found, "<u4")]) + 1
+            if len(cuts) != len(line):  # a letter that isn't one in lower case
+                single += line
+                continue
+            start = 0
+            for word, cut in zip(line, (4 * cuts).tolist(), strict=True):
+                ids[word.encode()] = found[start:cut]
+                start = cut
+        for text, found in zip(single, self._ids(single), strict=True):
+            ids[text.encode()] = found
+        return ids
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
     def _parts(self, data: np.ndarray) -> list[bytes]:
@@ -108,15 +137,22 @@ class WordEncoder:
     def texts(self, data: np.ndarray, starts: np.ndarray) -> list[bytes]:
         bounds = starts.tolist()
         split = [self._parts(data[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
-        wanted = set().union(*split)
-        if len(self.known) + len(wanted) > _KNOWN_PARTS:
+        found = [list(map(self.known.get, parts)) for parts in split]
+        new = set()
+        for parts, ids in zip(split, found, strict=True):
+            new.update(compress(parts, map(is_, ids, repeat(None))))
+        made = self._encode(list(new))
+        encoded = [
+            b"".join(
+                [made[part] if one is None else one for part, one in zip(parts, ids, strict=True)]
+                if None in ids
+                else ids
+            )
+            for parts, ids in zip(split, found, strict=True)
+        ]
+        if len(self.known) + len(made) > _KNOWN_PARTS:
             self.known = {}
-        new = list(wanted - self.known.keys())
-        self.known.update(zip(new, self._encode(new), strict=True))
-        encoded = [b"".join(map(self.known.__getitem__, parts)) for parts in split]
-        for part in new:
-            if len(part) > _LONGEST_KNOWN:
-                del self.known[part]
+        self.known.update((k, v) for k, v in made.items() if len(k) <= _LONGEST_KNOWN)
         return encoded
 
 
