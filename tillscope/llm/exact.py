@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.staging import staged
+from tillscope.llm.staging import own_shuffle, staged
 from tillscope.llm.textblocks import LOWER, blocks
 
 PREFIX_CHARS = 64
@@ -76,7 +76,7 @@ def exact_groups(
         .select("n_bytes", "beginning", F.lit(True).alias("shared"))
     )
     hashed = (
-        rows.join(classes, ["n_bytes", "beginning"], "left")
+        rows.join(own_shuffle(classes), ["n_bytes", "beginning"], "left")
         .select("id", "text", F.coalesce("shared", F.lit(False)).alias("shared"))
         .mapInArrow(
             _hash_whole(every_digest),
@@ -96,7 +96,7 @@ def exact_groups(
     )
     compared = (
         hashed.filter("shared")
-        .join(groups, "digest", "left")
+        .join(own_shuffle(groups), "digest", "left")
         .select(
             "id",
             F.coalesce("keep_id", "id").alias("keep_id"),

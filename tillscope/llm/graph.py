@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.staging import release, staged
+from tillscope.llm.staging import own_shuffle, release, staged
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -27,16 +27,20 @@ def connected_components(links: DataFrame) -> DataFrame:
         least = both.groupBy("node").agg(F.least(F.min("to"), F.col("node")).alias("root"))
         large = (
             both.filter("to > node")
-            .join(least, "node")
+            .join(own_shuffle(least), "node")
             .select(F.col("to").alias("node"), F.col("root").alias("to"))
             .distinct()
         )
         large = staged(large, "large-star")
         least = large.groupBy("node").agg(F.min("to").alias("root"))
         small = (
-            large.join(least, "node")
-            .select(F.when(F.col("to") == F.col("root"), F.col("node")).otherwise(F.col("to"))
-                    .alias("node"), F.col("root").alias("to"))
+            large.join(own_shuffle(least), "node")
+            .select(
+                F.when(F.col("to") == F.col("root"), F.col("node"))
+                .otherwise(F.col("to"))
+                .alias("node"),
+                F.col("root").alias("to"),
+            )
             .filter("node != to")
             .distinct()
         )

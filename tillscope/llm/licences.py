@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.staging import staged
+from tillscope.llm.staging import own_shuffle, staged
 from tillscope.llm.textblocks import (
     LOWER,
     blocks,
@@ -240,7 +240,7 @@ def scan_licences(files: DataFrame) -> DataFrame:
         .agg(F.max(F.struct(F.length("above").alias("depth"), "above", "inherited")).alias("n"))
         .select("directory", "n.above", "n.inherited")
     )
-    return own.join(nearest, "directory", "left").select(
+    return own.join(own_shuffle(nearest), "directory", "left").select(
         "id",
         "path",
         "own_licence",

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.graph import connected_components
-from tillscope.llm.staging import release, shuffle_partitions, staged
+from tillscope.llm.staging import own_shuffle, release, shuffle_partitions, staged
 from tillscope.llm.textblocks import blocks, mix, shingles, spread_starts
 
 PERMUTATIONS = 64
@@ -140,7 +140,7 @@ def _open_buckets(rows: DataFrame, components: DataFrame | None) -> DataFrame:
         .filter("least < most")
         .select("band", "pieces")
     )
-    return labelled.join(several, "band")
+    return labelled.join(own_shuffle(several), "band")
 
 
 def _with_centres(rows: DataFrame) -> DataFrame:

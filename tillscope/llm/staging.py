@@ -40,6 +40,15 @@ def release(*tables: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def own_shuffle(aggregate: DataFrame) -> DataFrame:
+    """An aggregate for a join on the keys that it was grouped by.
+
+    Otherwise the join runs in the aggregate's own stage, where adaptive execution can't
+    divide the rows of a hot key of the other side.
+    """
+    return aggregate.hint("rebalance")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -60,6 +60,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
+from tillscope.llm.staging import own_shuffle
+
 SCHEMA = (
     "record_id string, record_type string, target_uri string, refers_to string, "
     "warc_date string, payload_digest string, payload_length bigint, payload binary"
@@ -525,7 +527,7 @@ def page_records(
         .select("digest", "first_id")
     )
     revisit = F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))
-    return rows.join(groups, "digest", "left").select(
+    return rows.join(own_shuffle(groups), "digest", "left").select(
         record_name(F.col("id")).alias("record_id"),
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         "target_uri",
