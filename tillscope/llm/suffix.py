@@ -163,6 +163,11 @@ def _owners(table: pa.Table, column: str, of: str) -> np.ndarray:
     return np.repeat(table.column(of).to_numpy(), lengths)
 
 
+def _list_starts(table: pa.Table, column: str) -> np.ndarray:
+    lengths = table.column(column).combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+    return np.cumsum(lengths) - lengths
+
+
 def _block(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, bytes and starts of a block's rows."""
     data, starts = text_bytes(table.column("text").combine_chunks())
@@ -269,8 +274,9 @@ def _surroundings(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             several,
         )
         edges = np.append(np.searchsorted(part, key), len(part))
+        # Of single windows the shuffle's own compression makes little.
         content = [
-            data[_spread(begin[a:b], end[a:b] - begin[a:b])].tobytes()
+            pa.compress(data[_spread(begin[a:b], end[a:b] - begin[a:b])], "zstd", asbytes=True)
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
         ]
         block = texts.column("block")[0].as_py()
@@ -385,7 +391,14 @@ def _compare(table: pa.Table) -> pa.Table:
     left = left % _SINGLE
     several = _flat(table, "several")
     block = _owners(table, "grams", "block")
-    content = np.frombuffer(b"".join(table.column("content").to_pylist()), dtype=np.uint8)
+    sizes = np.add.reduceat(lengths, _list_starts(table, "lengths")) if len(lengths) else []
+    content = np.frombuffer(
+        b"".join(
+            pa.decompress(packed, int(size), "zstd", asbytes=True)
+            for packed, size in zip(table.column("content").to_pylist(), sizes, strict=True)
+        ),
+        dtype=np.uint8,
+    )
     begins = np.cumsum(lengths) - lengths
     keys = surrounding_keys(
         range_hashes(content, begins, begins + lengths), left.astype(np.uint64)
