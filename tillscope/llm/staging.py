@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
-from typing import TypeVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.plans.scratch import scratch_folder
-
-T = TypeVar("T")
+from tillscope.plans.scratch import remove_folders, scratch_folder
 
 # Once a table is written, the shuffle files it was made from serve nobody.
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _settings = threading.Lock()
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def staged(table: DataFrame, label: str) -> DataFrame:
@@ -29,15 +27,15 @@ def staged(table: DataFrame, label: str) -> DataFrame:
         finally:
             spark.conf.set(_CLEAN_UP, before)
     # The schema is known, so nothing has to be inferred from files that an empty table lacks.
-    return spark.read.schema(table.schema).parquet(path)
+    written = spark.read.schema(table.schema).parquet(path)
+    _folders[written] = path
+    return written
 
 
 def release(*tables: DataFrame) -> None:
     """Remove the folders of staged tables that nothing will read any more."""
     for table in tables:
-        spark = table.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(table.inputFiles()[0]).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove_folders(table.sparkSession, _folders.pop(table))
 
 
 def own_shuffle(aggregate: DataFrame) -> DataFrame:
@@ -51,15 +49,3 @@ def own_shuffle(aggregate: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def memo(make: Callable[[], T]) -> Callable[[], T]:
-    """A value made at most once in each Python worker."""
-    kept: list[T] = []
-
-    def get() -> T:
-        if not kept:
-            kept.append(make())
-        return kept[0]
-
-    return get
