@@ -37,7 +37,7 @@ BANDS = 32
 ROWS = 2 * PERMUTATIONS // BANDS
 SIMILAR = 75  # per cent
 PIECE_ROWS = 1_000
-BLOCK_SETS, BLOCK_SHINGLES = 500, 400_000
+BLOCK_SETS, BLOCK_SHINGLES = 128, 100_000
 _MATRIX_COLUMNS = 2048
 
 _RANDOM = np.random.Generator(np.random.PCG64(75))
