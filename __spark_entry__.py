@@ -32,7 +32,7 @@ from tillscope.plans.retail_job import (  # noqa: E402
     save_catalogues,
     stage_lines,
 )
-from tillscope.plans.scratch import scratch_folder  # noqa: E402
+from tillscope.scratch import scratch_folder  # noqa: E402
 from tillscope.sinks import (  # noqa: E402
     create_area_hour_table,
     refresh_area_hour_path,

@@ -12,7 +12,7 @@ from tillscope.operators import area_hour_counts, build_catalogue, split_events
 from tillscope.operators.catalogue import size_dimensions
 from tillscope.plans import run_retail_job, save_catalogues
 from tillscope.plans.retail_job import catalogue_by_hour
-from tillscope.plans.scratch import remove_folders, scratch_folder
+from tillscope.scratch import remove_folders, scratch_folder
 from tillscope.schemas import AREA_HOUR, CATALOGUE, SAVED_CATALOGUE
 from tillscope.sinks import (
     create_area_hour_table,
@@ -144,8 +144,7 @@ def test_large_hour_of_unknown_size_is_cut(spark, tmp_path):
     hour = F.when(F.rand(1) < 0.9, "hot").otherwise("cold")
     catalogue = catalogue.withColumn("Timestamp", hour)
     path = str(tmp_path / "saved")
-    with session_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k"}):
-        save_catalogue(catalogue, path)
+    save_catalogue(catalogue, path, rows_per_piece=10_000)
     assert load_catalogue(spark, path).count() == 40_000
     assert len(glob.glob(f"{path}/Timestamp=hot/part-*.csv")) > 1
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.operators.catalogue import Dimensions, size_dimensions
-from tillscope.plans.scratch import scratch_folder
+from tillscope.scratch import scratch_folder
 from tillscope.schemas import PRODUCT, RAW_CUSTOMER, RAW_EVENT
 from tillscope.sources import load_customers, load_events, load_products
 
@@ -35,21 +35,24 @@ class RetailTables(NamedTuple):
     dimensions: Dimensions
 
 
-_written: dict[tuple, str] = {}
+_loaded: dict[tuple, RetailTables] = {}
 
 
 def retail_tables(spark: SparkSession, sf_dir: str) -> RetailTables:
     """Load customers, products and both event logs of a folder of driver tables.
 
-    The raw files are written once per application and state of the driver's tables, so
+    The raw files are written and sized once per session and state of the driver's tables, so
     that every query goes through the same sources as a real log.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
-    if key not in _written:
+    key = (spark, sf_dir, _state(spark, sf_dir))
+    if key not in _loaded:
         folder = scratch_folder(spark, "raw")
         write_raw_files(spark, sf_dir, folder)
-        _written[key] = folder
-    folder = _written[key]
+        _loaded[key] = load_raw_files(spark, folder)
+    return _loaded[key]
+
+
+def load_raw_files(spark: SparkSession, folder: str) -> RetailTables:
     customers = load_customers(spark, f"{folder}/customers")
     products = load_products(spark, f"{folder}/products")
     return RetailTables(

@@ -24,7 +24,7 @@ from tillscope.operators.insights import (
     top_sold_by_channel,
 )
 from tillscope.operators.spread import ROWS_PER_PIECE, divide, numbered
-from tillscope.plans.scratch import remove_folders, scratch_folder
+from tillscope.scratch import remove_folders, scratch_folder
 from tillscope.schemas import CATALOGUE, EVENT_LINE, KINDS
 from tillscope.sinks import (
     create_area_hour_table,

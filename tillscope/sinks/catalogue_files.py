@@ -5,17 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.operators.spread import ROWS_PER_PIECE
+from tillscope.scratch import remove_folders, scratch_folder
 from tillscope.schemas import CATALOGUE
+from tillscope.sinks.by_hour import hour_counts, in_hour_tasks, with_hour_task
 
 
-def save_catalogue(catalogue: DataFrame, path: str) -> None:
+def save_catalogue(
+    catalogue: DataFrame, path: str, rows_per_piece: int = ROWS_PER_PIECE
+) -> None:
     """Replace the catalogue at ``path``, whatever hours it had.
 
-    Hours of unknown size: adaptive execution cuts tasks that come out large, so
-    an hour with much of the data is written by several. Without adaptive execution
-    use `write_catalogue` on rows laid out by measured hours.
+    The hours are counted first, in a pass of its own, so an hour with much of the data is
+    written by several tasks. Rows are dealt by content and by the task that they come
+    from, which is the same if that task is run again; their order need not be.
     """
-    write_catalogue(catalogue.hint("rebalance", "Timestamp"), path)
+    spark = catalogue.sparkSession
+    rows = catalogue.select(*CATALOGUE.names)
+    folder = scratch_folder(spark, "hours")
+    hour_counts(rows, "Timestamp").write.parquet(folder)
+    counts = spark.read.schema("Hour string, HourRows bigint").parquet(folder)
+    position = F.xxhash64(*CATALOGUE.names, F.spark_partition_id())
+    placed, tasks = with_hour_task(
+        rows.withColumn("RowPosition", position), "Timestamp", counts, rows_per_piece
+    )
+    write_catalogue(in_hour_tasks(placed, tasks), path)
+    remove_folders(spark, folder)
 
 
 def write_catalogue(catalogue: DataFrame, path: str) -> None:
