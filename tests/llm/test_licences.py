@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tillscope.llm import licences
@@ -119,3 +121,63 @@ def test_odd_rows(odd, nothing):
     assert {r.licence for r in scan_licences(files).collect()} == {None}
     assert scan_licences(files.limit(0)).count() == 0
     assert len(licences.TERMS) < 200
+
+
+_FILLER = "here some other words of a file that are in no way about rights".split()
+
+
+def _commented(text):
+    return "\n".join(f" * {line}" for line in text.split("\n"))
+
+
+HEADERS = [
+    # A statement wrapped over two lines, within a long line, and a tag.
+    (1, "a/x.c", "# Released under\n# the MIT License.\ncode", "MIT"),
+    (2, "b/x.c", " ".join([*_FILLER, TEMPLATES["MPL-2.0"], *_FILLER]), "MPL-2.0"),
+    (3, "c/x.c", "// SPDX-License-Identifier: MIT\nint main() {}", "MIT"),
+    # A notice over several lines.
+    (
+        4,
+        "d/x.c",
+        "/* This program is free software: you can redistribute it and/or modify\n"
+        " * it under the terms of the GNU General Public License as published by\n"
+        " * the Free Software Foundation, either version 3 of the License, or\n"
+        " * (at your option) any later version.\n */\n" + " ".join(_FILLER * 20),
+        "GPL-3.0",
+    ),
+    # A whole licence text in a source file, with and without much else.
+    (5, "e/x.c", _commented(licences._body("MIT")) + " ".join(_FILLER * 50), "MIT"),
+    (6, "f/x.c", " ".join(_FILLER * 30), None),
+] + [
+    (100 + k, f"body{k}/LICENSE", f"Copyright (c) 2020 Someone\n\n{licences._body(name)}", name)
+    for k, name in enumerate(licences.BODIES)
+]
+
+
+def test_headers_and_licence_files(spark):
+    rows = [row[:3] for row in HEADERS]
+    files = spark.createDataFrame(rows, "id long, path string, text string")
+    got = {r.id: r.own_licence for r in scan_licences(files).collect()}
+    assert got == {number: name for number, _, _, name in HEADERS}
+
+
+def test_runs_against_brute_force():
+    drawn = random.Random(4)
+    idf = np.array([drawn.uniform(1, 6) for _ in licences.WORDS] + [7.0])
+    vectors = licences.pattern_vectors(idf)
+    pattern = vectors[0]
+    for n in (1, 5, 40, 90):
+        term = np.array([drawn.choice([-1, -1, *range(12)]) for _ in range(n)])
+        runs = licences._Runs(term, idf)
+
+        def cosine(run):
+            counts = Counter(int(t) for t in run if t >= 0)
+            square = sum((c * idf[t]) ** 2 for t, c in counts.items())
+            square += sum(run < 0) * idf[-1] ** 2
+            return sum(c * idf[t] * pattern[t] for t, c in counts.items()) / math.sqrt(square)
+
+        for size in (1, 4, 17, n, n + 3):
+            got, whole = runs.cosines(pattern, size)
+            expected = [cosine(term[s : s + size]) for s in range(n - size + 1)]
+            assert got.tolist() == pytest.approx(expected, abs=2e-6)
+            assert whole == pytest.approx(cosine(term), abs=2e-6)
