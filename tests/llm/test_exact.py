@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from tillscope.llm.exact import exact_groups, without_exact_copies
 
@@ -49,3 +49,12 @@ def test_documents_that_stay(odd, nothing):
     )
     assert exact_groups(nothing).count() == 0
     assert without_exact_copies(nothing).count() == 0
+
+
+def test_copies_are_told_apart_by_row(spark):
+    a, b, c = ("letter " * 9 + x for x in "abc")
+    rows = [(5, a), (5, b), (9, a.upper()), (None, a), (None, a), (None, c), (5, c), (7, None)]
+    rows += [(None, None), (None, "alone")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter((r.doc_id, r.text) for r in without_exact_copies(frame).collect())
+    assert kept == Counter([(5, b), (9, a.upper()), (5, c), (7, None), (None, "alone")])

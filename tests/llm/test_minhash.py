@@ -3,7 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -125,3 +125,12 @@ def test_links_that_join():
     assert joining_links([one, two, three], np.arange(3)) == [(0, 1), (1, 2)]
     assert joining_links([one, two, three], np.array([0, 1, 1])) == [(0, 1)]
     assert joining_links([one, three], np.arange(2)) == []
+
+
+def test_copies_are_told_apart_by_row(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(5, a), (3, a + " more"), (None, a), (None, a.upper()), (None, c), (4, "")]
+    rows += [(None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter((r.doc_id, r.text) for r in without_near_duplicates(frame).collect())
+    assert kept == Counter([(3, a + " more"), (None, c), (4, ""), (None, "")])

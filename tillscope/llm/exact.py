@@ -13,27 +13,36 @@ from __future__ import annotations
 
 import hashlib
 import string
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.staging import own_shuffle, staged
-from tillscope.llm.textblocks import LOWER, blocks
+from tillscope.llm.staging import own_shuffle, staged, without_rows
+from tillscope.llm.textblocks import LOWER, Block, blocks
 
 PREFIX_CHARS = 64
 
 
+def _digests(block: Block, wanted: Iterable[bool]) -> list[str | None]:
+    data, starts = memoryview(LOWER[block.data]), block.starts.tolist()
+    return [
+        hashlib.sha256(data[a:b]).hexdigest() if want else None
+        for a, b, want in zip(starts, starts[1:], wanted, strict=False)
+    ]
+
+
+def _every_digest(block: Block) -> list[pa.Array]:
+    return [pa.array(_digests(block, repeat(True)), pa.string())]
+
+
 def _hash_whole(every_row: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            data, starts = memoryview(LOWER[block.data]), block.starts.tolist()
             wanted = block.rows.column("shared").to_pylist()
-            digests = [
-                hashlib.sha256(data[a:b]).hexdigest() if every_row or want else None
-                for a, b, want in zip(starts, starts[1:], wanted, strict=False)
-            ]
+            digests = _digests(block, [every_row or want for want in wanted])
             yield pa.RecordBatch.from_arrays(
                 [
                     block.rows.column("id"),
@@ -112,5 +121,5 @@ def exact_groups(
 
 def without_exact_copies(documents: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    kept = exact_groups(documents).filter(~F.col("kept")).select(F.col("id").alias("doc_id"))
-    return documents.join(kept, "doc_id", "left_anti").select(*documents.columns)
+    gone = exact_groups(documents).filter(~F.col("kept")).select("id", "digest")
+    return without_rows(documents, gone, _every_digest)

@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.graph import connected_components
-from tillscope.llm.staging import own_shuffle, release, shuffle_partitions, staged
-from tillscope.llm.textblocks import blocks, mix, shingles, spread_starts
+from tillscope.llm.staging import own_shuffle, release, shuffle_partitions, staged, without_rows
+from tillscope.llm.textblocks import Block, blocks, mix, shingles, spread_starts
 
 PERMUTATIONS = 64
 BANDS = 32
@@ -70,28 +70,31 @@ def _set_keys(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.add.reduceat(mix(hashes), starts), np.add.reduceat(second, starts)
 
 
+def _keys_of_rows(hashes: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
+    """Number of shingles and 128 bits of each set; those of an empty one are 0."""
+    keys = np.zeros((2, len(counts)), dtype=np.uint64)
+    if (counts > 0).any():
+        keys[:, counts > 0] = _set_keys(hashes, counts)
+    return [pa.array(counts.astype(np.int64)), *(pa.array(key.view(np.int64)) for key in keys)]
+
+
+def _keys_of_block(block: Block) -> list[pa.Array]:
+    return _keys_of_rows(*shingles(block.data, block.starts))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches, "text"):
         hashes, counts = shingles(block.data, block.starts)
-        n = len(counts)
         some = counts > 0
-        first, second = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
         keys = np.zeros((0, BANDS), dtype=np.uint64)
         if some.any():
-            first[some], second[some] = _set_keys(hashes, counts)
             keys = band_keys(min_max_signatures(hashes, counts))
         lists = pa.ListArray.from_arrays(
             pa.array(spread_starts(some * BANDS).astype(np.int32)),
             pa.array(keys.ravel().view(np.int64)),
         )
         yield pa.RecordBatch.from_arrays(
-            [
-                block.rows.column("id"),
-                pa.array(counts.astype(np.int64)),
-                pa.array(first.view(np.int64)),
-                pa.array(second.view(np.int64)),
-                lists,
-            ],
+            [block.rows.column("id"), *_keys_of_rows(hashes, counts), lists],
             names=["id", "n_shingles", "key1", "key2", "bands"],
         )
 
@@ -295,6 +298,11 @@ def near_duplicates(
     documents: DataFrame, row_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """For every row: id, n_shingles, component_id (the smallest id reachable) and kept."""
+    return _keyed_near_duplicates(documents, row_id, text).drop("key1", "key2")
+
+
+def _keyed_near_duplicates(documents: DataFrame, row_id: str, text: str) -> DataFrame:
+    """`near_duplicates` with the keys of each row's set."""
     rows = documents.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     signed = staged(
@@ -337,12 +345,13 @@ def near_duplicates(
     else:
         joined = joined.join(components.withColumnRenamed("node", "class"), "class", "left")
     component = F.coalesce("component", "class", "id")
-    return joined.select("id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("id").eqNullSafe(F.col("component_id"))
-    )
+    return joined.select(
+        "id", "n_shingles", "key1", "key2", component.alias("component_id")
+    ).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
-    """One document of each group, the one of the smallest id, with all its columns."""
-    gone = near_duplicates(documents).filter(~F.col("kept")).select(F.col("id").alias("doc_id"))
-    return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    """The rows of each group's smallest id, with all their columns."""
+    found = _keyed_near_duplicates(documents, "doc_id", "text")
+    gone = found.filter(~F.col("kept")).select("id", "n_shingles", "key1", "key2")
+    return without_rows(documents, gone, _keys_of_block)
