@@ -129,8 +129,19 @@ def test_links_that_join():
 
 def test_copies_are_told_apart_by_row(spark):
     a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
-    rows = [(5, a), (3, a + " more"), (None, a), (None, a.upper()), (None, c), (4, "")]
+    rows = [(5, a), (5, b), (3, a + " more"), (None, a), (None, a.upper()), (None, c), (4, "")]
     rows += [(None, "")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     kept = Counter((r.doc_id, r.text) for r in without_near_duplicates(frame).collect())
-    assert kept == Counter([(3, a + " more"), (None, c), (4, ""), (None, "")])
+    assert kept == Counter([(5, b), (3, a + " more"), (None, c), (4, ""), (None, "")])
+
+
+def test_null_and_repeated_ids_are_linked(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = [" ".join([*base, f"end{k}"]) for k in range(3)]
+    other = [" ".join(f"o{k}" for k in range(30)) + end for end in ("", " more")]
+    rows = [(None, near[0]), (None, near[1]), (7, other[0]), (7, "x y z"), (9, near[2])]
+    rows += [(2, other[1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.id, r.component_id) for r in near_duplicates(frame).collect())
+    assert got == Counter([(None, 9), (None, 9), (7, 2), (7, 7), (9, 9), (2, 2)])

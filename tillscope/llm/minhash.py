@@ -15,8 +15,8 @@ the whole cluster, block by block, inside tasks that return at most one link per
 
 Defined cases: a text of fewer than five words has its whole sequence as its one shingle;
 a text without words and a null have the empty set, which is linked with nothing; rows
-that repeat an id are one document; a null id is linked like others but never names a
-component, and is its own where there is no other.
+that repeat an id are compared one by one, each with its own text; a null id is linked
+like others but never names a component, and is its own where there is no other.
 """
 
 from __future__ import annotations
@@ -106,7 +106,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(spread_starts(counts).astype(np.int32)), pa.array(hashes.view(np.int64))
         )
         yield pa.RecordBatch.from_arrays(
-            [block.rows.column("id"), lists], names=["id", "shingles"]
+            [*_keys_of_rows(hashes, counts), lists],
+            names=["n_shingles", "key1", "key2", "shingles"],
         )
 
 
@@ -312,21 +313,30 @@ def _keyed_near_duplicates(documents: DataFrame, row_id: str, text: str) -> Data
         "signatures",
     )
     keys = ["n_shingles", "key1", "key2"]
+    # A class goes by a number, as ids can be null or be repeated with other texts. Its
+    # bands depend on its set alone.
     classes = staged(
-        signed.filter("n_shingles > 0").groupBy(*keys).agg(F.min("id").alias("class")), "classes"
-    )
-    members = (
         signed.filter("n_shingles > 0")
-        .join(classes.select(*keys, F.col("class").alias("id")), [*keys, "id"], "left_semi")
-        .dropDuplicates(["id"])
-        .select("id", "n_shingles", F.explode("bands").alias("band"))
+        .groupBy(*keys)
+        .agg(F.min("id").alias("class"), F.first("bands").alias("bands"))
+        .withColumn("number", F.monotonically_increasing_id()),
+        "classes",
+    )
+    members = classes.select(
+        F.col("number").alias("id"), "n_shingles", F.explode("bands").alias("band")
     )
     buckets = staged(_open_buckets(members, None), "buckets")
-    candidates = buckets.select("id").distinct()
+    numbered = classes.select(*keys, F.col("number").alias("id"), "class")
+    candidates = numbered.join(buckets.select("id").distinct(), "id", "left_semi")
+    holders = candidates.select(F.col("class").alias("holder")).distinct()
     sets = staged(
-        rows.join(candidates, "id", "left_semi").mapInArrow(
-            _sets, f"id {kind}, shingles array<bigint>"
-        ),
+        rows.join(holders, F.col("id").eqNullSafe(F.col("holder")), "left_semi")
+        .mapInArrow(
+            _sets, "n_shingles bigint, key1 bigint, key2 bigint, shingles array<bigint>"
+        )
+        .dropDuplicates(keys)
+        .join(candidates, keys)
+        .select("id", "shingles"),
         "sets",
     )
     components = None
@@ -339,12 +349,14 @@ def _keyed_near_duplicates(documents: DataFrame, row_id: str, text: str) -> Data
             components = staged(connected_components(links), "components")
         release(buckets, still_open)
     release(sets)
-    joined = signed.drop("bands").join(classes, keys, "left")
-    if components is None:
-        joined = joined.withColumn("component", F.lit(None).cast(kind))
-    else:
-        joined = joined.join(components.withColumnRenamed("node", "class"), "class", "left")
-    component = F.coalesce("component", "class", "id")
+    named = numbered.withColumn("least", F.lit(None).cast(kind))
+    if components is not None:
+        linked = numbered.join(components.withColumnRenamed("node", "id"), "id")
+        least = linked.groupBy("component").agg(F.min("class").alias("least"))
+        linked = linked.join(own_shuffle(least), "component").select("id", "least")
+        named = numbered.join(linked, "id", "left")
+    joined = signed.drop("bands").join(named.drop("id"), keys, "left")
+    component = F.coalesce("least", "class", "id")
     return joined.select(
         "id", "n_shingles", "key1", "key2", component.alias("component_id")
     ).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
