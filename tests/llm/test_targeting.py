@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from tillscope.llm import targeting
+from tillscope.llm.targeting import bucket_counts, features, resample
+
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def _features(text, ngrams):
+    words = WORDS.findall((text or "").translate(_LOWER))
+    runs = [words[k : k + n] for n in range(1, ngrams + 1) for k in range(len(words) - n + 1)]
+    return len(words), [" ".join(run) for run in runs]
+
+
+def brute_force(rows, target, ngrams, buckets=10_000, percent=10):
+    """Tuples (id, n_features, weight, score, rank) of rows (id, text)."""
+
+    def bucket(feature):
+        return zlib.crc32(feature.encode()) % buckets
+
+    s = Counter(bucket(f) for _, text in rows for f in _features(text, ngrams)[1])
+    t = Counter(bucket(f) for text in target for f in _features(text, ngrams)[1])
+    all_s, all_t = float(s.total() + buckets), float(t.total() + buckets)
+    scored = []
+    for key, text in rows:
+        n_words, found = _features(text, ngrams)
+        weight = sum(
+            math.floor(
+                1000 * math.log((t[b] + 1.0) * all_s / ((s[b] + 1.0) * all_t))
+            )
+            for b in map(bucket, found)
+        )
+        h = int(hashlib.sha256(f"2024:{'' if key is None else key}".encode()).hexdigest()[:8], 16)
+        noise = math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        scored.append((key, len(found), weight, weight + noise, n_words))
+    able = sorted(
+        (x for x in scored if x[4] >= 20), key=lambda x: (-x[3], x[0] is None, x[0] or 0)
+    )
+    drawn = percent * len(able) // 100
+    ranked = [(*x[:4], k + 1 if k < drawn else None) for k, x in enumerate(able)]
+    return Counter(ranked + [(*x[:4], None) for x in scored if x[4] < 20])
+
+
+def _got(frame):
+    assert frame.columns == ["id", "n_features", "weight", "score", "rank"]
+    return Counter(map(tuple, frame.collect()))
+
+
+@pytest.fixture(scope="module")
+def target(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+
+
+@pytest.mark.parametrize(("ngrams", "percent"), [(1, 10), (2, 100), (3, 33)])
+def test_driver_documents(documents, texts, target, ngrams, percent):
+    wanted = [row.text for row in target.collect()]
+    got = _got(resample(documents, target, ngrams=ngrams, percent=percent))
+    assert got == brute_force(list(texts.items()), wanted, ngrams, percent=percent)
+
+
+def test_odd_rows(odd, nothing, target):
+    rows = [(row.doc_id, row.text) for row in odd.collect()]
+    wanted = [row.text for row in target.collect()]
+    assert _got(resample(odd, target, percent=100)) == brute_force(rows, wanted, 1, percent=100)
+    assert _got(resample(odd, target.limit(0))) == brute_force(rows, [], 1)
+    assert resample(nothing, target).count() == 0
+
+
+def test_ties_go_to_smaller_ids_and_repeated_rows_are_drawn_one_by_one(spark, target):
+    text = " ".join(["word"] * 30)
+    rows = [(k % 7 or None, text) for k in range(200)] + [(8, "short")] * 3
+    frame = spark.createDataFrame(rows, "doc_id int, text string").repartition(5)
+    wanted = [row.text for row in target.collect()]
+    got = _got(resample(frame, target, percent=50))
+    assert got == brute_force(rows, wanted, 1, percent=50)
+    assert sorted(r for *_, r in got.elements() if r) == list(range(1, 101))
+
+
+def test_features_of_parts(monkeypatch):
+    text = "One two,THREE-4 Ünï ÇÖDÉ\x7f five\tsix seven one"
+    expected = sorted(zlib.crc32(f.encode()) for f in _features(text, 4)[1])
+    assert len(expected) == 10 + 9 + 8 + 7
+
+    def sums():
+        return sorted(c for part in features(text.encode(), 4, targeting._Checksums()) for c in part)
+
+    assert sums() == expected
+    monkeypatch.setattr(targeting, "word_lists", lambda t: iter([[w] for w in t.split()]))
+    assert sums() == expected
+
+
+def test_counts_do_not_depend_on_memory(documents, monkeypatch):
+    whole = bucket_counts(documents.select("text"), 2, 50)
+    rows = documents.select("text").toPandas()["text"]
+    assert whole == [
+        sum(n for c, n in Counter(
+            zlib.crc32(f.encode()) % 50 for text in rows for f in _features(text, 2)[1]
+        ).items() if c == b)
+        for b in range(50)
+    ]
+    monkeypatch.setattr(targeting, "_KNOWN", 10)
+    (batch,) = targeting._count(2, 50)(
+        documents.select("text").toArrow().combine_chunks().to_batches()
+    )
+    got = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+    assert [got.get(b, 0) for b in range(50)] == whole

@@ -1,61 +1,91 @@
-"""Connected components as a loop of joins and aggregations over written tables."""
+"""Connected components in few rounds, each one written table.
+
+A round first joins, by union-find in each partition and without a shuffle, what the
+partition's own links connect; so a node has one row at most in each partition, whatever its
+number of links. The rows are then summed up by node, which gives every node one
+parent and links its other parents to that one. At last each parent is replaced by its own
+parent, in a join whose one side has a row for each node, so that adaptive execution can
+divide the rows of a hot root.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tillscope.llm.staging import own_shuffle, release, staged
+from tillscope.llm.staging import release, staged
+
+
+def smallest_reachable(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct nodes of the links, ascending, and the smallest node each is connected to."""
+    nodes, position = np.unique(np.concatenate((one, other)), return_inverse=True)
+    x, y = position[: len(one)], position[len(one) :]
+    parent = np.arange(len(nodes))
+    while len(x):
+        of_x, of_y = parent[x], parent[y]
+        apart = of_x != of_y
+        x, y, of_x, of_y = x[apart], y[apart], of_x[apart], of_y[apart]
+        np.minimum.at(parent, np.maximum(of_x, of_y), np.minimum(of_x, of_y))
+        while not np.array_equal(up := parent[parent], parent):
+            parent = up
+    return nodes, nodes[parent]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+    if parts:
+        one, other = (np.concatenate(side) for side in zip(*parts, strict=True))
+        nodes, roots = smallest_reachable(one, other)
+        low = nodes != roots
+        columns = [pa.array(nodes[low]), pa.array(roots[low])]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "to"])
 
 
 def connected_components(links: DataFrame) -> DataFrame:
-    """Node and component (its smallest node) of every node of the links (a, b).
+    """Node and component (its smallest node) of every node of the links (a, b), both bigint.
 
-    Alternates large-star and small-star steps (Kiveris et al., Connected Components in
-    MapReduce and Beyond, 2014) until a round changes nothing. Each step sums up per node
-    before it shuffles. Nodes without links are in no row; links with a null are left out.
+    Nodes without links are in no row; links with a null are left out. A round that finds
+    a single parent for every node, and no parent that has one itself, is the last.
     """
-    star = staged(
-        links.filter("a != b")
-        .select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("to"))
-        .distinct(),
+    lower = F.least("a", "b").alias("to")
+    rows = staged(
+        links.filter("a != b").select(F.greatest("a", "b").alias("node"), lower),
         "links",
+        narrow=True,
     )
-    mark = _mark(star)
     while True:
-        both = star.union(star.select(F.col("to"), F.col("node")))
-        least = both.groupBy("node").agg(F.least(F.min("to"), F.col("node")).alias("root"))
-        large = (
-            both.filter("to > node")
-            .join(own_shuffle(least), "node")
-            .select(F.col("to").alias("node"), F.col("root").alias("to"))
-            .distinct()
+        parents = (
+            rows.mapInArrow(_contract, "node bigint, to bigint")
+            .groupBy("node")
+            .agg(F.min("to").alias("least"), F.collect_set("to").alias("every"))
+        )
+        above = parents.select(F.col("node").alias("to"), F.col("least").alias("above"))
+        edge = F.transform(
+            "every",
+            lambda to: F.struct(
+                F.when(to > F.col("least"), to).otherwise(F.col("node")).alias("node"),
+                F.col("least").alias("to"),
+                (to > F.col("least")).alias("more"),
+            ),
         )
-        large = staged(large, "large-star")
-        least = large.groupBy("node").agg(F.min("to").alias("root"))
-        small = (
-            large.join(own_shuffle(least), "node")
-            .select(
-                F.when(F.col("to") == F.col("root"), F.col("node"))
-                .otherwise(F.col("to"))
-                .alias("node"),
-                F.col("root").alias("to"),
-            )
-            .filter("node != to")
-            .distinct()
+        edges = parents.select(F.inline(edge))
+        jumped = edges.join(above, "to", "left")
+        seen = Observation()
+        unsettled = F.count(F.when(F.col("more") | F.col("above").isNotNull(), 1))
+        settled = staged(
+            jumped.observe(seen, unsettled.alias("rows")).select(
+                "node", F.coalesce("above", "to").alias("to")
+            ),
+            "components",
+            narrow=True,
         )
-        small = staged(small, "small-star")
-        release(large)
-        now = _mark(small)
-        if now == mark:
+        release(rows)
+        rows = settled
+        if not seen.get["rows"]:
             break
-        star, mark = small, now
-    roots = small.select(F.col("to").alias("node"), F.col("to").alias("component")).distinct()
-    return small.select("node", F.col("to").alias("component")).union(roots)
-
-
-def _mark(star: DataFrame) -> tuple:
-    """Tells one set of links from another: their number and sums of two hashes."""
-    h, g = F.xxhash64("node", "to"), F.xxhash64("to", "node")
-    spread = [F.sum(x.cast("decimal(20,0)")) for x in (h, g)]
-    return tuple(star.agg(F.count("*"), *spread).first())
+    roots = rows.select(F.col("to").alias("node"), F.col("to").alias("component")).distinct()
+    return rows.select("node", F.col("to").alias("component")).union(roots)

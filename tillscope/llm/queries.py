@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillscope.llm.divergence import audit_sources
 from tillscope.llm.exact import exact_groups
 from tillscope.llm.licences import scan_licences
 from tillscope.llm.lz import compare_with_next
@@ -14,7 +15,9 @@ from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.mixing import mix_sources
 from tillscope.llm.packing import pack_documents
 from tillscope.llm.quality import held_out, score_documents, train
+from tillscope.llm.simhash import near_fingerprints
 from tillscope.llm.suffix import remove_repeats
+from tillscope.llm.targeting import resample
 from tillscope.llm.tokencount import count_tokens
 from tillscope.llm.warc import page_of, page_records, read_warc, write_warc
 from tillscope.scratch import scratch_folder
@@ -114,6 +117,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.withColumnRenamed("id", "doc_id")
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(_table(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_fingerprints(_table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
     "op2_warc": op2_warc,
@@ -125,6 +142,9 @@ QUERIES: dict[str, Query] = {
     "op8_minhash": op8_minhash,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_divergence": op12_divergence,
+    "op13_simhash": op13_simhash,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
@@ -153,6 +173,92 @@ grouped AS (
          count(*) OVER (PARTITION BY text) AS group_size FROM lowered)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
 FROM grouped""",
+    "op11_importance_resampling": r"""
+WITH sums AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1
+                THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS sum_of
+  FROM range(256) r(i)),
+split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+  FROM documents),
+wanted AS (
+  SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM benchmark),
+held AS (SELECT doc_id, unnest(words) AS word FROM split),
+bucketed AS (
+  SELECT word, xor(list_reduce([4294967295] || list_transform(
+             regexp_extract_all(hex(word), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+             lambda c, b: xor(c >> 8, sum_of[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS bucket
+  FROM (SELECT word FROM held UNION SELECT word FROM wanted), sums),
+s AS (SELECT bucket, count(*) AS n FROM held JOIN bucketed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM wanted JOIN bucketed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT s.bucket, CAST(floor(1000 * ln(
+      (coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+      / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE))) AS BIGINT)
+      AS gain
+  FROM s LEFT JOIN t ON s.bucket = t.bucket),
+weighed AS (
+  SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight
+  FROM held JOIN bucketed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+           (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5)::DOUBLE
+           / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM split LEFT JOIN weighed USING (doc_id)),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM ranked) THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)""",
+    "op12_divergence": r"""
+WITH named AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           AS text FROM documents),
+held AS (
+  SELECT row, lang, source,
+         unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM named),
+kept AS (
+  SELECT lang, term, count(*) AS n FROM held GROUP BY lang, term
+  HAVING count(DISTINCT row) >= 10),
+langs AS (
+  SELECT lang, count(*) AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM named),
+counted AS (
+  SELECT h.lang, h.source, h.term, count(*) AS n
+  FROM held h JOIN kept k ON h.lang = k.lang AND h.term = k.term GROUP BY ALL),
+totals AS (
+  SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total
+  FROM groups g LEFT JOIN counted c ON g.lang = c.lang AND g.source = c.source GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 2)) // (l.total + 2 * l.v) AS q
+  FROM totals g JOIN kept k ON g.lang = k.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT g.lang, g.source, o.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source
+  LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL) s ON s.lang = g.lang AND s.source = g.source AND s.item = o.source),
+terms AS (
+  SELECT lang, source, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+  FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank
+FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value,
+         CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank
+  FROM terms) WHERE rank <= 10""",
     "op6_mixing": f"""
 WITH sized AS (
   SELECT doc_id, source, text,

@@ -14,16 +14,23 @@ from pyspark.sql.types import StructType
 from tillscope.llm.textblocks import Block, blocks
 from tillscope.scratch import remove_folders, scratch_folder
 
+TASKS_PER_CORE = 2
 # Once a table is written, the shuffle files it was made from serve nobody.
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _settings = threading.Lock()
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
-def staged(table: DataFrame, label: str) -> DataFrame:
-    """The table, written to the shared scratch folder and read again."""
+def staged(table: DataFrame, label: str, narrow: bool = False) -> DataFrame:
+    """The table, written to the shared scratch folder and read again.
+
+    A file costs more than the few rows a shuffle partition of a ``narrow`` table has, so such a
+    table is written by a few tasks per core, each of which reads several partitions.
+    """
     spark = table.sparkSession
     path = scratch_folder(spark, label)
+    if narrow:
+        table = table.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     with _settings:
         before = spark.conf.get(_CLEAN_UP, "false")
         spark.conf.set(_CLEAN_UP, "true")

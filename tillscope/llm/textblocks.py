@@ -6,6 +6,7 @@ bytes, but for a single text that is longer; such a text is a block of its own.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -25,6 +26,7 @@ _WORD_FACTORS = _RANDOM.integers(1, 2**63, SHINGLE_WORDS, dtype=np.uint64) | np.
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -105,9 +107,14 @@ def byte_values(data: np.ndarray) -> np.ndarray:
     return _BYTE_VALUES[data]
 
 
-def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of every word ``[^\\x20\\x09-\\x0D]+``, and how many each text has."""
-    inside = ~SPACE[data]
+def words(
+    data: np.ndarray, starts: np.ndarray, separators: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every word ``[^\\x20\\x09-\\x0D]+``, and how many each text has.
+
+    Other ``separators``, one truth value for each byte, make other words.
+    """
+    inside = ~separators[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[starts] = True
     before = np.empty(len(data), dtype=bool)
@@ -122,6 +129,17 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return begins, ends, counts
 
 
+def word_lists(text: bytes, size: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
+    """The words of a text, as lists of bounded size, so that a very long text needs no more."""
+    at = 0
+    while at < len(text):
+        cut = _GAP.search(text, at + size)
+        end = cut.start() if cut else len(text)
+        if found := text[at:end].split():
+            yield found
+        at = end
+
+
 def spread_starts(counts: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(counts)))
 
