@@ -43,7 +43,7 @@ def test_equal_beginnings_are_told_apart(spark):
 def test_documents_that_stay(odd, nothing):
     kept = without_exact_copies(odd)
     assert kept.columns == odd.columns
-    # Both rows of an id go or stay; a row without an id stays.
+    # Of equal rows one stays, and a row without an id that is unlike all others.
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(
         map(str, [2, 4, 5, 6, 7, 8, 9, None, 11, 12, 13])
     )
@@ -58,3 +58,16 @@ def test_copies_are_told_apart_by_row(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     kept = Counter((r.doc_id, r.text) for r in without_exact_copies(frame).collect())
     assert kept == Counter([(5, b), (9, a.upper()), (5, c), (7, None), (None, "alone")])
+
+
+def test_of_equal_rows_one_stays(spark):
+    rows = [(1, "same")] * 5 + [(2, "other")] + [(None, "none")] * 5 + [(3, None)] * 2 + [(3, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = Counter((r.doc_id, r.text or "") for r in without_exact_copies(frame).collect())
+    assert kept == Counter([(1, "same"), (2, "other"), (None, "none"), (3, "")])
+
+
+def test_documents_are_shuffled_once(documents):
+    """Whole texts are hashed only where length and beginning are shared, and not moved again."""
+    plan = without_exact_copies(documents)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("Join") == 1

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from tillscope.llm import minhash
-from tillscope.llm.minhash import joining_links, near_duplicates, without_near_duplicates
+from tillscope.llm.minhash import near_duplicates, without_near_duplicates
 from tillscope.llm.textblocks import shingles
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -73,10 +73,7 @@ def crowd():
     return texts
 
 
-@pytest.mark.parametrize(("block", "piece"), [(500, 1000), (7, 5), (2, 1)])
-def test_a_crowd_in_blocks(spark, monkeypatch, crowd, block, piece):
-    monkeypatch.setattr(minhash, "BLOCK_SETS", block)
-    monkeypatch.setattr(minhash, "PIECE_ROWS", piece)
+def test_a_crowd(spark, crowd):
     frame = spark.createDataFrame(list(crowd.items()), "doc_id long, text string")
     assert _got(frame) == brute_force(crowd)
 
@@ -120,11 +117,78 @@ def test_signatures_estimate_similarity():
     assert abs((one == other).mean() - 0.75) < 0.12
 
 
-def test_links_that_join():
-    one, two, three = (np.arange(a, a + 100) for a in (0, 10, 20))
-    assert joining_links([one, two, three], np.arange(3)) == [(0, 1), (1, 2)]
-    assert joining_links([one, two, three], np.array([0, 1, 1])) == [(0, 1)]
-    assert joining_links([one, three], np.arange(2)) == []
+def _random_sets(seed, n, tokens, sizes):
+    drawn = random.Random(seed)
+    pool = [drawn.getrandbits(63) for _ in range(tokens)]
+    sets = []
+    for _ in range(n):
+        if sets and drawn.random() < 0.5:
+            one = set(drawn.choice(sets))
+            for _ in range(drawn.randrange(1 + len(one) // 4)):
+                one.discard(drawn.choice(sorted(one)))
+                one.add(drawn.choice(pool))
+        else:
+            one = set(drawn.sample(pool, drawn.randrange(*sizes)))
+        sets.append(one)
+    return sets
+
+
+def _pairs(sets, components):
+    return {
+        (a, b)
+        for a, b in itertools.combinations(range(len(sets)), 2)
+        if components[a] != components[b]
+        and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    }
+
+
+def _prefix_pairs(spark, sets, components):
+    rows = [(k, c, sorted(s)) for k, (s, c) in enumerate(zip(sets, components, strict=True))]
+    kinds = "number long, component long, shingles array<long>"
+    frame = spark.createDataFrame(rows, kinds).repartition(3)
+    return frame, {(r.a, r.b) for r in minhash.prefix_pairs(frame).collect()}
+
+
+@pytest.mark.parametrize("sizes", [(1, 9), (3, 17), (20, 60)])
+def test_no_similar_pair_is_missed_by_prefixes(spark, sizes):
+    sets = _random_sets(sizes[1], 160, 4 * sizes[1], sizes)
+    drawn = random.Random(3)
+    for components in (range(len(sets)), [drawn.choice((0, 0, 0, 1, 2, k)) for k in range(160)]):
+        components = list(components)
+        frame, found = _prefix_pairs(spark, sets, components)
+        expected = _pairs(sets, components)
+        assert expected and expected <= found
+        assert all(components[a] != components[b] for a, b in found)
+        candidates = spark.createDataFrame(sorted(found), "a long, b long")
+        links = minhash._confirmed(candidates, frame)
+        assert {(r.a, r.b) for r in links.collect()} == expected
+
+
+def test_a_crowd_just_below_the_limit_has_few_candidates(spark):
+    """Texts of a common half and a half of their own, 20,000 of them, and five similar pairs."""
+    common = list(range(1, 41))
+    sets = [set(common) | {1_000 + 31 * k + j for j in range(31)} for k in range(19_995)]
+    sets += [set(list(sets[k])[:-3]) | {7, 5, 3} for k in range(5)]
+    _, found = _prefix_pairs(spark, sets, list(range(20_000)))
+    assert {(k, 19_995 + k) for k in range(5)} <= found and len(found) < 100
+
+
+def test_small_sets_are_searched_exactly(spark, monkeypatch):
+    """Links of texts of up to 16 shingles are found without any centre."""
+    monkeypatch.setattr(minhash, "_still_apart", lambda buckets, _: buckets.select("number"))
+    confirmed = minhash._confirmed
+    calls = []
+
+    def second_only(pairs, sets):
+        calls.append(1)
+        return confirmed(pairs, sets).filter("a < 0" if len(calls) == 1 else "true")
+
+    monkeypatch.setattr(minhash, "_confirmed", second_only)
+    texts = {k: " ".join(f"w{j}" for j in range(n)) for k, n in enumerate((8, 9, 10, 11, 12, 6))}
+    texts[6] = " ".join(f"v{j}" for j in range(20))
+    texts[7] = texts[6] + " more"
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert _got(frame) == brute_force(texts)
 
 
 def test_copies_are_told_apart_by_row(spark):
@@ -136,6 +200,26 @@ def test_copies_are_told_apart_by_row(spark):
     assert kept == Counter([(5, b), (3, a + " more"), (None, c), (4, ""), (None, "")])
 
 
+def test_of_equal_rows_one_stays(spark):
+    long, other = ("word " * 30).strip(), " ".join(f"o{k}" for k in range(30))
+    rows = [(1, long)] * 5 + [(2, other)] + [(None, long.upper())] * 5
+    for repeated, left in ((rows[:6], [1, 2]), (rows[6:], [None]), (rows, [1, 2])):
+        frame = spark.createDataFrame(repeated, "doc_id long, text string").repartition(3)
+        kept = [r.doc_id for r in without_near_duplicates(frame).collect()]
+        assert sorted(kept, key=str) == left
+
+
+def test_rows_are_known_by_their_files(spark, tmp_path):
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, f"{base} {k % 2}") for k in range(40)] + [(2, "x y z")]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(path)
+    table = spark.read.parquet(path)
+    assert sorted(r.doc_id for r in without_near_duplicates(table).collect()) == [1, 2]
+    twice = table.crossJoin(spark.createDataFrame([(1,), (2,)], "other int"))
+    assert sorted(r.doc_id for r in without_near_duplicates(twice).collect()) == [1, 2]
+
+
 def test_null_and_repeated_ids_are_linked(spark):
     base = [f"w{k}" for k in range(60)]
     near = [" ".join([*base, f"end{k}"]) for k in range(3)]

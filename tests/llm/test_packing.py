@@ -73,8 +73,14 @@ def test_parts_are_encoded_like_whole_texts(tokenizer):
     texts += ["a<|endoftext|>b C <|ENDOFTEXT|> d1", "İstanbul ΣΑΣ ﬁ x", "ß.ẞ,ſ" * 40, ""]
     for text in texts:
         data = np.frombuffer(text.encode(), np.uint8)
-        (got,) = encoder.texts(data, np.array([0, len(data)]))
-        assert np.frombuffer(got, "<u4").tolist() == _ids(tokenizer, text)[:-1], text
+        got, bounds = encoder.texts(data, np.array([0, len(data)]))
+        assert got.tolist() == _ids(tokenizer, text)[:-1] and bounds.tolist() == [0, len(got)], text
+    # All of them as one block: nothing is read across the end of a text.
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    starts = np.cumsum([0, *(len(text.encode()) for text in texts)])
+    got, bounds = encoder.texts(data, starts, np.array([2], dtype="<u4").tobytes())
+    for a, b, text in zip(bounds[:-1], bounds[1:], texts, strict=True):
+        assert got[a:b].tolist() == _ids(tokenizer, text), text
 
 
 def test_sequences_are_balanced_by_cost():
@@ -95,6 +101,64 @@ def test_sequences_are_balanced_by_cost():
     assert max(costs) - min(costs) < 0.2 * max(costs)
 
 
+def _cheapest_with_room(lengths):
+    """`place` by looking at every sequence."""
+    full, left = divmod(sum(lengths), SEQUENCE)
+    cost, room = [0.0] * full, [SEQUENCE] * full
+    tails = [1 << bit for bit in range(12, -1, -1) if left >> bit & 1]
+    pieces = []
+    for item, length in enumerate(lengths):
+        start = 0
+        while length:
+            able = [k for k in range(full) if room[k] >= length] or [
+                k for k in range(full) if room[k]
+            ]
+            if able:
+                k = min(able, key=lambda k: (cost[k], k))
+                taken = min(length, room[k])
+                room[k] -= taken
+                cost[k] += taken + taken * taken / packing.QUADRATIC
+            else:
+                k = next(full + n for n, tail in enumerate(tails) if tail)
+                taken = min(length, tails[k - full])
+                tails[k - full] -= taken
+            pieces.append((item, start, taken, k))
+            start += taken
+            length -= taken
+    return pieces
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_the_cheapest_sequence_with_room_is_chosen(seed):
+    drawn = random.Random(seed)
+    lengths = [min(SEQUENCE - 1, int(drawn.expovariate(1 / 900)) + 1) for _ in range(600)]
+    lengths.sort(reverse=True)
+    assert place(lengths) == _cheapest_with_room(lengths)
+
+
+def test_ids_of_a_large_vocabulary_are_not_cut(odd, monkeypatch):
+    some = sorted(map(tuple, pack_documents(odd.filter("doc_id > 5")).collect()))
+    monkeypatch.setattr(packing.encoder(VOCABULARY), "largest_id", 1 << 16)
+    assert sorted(map(tuple, pack_documents(odd.filter("doc_id > 5")).collect())) == some
+
+
+def test_equal_rows_are_dealt_over_groups(spark, tokenizer, monkeypatch):
+    for name, value in (("GROUP_BYTES", 200), ("HOT_BYTES", 2_000)):
+        monkeypatch.setattr(packing, name, value)
+    rows = [(None, "")] * 1_000 + [(7, "some words of a text")] * 500
+    rows += [(k, f"text {k}") for k in range(100, 300)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string").repartition(6)
+    got = pack_documents(frame).collect()
+    texts = defaultdict(list)
+    for k, text in rows:
+        texts[k].append(text)
+    _check(got, texts, tokenizer)
+    sizes = defaultdict(int)
+    for row in got:
+        sizes[row.sequence_id >> 32] += 1
+    assert max(sizes.values()) < 150
+
+
 def test_place_of_little():
     assert place([]) == []
     assert place([1]) == [(0, 0, 1, 0)]

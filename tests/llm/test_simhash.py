@@ -90,14 +90,9 @@ def test_majorities():
     assert majorities(hashes, counts).tolist() == expected
 
 
-@pytest.mark.parametrize(("place_rows", "listed"), [(1 << 20, 1 << 18), (300, 5_000), (40, 50)])
-def test_links_of_fingerprints(spark, monkeypatch, place_rows, listed):
-    """Neighbours at 1 to 7 bits, a crowd about one centre, and places that are divided."""
-    monkeypatch.setattr(simhash, "PLACE_ROWS", place_rows)
-    monkeypatch.setattr(simhash, "_LISTED", listed)
-    monkeypatch.setattr(simhash, "_KEPT_LINKS", 500)
+def _neighbours(many):
+    """Fingerprints at 1 to 7 bits from each other, and a crowd about one centre."""
     drawn = random.Random(2)
-    many = 60 if place_rows > 100 else 12
     every = {0, 1, 2**64 - 1, 2**63}
     for _ in range(many):
         start = drawn.getrandbits(64)
@@ -106,10 +101,10 @@ def test_links_of_fingerprints(spark, monkeypatch, place_rows, listed):
     centre = drawn.getrandbits(64)
     for _ in range(2 * many):
         every.add(centre ^ sum(1 << bit for bit in drawn.sample(range(64), drawn.randrange(9))))
-    signed = [f - (1 << 64) if f >> 63 else f for f in every]
-    classes = spark.createDataFrame([(f,) for f in signed], "fingerprint bigint")
-    links = [(r.a, r.b) for r in simhash._links(classes).collect()]
-    assert all(((a ^ b) & (1 << 64) - 1) for a, b in links)
+    return every
+
+
+def _check_links(every, links):
     expected = defaultdict(set)
     for f, root in _components(every).items():
         expected[root].add(f)
@@ -127,3 +122,27 @@ def test_links_of_fingerprints(spark, monkeypatch, place_rows, listed):
     for f in every:
         got[find(f)].add(f)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected.values()))
+
+
+@pytest.mark.parametrize(("place_rows", "many"), [(1 << 20, 60), (300, 60), (40, 12)])
+def test_links_of_fingerprints(spark, monkeypatch, place_rows, many):
+    """Also where places get too many fingerprints, and are divided by further bits."""
+    monkeypatch.setattr(simhash, "PLACE_ROWS", place_rows)
+    every = _neighbours(many)
+    signed = [f - (1 << 64) if f >> 63 else f for f in every]
+    classes = spark.createDataFrame([(f,) for f in signed], "fingerprint bigint")
+    _check_links(every, [(r.a, r.b) for r in simhash._links(classes).collect()])
+
+
+@pytest.mark.parametrize("listed", [1 << 22, 5_000, 50])
+def test_links_of_one_place(monkeypatch, listed):
+    monkeypatch.setattr(simhash, "_LISTED", listed)
+    monkeypatch.setattr(simhash, "_KEPT_LINKS", 500)
+    every = _neighbours(12)
+    values = np.array(sorted(every), dtype=np.uint64)
+    forest = simhash._Forest()
+    left = np.full(len(values), simhash.HALF)
+    simhash.collisions(values.view(np.int64), values, left, 0, forest)
+    one, other = forest.links()
+    assert len(one) < len(every)
+    _check_links(every, zip(one.tolist(), other.tolist(), strict=True))

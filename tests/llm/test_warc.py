@@ -106,13 +106,23 @@ def test_predicates_belong_to_the_table(spark, archive):
 
 
 def test_filters_of_the_query_are_pushed_down(spark, archive):
-    frame = read_warc(spark, archive, payload=False, pushdown=True).filter(
-        (F.col("record_type") == "response") & F.col("target_uri").startswith("http://c")
-    )
-    assert {r.record_id for r in frame.collect()} == {f"urn:page:{k}" for k in range(6, 11)}
-    assert "Filter" not in frame._jdf.queryExecution().executedPlan().toString().replace(
-        "RuntimeFilters", ""
-    )
+    setting = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(setting)
+    with warc.pushed_filters(spark):
+        frame = read_warc(spark, archive, payload=False, pushdown=True).filter(
+            (F.col("record_type") == "response") & F.col("target_uri").startswith("http://c")
+        )
+        assert {r.record_id for r in frame.collect()} == {f"urn:page:{k}" for k in range(6, 11)}
+        assert "Filter" not in frame._jdf.queryExecution().executedPlan().toString().replace(
+            "RuntimeFilters", ""
+        )
+        # Two loads have a filter each.
+        kinds = [
+            read_warc(spark, archive, pushdown=True).filter(F.col("record_type") == kind)
+            for kind in ("response", "revisit")
+        ]
+        assert kinds[0].union(kinds[1]).count() == len(PAGES)
+    assert spark.conf.get(setting) == before
 
 
 def test_unwanted_payloads_are_not_decoded(spark, tmp_path):
@@ -136,28 +146,118 @@ def test_unwanted_payloads_are_not_decoded(spark, tmp_path):
         frame.collect()
 
 
-@pytest.mark.parametrize("kind", ["plain", "no skip lengths"])
-def test_archives_of_others(kind):
+def _rows(n, size=lambda k: k * 5000, header=""):
+    """Rows and the bytes of their records; ``header`` goes into those of HTTP."""
     rows = [
         {"record_id": f"urn:{k}", "record_type": "response", "target_uri": f"http://{k}",
-         "refers_to": None, "payload": b"p" * (k * 5000)}
-        for k in range(4)
+         "refers_to": None, "payload": os.urandom(size(k) // 2).hex().encode()}
+        for k in range(n)
     ]
-    records = [record_bytes(row) for row in rows]
-    content = b"".join(map(gzip.compress, records) if kind != "plain" else records)
+    records = []
+    for row in rows:
+        record = record_bytes(row)
+        if header:
+            line = f"X-Policy: {header}\r\n".encode()
+            record = record.replace(b"Content-Type: text/html", line + b"Content-Type: text/html")
+            _, block = parse_headers(record)
+            length = len(record) - block - 4
+            front = record[:block].rpartition(b"Content-Length: ")[0]
+            record = front + f"Content-Length: {length}\r\n\r\n".encode() + record[block:]
+        records.append(record)
+    return rows, records
+
+
+def _members(kind, records):
+    whole = b"".join(records)
+    if kind == "plain":
+        return whole
+    if kind == "one member":
+        return gzip.compress(whole)
+    if kind == "one member with lengths":
+        return gzip_member(whole)
+    if kind == "members of two records":
+        pairs = [records[k : k + 2] for k in range(0, len(records), 2)]
+        return b"".join(gzip_member(b"".join(pair)) for pair in pairs)
+    if kind == "records run on":
+        return b"".join(gzip.compress(whole[k : k + 700]) for k in range(0, len(whole), 700))
+    if kind == "records run on, with lengths":
+        return b"".join(gzip_member(whole[k : k + 700]) for k in range(0, len(whole), 700))
+    if kind == "lengths":
+        return b"".join(map(gzip_member, records))
+    return b"".join(map(gzip.compress, records))
+
+
+KINDS = [
+    "plain", "no lengths", "lengths", "one member", "one member with lengths",
+    "members of two records", "records run on", "records run on, with lengths",
+]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_archives_of_others(kind):
+    rows, records = _rows(5)
+    content = _members(kind, records)
     columns = ["record_id", "payload", "payload_length"]
-    file = pa.PythonFile(io.BytesIO(content), mode="r")
-    found = list(read_archive(file, len(content), lambda row: True, columns))
-    assert [(r["record_id"], r["payload"], r["payload_length"]) for r in found] == [
-        (row["record_id"], row["payload"], len(row["payload"])) for row in rows
-    ]
-    last = read_archive(
-        pa.PythonFile(io.BytesIO(content), mode="r"),
-        len(content),
-        lambda row: row["target_uri"] == "http://3",
-        columns[:1],
-    )
+
+    def read(wanted, columns, *bounds):
+        file = pa.PythonFile(io.BytesIO(content), mode="r")
+        return list(read_archive(file, wanted, columns, *bounds))
+
+    expected = [(row["record_id"], row["payload"], len(row["payload"])) for row in rows]
+
+    def tuples(found):
+        return [(r["record_id"], r["payload"], r["payload_length"]) for r in found]
+
+    assert tuples(read(lambda row: True, columns)) == expected
+    lengths = read(lambda row: True, ["record_id", "payload_length"])
+    assert [r["payload_length"] for r in lengths] == [len(row["payload"]) for row in rows]
+    last = read(lambda row: row["target_uri"] == "http://3", columns[:1])
     assert [r["record_id"] for r in last] == ["urn:3"]
+    if kind != "plain":
+        for width in (len(content) // 2 + 1, 3_000, 500):
+            found = []
+            for start in range(0, len(content), width):
+                end = min(start + width, len(content))
+                found += tuples(read(lambda row: True, columns, start, end))
+            assert found == expected
+
+
+def test_an_archive_that_ends_within_a_record():
+    _, records = _rows(2)
+    for content in (b"".join(map(gzip.compress, records))[:-500], gzip.compress(records[1][:-500])):
+        with pytest.raises(EOFError):
+            list(read_archive(pa.PythonFile(io.BytesIO(content), mode="r"), lambda row: True, ["payload"]))
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_long_http_headers(spark, tmp_path, kind):
+    rows, records = _rows(3, lambda k: 5_000, header="p" * 8_000)
+    suffix = "warc" if kind == "plain" else "warc.gz"
+    (tmp_path / f"long.{suffix}").write_bytes(_members(kind, records))
+    for payload in (True, False):
+        found = read_warc(spark, str(tmp_path), payload).collect()
+        assert sorted((r.record_id, r.payload_length) for r in found) == [
+            (f"urn:{k}", 5_000) for k in range(3)
+        ]
+
+
+def test_subfolders_and_ranges_of_large_archives(spark, tmp_path):
+    rows, records = _rows(40)
+    (tmp_path / "2024" / "part=1").mkdir(parents=True)
+    (tmp_path / "_temporary-1").mkdir()
+    (tmp_path / "2024" / "part=1" / "a.warc.gz").write_bytes(_members("lengths", records))
+    (tmp_path / "2024" / "b.warc").write_bytes(_members("plain", records[:3]))
+    (tmp_path / "_temporary-1" / "c.warc.gz").write_bytes(_members("lengths", records[:5]))
+    table = read_warc(spark, str(tmp_path))
+    assert table.count() == 43
+    options = {"path": str(tmp_path), "splitbytes": "100000"}
+    reader = warc.WarcReader(table.schema, options)
+    planned = reader.partitions()
+    ranges = [r for part in planned for r in part.ranges]
+    large = [r for r in ranges if r[0].endswith("a.warc.gz")]
+    assert len(large) == len(planned) - 1 > 10 and large[0][1] == 0
+    found = [batch.num_rows for part in planned for batch in reader.read(part)]
+    assert sum(found) == 43 and len(found) > 10
 
 
 def test_headers():
@@ -199,7 +299,10 @@ def test_empty_table_and_planning(spark, pages, archive, tmp_path):
     write_warc(page_records(pages.limit(0)), empty)
     assert read_warc(spark, empty).count() == 0
     assert read_warc(spark, str(tmp_path / "nowhere")).count() == 0
-    reader = warc.WarcReader(read_warc(spark, archive).schema, {"path": archive, "splitbytes": "1"})
-    assert len(reader.partitions()) == len(_files(archive))
+    options = {"path": archive, "splitbytes": "1000"}
+    reader = warc.WarcReader(read_warc(spark, archive).schema, options)
+    ranges = [r for part in reader.partitions() for r in part.ranges]
+    assert len(ranges) >= len(_files(archive)) and all(b - a <= 1000 for _, a, b in ranges)
+    assert sum(b - a for _, a, b in ranges) == sum(map(os.path.getsize, _files(archive)))
     whole = warc.WarcReader(read_warc(spark, archive).schema, {"path": archive})
     assert len(whole.partitions()) == 1

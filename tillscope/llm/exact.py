@@ -5,8 +5,9 @@ and only rows that still share both with another have their whole text hashed. T
 are equal when identical after lower-casing A-Z only.
 
 Defined cases: a null text is empty, and empty texts are equal; rows are compared one by
-one, so rows that repeat an id are members of a group like any others, and all
-rows with the id that stays are kept; an empty table gives an empty result.
+one, so rows that repeat an id are members of a group like any others. All
+rows with the id that stays are marked as kept; `without_exact_copies` keeps exactly one row of each
+group, one with the largest id, where a null is less than any id. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,16 +15,16 @@ from __future__ import annotations
 import hashlib
 import string
 from collections.abc import Iterable, Iterator
-from itertools import repeat
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.staging import own_shuffle, staged, without_rows
+from tillscope.llm.staging import own_shuffle, staged
 from tillscope.llm.textblocks import LOWER, Block, blocks
 
 PREFIX_CHARS = 64
+_HEAD = ["n_bytes", "beginning"]
 
 
 def _digests(block: Block, wanted: Iterable[bool]) -> list[str | None]:
@@ -34,10 +35,6 @@ def _digests(block: Block, wanted: Iterable[bool]) -> list[str | None]:
     ]
 
 
-def _every_digest(block: Block) -> list[pa.Array]:
-    return [pa.array(_digests(block, repeat(True)), pa.string())]
-
-
 def _hash_whole(every_row: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -55,6 +52,27 @@ def _hash_whole(every_row: bool):
     return run
 
 
+def _lowered(text: Column) -> Column:
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
+def _with_shared(rows: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with length and beginning of their text, and those that several rows have."""
+    beginning = F.xxhash64(_lowered(F.substring(text, 1, PREFIX_CHARS)))
+    rows = rows.withColumns({"n_bytes": F.octet_length(text), "beginning": beginning})
+    heads = staged(rows.select(*_HEAD), "exact-heads")
+    lengths = heads.groupBy("n_bytes").count().filter("count > 1").select("n_bytes")
+    # Rows of one length may be many, but those of a large group begin alike: counted first.
+    classes = (
+        heads.groupBy(*_HEAD)
+        .count()
+        .join(lengths, "n_bytes", "left_semi")
+        .filter("count > 1")
+        .select(*_HEAD, F.lit(True).alias("shared"))
+    )
+    return rows, classes
+
+
 def exact_groups(
     documents: DataFrame, row_id: str = "doc_id", text: str = "text", every_digest: bool = False
 ) -> DataFrame:
@@ -68,24 +86,9 @@ def exact_groups(
     rows = documents.select(
         F.col(row_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    beginning = F.translate(
-        F.substring("text", 1, PREFIX_CHARS), string.ascii_uppercase, string.ascii_lowercase
-    )
-    rows = rows.withColumns(
-        {"n_bytes": F.octet_length("text"), "beginning": F.xxhash64(beginning)}
-    )
-    heads = staged(rows.select("n_bytes", "beginning"), "exact-heads")
-    lengths = heads.groupBy("n_bytes").count().filter("count > 1").select("n_bytes")
-    # Rows of one length may be many, but those of a large group begin alike: counted first.
-    classes = (
-        heads.groupBy("n_bytes", "beginning")
-        .count()
-        .join(lengths, "n_bytes", "left_semi")
-        .filter("count > 1")
-        .select("n_bytes", "beginning", F.lit(True).alias("shared"))
-    )
+    rows, classes = _with_shared(rows, "text")
     hashed = (
-        rows.join(own_shuffle(classes), ["n_bytes", "beginning"], "left")
+        rows.join(own_shuffle(classes), _HEAD, "left")
         .select("id", "text", F.coalesce("shared", F.lit(False)).alias("shared"))
         .mapInArrow(
             _hash_whole(every_digest),
@@ -120,6 +123,26 @@ def exact_groups(
 
 
 def without_exact_copies(documents: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    gone = exact_groups(documents).filter(~F.col("kept")).select("id", "digest")
-    return without_rows(documents, gone, _every_digest)
+    """One row of each group, with all its columns.
+
+    The documents are shuffled once, to meet the classes that are shared, and written
+    with a number each. After that only shared rows are moved, each by its own number.
+    """
+    columns = [f"c{k}" for k in range(len(documents.columns))]
+    row_id, text = (columns[documents.columns.index(name)] for name in ("doc_id", "text"))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows, classes = _with_shared(documents.toDF(*columns).withColumn("whole", whole), "whole")
+    marked = rows.join(own_shuffle(classes), _HEAD, "left")
+    numbered = staged(
+        marked.select(
+            *columns,
+            F.when(F.col("shared"), F.sha2(_lowered(F.col("whole")), 256)).alias("digest"),
+            F.monotonically_increasing_id().alias("number"),
+        ),
+        "exact-rows",
+    )
+    shared = numbered.filter(F.col("digest").isNotNull())
+    stays = shared.groupBy("digest").agg(F.max(F.struct(row_id, "number")).alias("row"))
+    kept = shared.join(stays.select("row.number"), "number", "left_semi")
+    alone = numbered.filter(F.col("digest").isNull())
+    return alone.select(*columns).union(kept.select(*columns)).toDF(*documents.columns)

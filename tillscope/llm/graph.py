@@ -57,6 +57,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         "links",
         narrow=True,
     )
+    if rows.isEmpty():
+        return rows.withColumnRenamed("to", "component")
     while True:
         parents = (
             rows.mapInArrow(_contract, "node bigint, to bigint")

@@ -3,20 +3,31 @@
 A document is the set of its five-word shingles. Of each of 64 permutations both the
 minimum and the maximum over the set are kept, so 128 signature values cost 64 hash
 evaluations; minimum and maximum agree between two sets with the probability of
-their Jaccard similarity each. The values are banded in 32 bands of 4: a pair of similarity
-0.75 shares no band with probability 5e-6, one of 0.85 with 1e-10.
-
-Equal sets are one class from the start, so copies never meet each other. In a band's
-bucket of several classes every class is compared with one centre, which gives as many
-pairs as there are members, and similarity is confirmed on the full sets. Where a bucket
-is then still in several components, no link is lost either: sets that such buckets
-connect are a cluster, and all that are not in its largest component are compared with
-the whole cluster, block by block, inside tasks that return at most one link per set.
+their Jaccard similarity each. The values are banded in 32 bands of 4. Equal sets are one class from the
+start, so copies never meet each other. In a band's bucket of several classes every class is
+compared with one centre, which gives as many pairs as there are members, and similarity is
+confirmed on the full sets.
+
+What is then not in one component is searched exactly, in a join by prefixes: sets in their order of
+rarest shingles first can only be similar if they share one of the first quarter; of the smaller
+set the first seventh or so is enough. That join takes the sets of buckets that are still in
+several components, and all sets of up to `SMALL` shingles, so that no link among those depends
+on bands. Only sets of different components are paired, and a shingle's largest component is never
+paired with itself.
+
+A pair of larger sets that no centre connects is missed if it shares no band: of similarity 0.75
+with probability 5e-6 in large sets. In small ones minimum and maximum depend on each other:
+measured, 2e-5 at 8 shingles and 1e-5 at 12, which are searched exactly.
+
+Full sets are only sent for classes that share a bucket. Which those are is known to all tasks
+from a bitmap of at most `MOST_SLOTS` bits; what it lets through in vain is sent in vain and
+meets no pair.
 
 Defined cases: a text of fewer than five words has its whole sequence as its one shingle;
 a text without words and a null have the empty set, which is linked with nothing; rows
 that repeat an id are compared one by one, each with its own text; a null id is linked
-like others but never names a component, and is its own where there is no other.
+like others but never names a component, and is its own where there is no other. Of a
+component's rows `without_near_duplicates` keeps one with the smallest id, even if rows repeat that.
 """
 
 from __future__ import annotations
@@ -29,16 +40,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.graph import connected_components
-from tillscope.llm.staging import own_shuffle, release, shuffle_partitions, staged, without_rows
-from tillscope.llm.textblocks import Block, blocks, mix, shingles, spread_starts
+from tillscope.llm.staging import own_shuffle, release, rows_with_names, staged
+from tillscope.llm.textblocks import blocks, mix, shingles, spread_starts
 
 PERMUTATIONS = 64
 BANDS = 32
 ROWS = 2 * PERMUTATIONS // BANDS
 SIMILAR = 75  # per cent
-PIECE_ROWS = 1_000
-BLOCK_SETS, BLOCK_SHINGLES = 128, 100_000
-_MATRIX_COLUMNS = 2048
+SMALL = 16  # shingles
+MOST_SLOTS = 1 << 27
+MOST_COUNTERS = 1 << 22
+_KEYS = ["n_shingles", "key1", "key2"]
 
 _RANDOM = np.random.Generator(np.random.PCG64(75))
 _FACTORS = _RANDOM.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,292 +90,314 @@ def _keys_of_rows(hashes: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
     return [pa.array(counts.astype(np.int64)), *(pa.array(key.view(np.int64)) for key in keys)]
 
 
-def _keys_of_block(block: Block) -> list[pa.Array]:
-    return _keys_of_rows(*shingles(block.data, block.starts))
+def _lists(counts: np.ndarray, values: np.ndarray) -> pa.Array:
+    starts = pa.array(spread_starts(counts).astype(np.int32))
+    return pa.ListArray.from_arrays(starts, pa.array(values.view(np.int64)))
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns but the text, with the set's keys, its bands and, if it is small, the set."""
     for block in blocks(batches, "text"):
         hashes, counts = shingles(block.data, block.starts)
         some = counts > 0
-        keys = np.zeros((0, BANDS), dtype=np.uint64)
+        bands = np.zeros((0, BANDS), dtype=np.uint64)
         if some.any():
-            keys = band_keys(min_max_signatures(hashes, counts))
-        lists = pa.ListArray.from_arrays(
-            pa.array(spread_starts(some * BANDS).astype(np.int32)),
-            pa.array(keys.ravel().view(np.int64)),
-        )
+            bands = band_keys(min_max_signatures(hashes, counts))
+        few = counts * (counts <= SMALL)
+        rows = block.rows.drop_columns("text")
         yield pa.RecordBatch.from_arrays(
-            [block.rows.column("id"), *_keys_of_rows(hashes, counts), lists],
-            names=["id", "n_shingles", "key1", "key2", "bands"],
+            [
+                *rows.columns,
+                *_keys_of_rows(hashes, counts),
+                _lists(some * BANDS, bands.ravel()),
+                _lists(few, hashes[np.repeat(counts <= SMALL, counts)]),
+            ],
+            names=[*rows.schema.names, *_KEYS, "bands", "small"],
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in blocks(batches, "text"):
-        hashes, counts = shingles(block.data, block.starts)
-        lists = pa.ListArray.from_arrays(
-            pa.array(spread_starts(counts).astype(np.int32)), pa.array(hashes.view(np.int64))
-        )
-        yield pa.RecordBatch.from_arrays(
-            [*_keys_of_rows(hashes, counts), lists],
-            names=["n_shingles", "key1", "key2", "shingles"],
-        )
+def _slot(key: Column, slots: int) -> Column:
+    return key.bitwiseAND(slots - 1)
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bits of the slots that key1 has, about eight slots for each row, up to `MOST_SLOTS`."""
+    slots = 1 << 10
+    rows = keys.count()
+    while slots < min(8 * rows, MOST_SLOTS):
+        slots *= 2
+    slot = _slot(F.col("key1"), slots)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+    words = (
+        keys.groupBy(F.shiftright(slot, 6).alias("at"))
+        .agg(F.bit_or(bit).alias("bits"))
+        .toArrow()
+    )
+    bitmap = np.zeros(slots // 64, dtype=np.int64)
+    bitmap[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    return bitmap.view(np.uint64)
+
+
+def _sets_of(bitmap: np.ndarray):
+    """The full sets whose key the bitmap may hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            hashes, counts = shingles(block.data, block.starts)
+            keys = _keys_of_rows(hashes, counts)
+            slot = keys[1].to_numpy().view(np.uint64) & np.uint64(64 * len(bitmap) - 1)
+            bit = bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)
+            wanted = bit.astype(bool) & (counts > 0)
+            rows = pa.array(np.flatnonzero(wanted))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(key.take(rows) for key in keys),
+                    _lists(counts[wanted], hashes[np.repeat(wanted, counts)]),
+                ],
+                names=[*_KEYS, "shingles"],
+            )
+
+    return run
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     return (
-        pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")
-        .join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a")
+        pairs.join(sets.select(F.col("number").alias("b"), F.col("shingles").alias("of_b")), "b")
+        .join(sets.select(F.col("number").alias("a"), F.col("shingles").alias("of_a")), "a")
         .withColumn("both", F.size(F.array_intersect("of_a", "of_b")))
         .filter(100 * F.col("both") >= SIMILAR * (F.size("of_a") + F.size("of_b") - F.col("both")))
         .select("a", "b")
     )
 
 
-def _open_buckets(rows: DataFrame, components: DataFrame | None) -> DataFrame:
-    """Rows (band, id, n_shingles, component, pieces) of buckets of several components.
+def _in_components(numbers: DataFrame, components: DataFrame) -> DataFrame:
+    """With the component of each number, which is its own where it has no link."""
+    named = components.withColumnRenamed("node", "number")
+    return numbers.join(named, "number", "left").withColumn(
+        "component", F.coalesce("component", "number")
+    )
+
+
+def _least(size: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How many shingles similar sets of these sizes have in common at least."""
+    return -(-SIMILAR * (size + other) // (100 + SIMILAR))
 
-    ``pieces`` says over how many pieces the bucket's rows are to be dealt in joins.
+
+def _postings(rarity: np.ndarray):
+    """Rows (token, number, component, n, at, indexed) of each set's rarest shingles.
+
+    ``at`` is the place in the set's order, the same order for all sets; a set has ``indexed``
+    rows for larger sets to find, and a few more by which to find smaller ones.
     """
-    rows = rows.select("band", "id", "n_shingles")
-    if components is None:
-        labelled = rows.withColumn("component", F.col("id"))
-    else:
-        labelled = rows.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn(
-            "component", F.coalesce("component", "id")
-        )
-    several = (
-        labelled.groupBy("band")
-        .agg(
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-            F.ceil(F.count("*") / PIECE_ROWS).alias("pieces"),
-        )
-        .filter("least < most")
-        .select("band", "pieces")
-    )
-    return labelled.join(own_shuffle(several), "band")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("shingles")
+            sizes = np.diff(lists.offsets.to_numpy())
+            tokens = lists.flatten().to_numpy()
+            hashed = tokens.view(np.uint64)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            rank = rarity[hashed & np.uint64(len(rarity) - 1)]
+            order = np.lexsort((hashed, rank, owner))
+            at = np.arange(len(tokens)) - np.repeat(spread_starts(sizes)[:-1], sizes)
+            smallest = -(-SIMILAR * sizes // 100)
+            probed = at < (sizes - smallest + 1)[owner]
+            indexed = at < (sizes - _least(sizes, sizes) + 1)[owner]
+            rows = pa.array(owner[probed])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(tokens[order][probed]),
+                    batch.column("number").take(rows),
+                    batch.column("component").take(rows),
+                    pa.array(sizes[owner][probed].astype(np.int64)),
+                    pa.array(at[probed]),
+                    pa.array(indexed[probed]),
+                ],
+                names=["token", "number", "component", "n", "at", "indexed"],
+            )
 
-def _with_centres(rows: DataFrame) -> DataFrame:
-    """Each row with its bucket's row of the smallest id, joined piece by piece."""
-    centres = rows.groupBy("band").agg(
-        F.min(F.struct("id", "component")).alias("centre"), F.max("pieces").alias("pieces")
-    )
-    pieces = F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)
-    copies = centres.select("band", "centre", F.explode(pieces).alias("piece"))
-    dealt = rows.withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")))
-    return dealt.join(copies, ["band", "piece"])
+    return run
 
 
-def _centre_pairs(rows: DataFrame) -> DataFrame:
-    """Each member of a bucket with the bucket's centre, unless known to be connected."""
-    return (
-        _with_centres(rows)
-        .filter("component != centre.component")
-        .select(F.least("id", "centre.id").alias("a"), F.greatest("id", "centre.id").alias("b"))
-        .distinct()
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """Twice the logarithm of how often the shingles of a slot occur; any order would be right."""
+    total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    slots = 1 << 10
+    while slots < min(2 * total, MOST_COUNTERS):
+        slots *= 2
+    counted = (
+        sets.select(F.explode("shingles").alias("token"))
+        .groupBy(_slot(F.col("token"), slots).alias("slot"))
+        .agg(F.round(2 * F.log2(F.count("*"))).cast("int").alias("rank"))
+        .toArrow()
     )
+    rarity = np.zeros(slots, dtype=np.int16)
+    rarity[counted.column("slot").to_numpy()] = counted.column("rank").to_numpy()
+    return rarity
 
 
-def _in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between the components of each cluster, from comparing its sets in blocks.
+def prefix_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of different components that may be similar, all that are.
 
-    A cluster's largest component is its body, the others its rest. Blocks of the rest
-    meet all blocks of the body and of the rest; those of the body never meet each other.
+    ``sets`` has number, component and shingles (distinct), and is read three times.
     """
-    stars = _with_centres(rows).select(F.col("id").alias("a"), F.col("centre.id").alias("b"))
-    clusters = staged(connected_components(stars), "clusters")
-    members = staged(
-        rows.select("id", "n_shingles", "component")
-        .distinct()
-        .join(clusters.withColumnsRenamed({"node": "id", "component": "cluster"}), "id"),
-        "members",
+    postings = staged(
+        sets.mapInArrow(
+            _postings(_rarity(sets)),
+            "token bigint, number bigint, component bigint, n bigint, at bigint, indexed boolean",
+        ),
+        "postings",
+        narrow=True,
     )
-    parts = members.groupBy("cluster", "component").agg(
-        F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")
+    largest = (
+        postings.groupBy("token", "component")
+        .count()
+        .groupBy("token")
+        .agg(F.max(F.struct("count", "component")).alias("largest"), F.count("*").alias("several"))
+        .filter("several > 1")
+        .select("token", F.col("largest.component").alias("largest"))
     )
-    body = F.max(F.struct("n", "component", "shingles"))
-    sizes = (
-        parts.groupBy("cluster")
-        .agg(body.alias("body"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"))
+    rows = postings.join(own_shuffle(largest), "token")
+    rest = rows.filter("component <> largest").drop("largest")
+    other = rows.select("token", *(F.col(c).alias(f"{c}2") for c in postings.columns[1:]))
+    first = F.struct("n", "number") < F.struct("n2", "number2")
+    found = F.when(first, F.col("indexed")).otherwise(F.col("indexed2"))
+    small, large = F.least("n", "n2"), F.greatest("n", "n2")
+    behind = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2"))
+    return (
+        rest.join(other, "token")
+        .filter(F.col("component") != F.col("component2"))
+        .filter(found & (100 * small >= SIMILAR * large))
+        # What the sets can have in common from their first common shingle on.
+        .filter((100 + SIMILAR) * behind >= SIMILAR * (F.col("n") + F.col("n2")))
         .select(
-            "cluster",
-            F.col("body.component").alias("body"),
-            _blocks(F.col("body.n"), F.col("body.shingles")).alias("body_blocks"),
-            _blocks(F.col("n") - F.col("body.n"), F.col("shingles") - F.col("body.shingles")).alias(
-                "rest_blocks"
-            ),
+            F.least("number", "number2").alias("a"), F.greatest("number", "number2").alias("b")
         )
+        .distinct()
     )
-    placed = members.join(sizes, "cluster").withColumn(
-        "is_body", F.col("component") == F.col("body")
+
+
+def _still_apart(buckets: DataFrame, components: DataFrame) -> DataFrame:
+    """Numbers of the classes in buckets of several components, with their components."""
+    rows = _in_components(buckets.select("number", "band"), components)
+    several = (
+        rows.groupBy("band")
+        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        .filter("least < most")
+        .select("band")
     )
-    of_body, of_rest = (
-        F.sequence(F.lit(0).cast("long"), F.col(f"{name}_blocks") - 1) for name in ("body", "rest")
+    return rows.join(own_shuffle(several), "band", "left_semi").select("number").distinct()
+
+
+def _found_components(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Node and component of every linked class."""
+    members = classes.select("number", "key1", F.explode("bands").alias("band"))
+    several = (
+        members.groupBy("band")
+        .agg(F.min("number").alias("centre"), F.max("number").alias("most"))
+        .filter("centre < most")
+        .select("band", "centre")
     )
-    blocks = F.when(F.col("is_body"), F.col("body_blocks")).otherwise(F.col("rest_blocks"))
-    block = F.pmod(F.xxhash64("id"), blocks)
-    small = (F.col("body_blocks") == 1) & (F.col("rest_blocks") == 1)
-
-    def task(kind: str, one: Column, other: Column, of: str | Column = "cluster") -> Column:
-        named = zip((of, F.lit(kind), one, other), ("task", "kind", "one", "other"), strict=True)
-        return F.struct(*((F.col(c) if isinstance(c, str) else c).alias(n) for c, n in named))
-
-    # Small clusters share tasks; there each set is sent once.
-    zero = F.lit(0).cast("long")
-    few = F.lit(4 * shuffle_partitions(rows.sparkSession))
-    shared = task("small", zero, zero, F.pmod(F.xxhash64("cluster"), few))
-    tasks = (
-        F.when(small, F.array(shared))
-        .when(F.col("is_body"), F.transform(of_rest, lambda i: task("body", i, F.col("block"))))
-        .otherwise(
-            F.concat(
-                F.transform(of_body, lambda j: task("body", F.col("block"), j)),
-                F.transform(
-                    of_rest,
-                    lambda j: task("rest", F.least("block", j), F.greatest("block", j)),
-                ),
-            )
+    buckets = staged(members.join(own_shuffle(several), "band"), "buckets")
+    sets = staged(
+        texts.mapInArrow(
+            _sets_of(_bitmap(buckets)),
+            "n_shingles bigint, key1 bigint, key2 bigint, shingles array<bigint>",
         )
+        .dropDuplicates(_KEYS)
+        .join(classes.select(*_KEYS, "number"), _KEYS)
+        .select("number", "shingles"),
+        "sets",
     )
-    return (
-        placed.withColumn("block", block)
-        .select("id", "component", "cluster", F.explode(tasks).alias("at"))
-        .select("id", "component", "cluster", "at.*")
-        .join(sets, "id")
-        .groupBy("task", "kind", "one", "other")
-        .applyInArrow(_links_of_block, "a {0}, b {0}".format(dict(rows.dtypes)["id"]))
+    centres = (
+        buckets.filter("number <> centre")
+        .select(F.col("centre").alias("a"), F.col("number").alias("b"))
+        .distinct()
     )
-
-
-def _blocks(n: Column, shingles: Column) -> Column:
-    return F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES)).cast("long")
-
-
-def _links_of_block(table: pa.Table) -> pa.Table:
-    """Links that join components, of each cluster in the table at most one per set."""
-    ids = np.array(table.column("id").to_pylist(), dtype=object)
-    components = np.unique(
-        np.array(table.column("component").to_pylist(), dtype=object), return_inverse=True
-    )[1]
-    clusters = np.array(table.column("cluster").to_pylist(), dtype=object)
-    lists = table.column("shingles").combine_chunks()
-    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    shingle = lists.flatten().to_numpy()
-    one, other = [], []
-    order = np.argsort(clusters, kind="stable")
-    cuts = np.flatnonzero(clusters[order][1:] != clusters[order][:-1]) + 1
-    for rows in np.split(order, cuts):
-        if len(np.unique(components[rows])) > 1:
-            # A set can be there twice, as a block meets itself.
-            rows = rows[np.unique(ids[rows], return_index=True)[1]]
-            held = [shingle[offsets[k] : offsets[k + 1]] for k in rows]
-            found = joining_links(held, components[rows])
-            one += [ids[rows[x]] for x, _ in found]
-            other += [ids[rows[y]] for _, y in found]
-    kind = table.schema.field("id").type
-    return pa.table({"a": pa.array(one, kind), "b": pa.array(other, kind)})
-
-
-def joining_links(sets: list[np.ndarray], components: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of similar sets that connect what is not connected yet."""
-    sizes = np.array([len(one) for one in sets])
-    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    values, column = np.unique(np.concatenate(sets), return_inverse=True)
-    frequent = np.bincount(column) > 1
-    row, column = row[frequent[column]], (np.cumsum(frequent) - 1)[column[frequent[column]]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    for low in range(0, int(frequent.sum()), _MATRIX_COLUMNS):
-        part = slice(*np.searchsorted(column, (low, low + _MATRIX_COLUMNS)))
-        width = int(min(_MATRIX_COLUMNS, frequent.sum() - low))
-        held = np.zeros((len(sets), width), dtype=np.float32)
-        held[row[part], column[part] - low] = 1
-        both += held @ held.T
-    counts = both.astype(np.int64)
-    similar = 100 * counts >= SIMILAR * (sizes[:, None] + sizes[None, :] - counts)
-    group = components.copy()
-    links = []
-    for x, y in zip(*np.nonzero(np.triu(similar, 1)), strict=True):
-        if group[x] != group[y]:
-            links.append((int(x), int(y)))
-            group[group == group[y]] = group[x]
-    return links
+    components = connected_components(_confirmed(centres, sets))
+    few = classes.filter(F.size("small") > 0).select("number", F.col("small").alias("shingles"))
+    apart = _still_apart(buckets, components)
+    open_sets = (
+        sets.filter(F.size("shingles") > SMALL)
+        .join(apart, "number", "left_semi")
+        .unionByName(few)
+    )
+    open_sets = staged(_in_components(open_sets, components), "open-sets")
+    links = _confirmed(prefix_pairs(open_sets), open_sets)
+    named = _in_components(links.withColumnRenamed("a", "number"), components)
+    named = named.select(F.col("component").alias("a"), F.col("b").alias("number"))
+    named = _in_components(named, components).select("a", F.col("component").alias("b"))
+    further = connected_components(named)
+    release(buckets, sets)
+    joined = further.select(F.col("node").alias("component"), F.col("component").alias("further"))
+    linked = components.join(joined, "component", "left").select(
+        "node", F.coalesce("further", "component").alias("component")
+    )
+    # A component of the second round can be a class that had no link in the first one.
+    fresh = further.join(components.select("node"), "node", "left_anti")
+    return linked.unionByName(fresh)
 
 
 def near_duplicates(
     documents: DataFrame, row_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """For every row: id, n_shingles, component_id (the smallest id reachable) and kept."""
-    return _keyed_near_duplicates(documents, row_id, text).drop("key1", "key2")
+    rows = documents.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
+    found = _classified(rows)
+    component = F.coalesce("least", "id")
+    return found.select("id", "n_shingles", component.alias("component_id")).withColumn(
+        "kept", F.col("id").eqNullSafe(F.col("component_id"))
+    )
 
 
-def _keyed_near_duplicates(documents: DataFrame, row_id: str, text: str) -> DataFrame:
-    """`near_duplicates` with the keys of each row's set."""
-    rows = documents.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+def _classified(rows: DataFrame) -> DataFrame:
+    """The rows (id, text and others) without the text, but with n_shingles, the component of
+    the row's set (null for the empty one) and the component's least id.
+    """
+    others = [f"`{name}` {kind}" for name, kind in rows.dtypes if name != "text"]
     signed = staged(
         rows.mapInArrow(
-            _sign, f"id {kind}, n_shingles bigint, key1 bigint, key2 bigint, bands array<bigint>"
+            _sign,
+            f"{', '.join(others)}, n_shingles bigint, key1 bigint, key2 bigint, "
+            "bands array<bigint>, small array<bigint>",
         ),
         "signatures",
     )
-    keys = ["n_shingles", "key1", "key2"]
     # A class goes by a number, as ids can be null or be repeated with other texts. Its
     # bands depend on its set alone.
     classes = staged(
         signed.filter("n_shingles > 0")
-        .groupBy(*keys)
-        .agg(F.min("id").alias("class"), F.first("bands").alias("bands"))
+        .groupBy(*_KEYS)
+        .agg(
+            F.min("id").alias("class"),
+            F.first("bands").alias("bands"),
+            F.first("small").alias("small"),
+        )
         .withColumn("number", F.monotonically_increasing_id()),
         "classes",
     )
-    members = classes.select(
-        F.col("number").alias("id"), "n_shingles", F.explode("bands").alias("band")
-    )
-    buckets = staged(_open_buckets(members, None), "buckets")
-    numbered = classes.select(*keys, F.col("number").alias("id"), "class")
-    candidates = numbered.join(buckets.select("id").distinct(), "id", "left_semi")
-    holders = candidates.select(F.col("class").alias("holder")).distinct()
-    sets = staged(
-        rows.join(holders, F.col("id").eqNullSafe(F.col("holder")), "left_semi")
-        .mapInArrow(
-            _sets, "n_shingles bigint, key1 bigint, key2 bigint, shingles array<bigint>"
-        )
-        .dropDuplicates(keys)
-        .join(candidates, keys)
-        .select("id", "shingles"),
-        "sets",
-    )
-    components = None
-    if not buckets.isEmpty():
-        links = staged(_confirmed(_centre_pairs(buckets), sets), "links")
-        components = staged(connected_components(links), "components")
-        still_open = staged(_open_buckets(buckets, components), "buckets")
-        if not still_open.isEmpty():
-            links = links.union(staged(_in_blocks(still_open, sets), "links"))
-            components = staged(connected_components(links), "components")
-        release(buckets, still_open)
-    release(sets)
-    named = numbered.withColumn("least", F.lit(None).cast(kind))
-    if components is not None:
-        linked = numbered.join(components.withColumnRenamed("node", "id"), "id")
-        least = linked.groupBy("component").agg(F.min("class").alias("least"))
-        linked = linked.join(own_shuffle(least), "component").select("id", "least")
-        named = numbered.join(linked, "id", "left")
-    joined = signed.drop("bands").join(named.drop("id"), keys, "left")
-    component = F.coalesce("least", "class", "id")
-    return joined.select(
-        "id", "n_shingles", "key1", "key2", component.alias("component_id")
-    ).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    components = _found_components(classes, rows.select("text"))
+    numbered = _in_components(classes.select(*_KEYS, "number", "class"), components)
+    least = numbered.groupBy("component").agg(F.min("class").alias("least"))
+    named = numbered.join(own_shuffle(least), "component").select(*_KEYS, "component", "least")
+    return signed.drop("bands", "small").join(named, _KEYS, "left")
 
 
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
-    """The rows of each group's smallest id, with all their columns."""
-    found = _keyed_near_duplicates(documents, "doc_id", "text")
-    gone = found.filter(~F.col("kept")).select("id", "n_shingles", "key1", "key2")
-    return without_rows(documents, gone, _keys_of_block)
+    """One row of each component, with the smallest id there, with all its columns."""
+    named, names = rows_with_names(documents)
+    at = documents.columns.index
+    rows = named.select(
+        F.col(f"c{at('doc_id')}").alias("id"), F.col(f"c{at('text')}").alias("text"), *names
+    )
+    found = staged(_classified(rows).select("component", "id", *names), "near-rows")
+    linked = found.filter(F.col("component").isNotNull())
+    stays = (
+        linked.groupBy("component")
+        .agg(F.min(F.struct(F.col("id").isNull(), "id", *names)).alias("row"))
+        .select(*(F.col(f"row.{name}") for name in names))
+    )
+    gone = linked.join(own_shuffle(stays), names, "left_anti").select(*names)
+    kept = named.join(gone, names, "left_anti")
+    return kept.select(*(F.col(f"c{k}").alias(name) for k, name in enumerate(documents.columns)))

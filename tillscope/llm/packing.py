@@ -5,14 +5,14 @@ A document is its token ids and one end id. What exceeds whole sequences of
 dealt by a hash over groups of bounded size, and each group is packed by itself: the
 longest rest first, each to the open sequence of the lowest estimated cost that still has
 room for it. A piece costs what attention costs, a linear and a quadratic
-term in its length. A rest that none of the cheapest sequences can take whole is cut, so
+term in its length. A rest that no sequence can take whole is cut, beginning with the cheapest, so
 every one of them gets full, and a group's last tokens go into sequences whose
 lengths are powers of two. So nothing is padded.
 
 The tokenizer lower-cases, drops white space, and splits what is between further into runs of
 letters, single digits, and runs of other characters. Texts are cut at those of the bounds that
-are plain from their bytes (see `parted`), and each distinct part is encoded once per
-worker. The test compares with encoding whole texts.
+are plain from their bytes (see `part_bounds`), and each distinct part of a block is looked up
+once, and encoded once per worker. The test compares with encoding whole texts.
 
 Defined cases: a null text is empty and has the end id alone; rows that are equal or
 repeat an id are packed one by one, each whole; an empty table has no pieces.
@@ -33,19 +33,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.textblocks import LOWER, blocks
+from tillscope.llm.staging import shuffle_partitions
+from tillscope.llm.textblocks import LOWER, SPACE, blocks, spread_starts
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 SEQUENCE = 4096
 GROUP_BYTES = 4 << 20
-CANDIDATES = 8
+GROUPS_PER_TASK = 16
+HOT_BYTES = 16 * GROUP_BYTES
+ROW_BYTES = 64
 # Of a piece of n tokens: n + n * n / QUADRATIC. For a model of width 2,048 the scores
 # cost as much as all else at about six times the width.
 QUADRATIC = 12_288
 _KNOWN_PARTS = 600_000
 _LONGEST_KNOWN = 48
 _LINE = 200
+_BLOCK_BYTES = 2 << 20
 
 _encoders: dict[str, tuple] = {}
 
@@ -61,11 +65,11 @@ _LATIN[0x80:0xC0] = True
 _LATIN[[0x97, 0xB7]] = False
 
 
-def parted(data: np.ndarray) -> bytes:
-    """Lower-cased text with a space at the bounds of letters, digits and signs.
+def part_bounds(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where parts begin, and which bytes belong to any: texts cut at white space and more bounds.
 
-    Only between ASCII characters, or after an accented Latin letter. Not after an
-    apostrophe, which may belong to the letters that follow.
+    Those of letters, digits and signs, but only between ASCII characters, or after an accented
+    Latin letter. Not after an apostrophe, which may belong to the letters that follow.
     """
     kind = _CLASS[data]
     after = kind[1:]
@@ -75,13 +79,12 @@ def parted(data: np.ndarray) -> bytes:
     before[accented + 1] = _LETTER
     bound = (before != after) | (after == _DIGIT)
     bound &= (before != _OTHER) & (after != _OTHER) & (data[:-1] != ord("'"))
-    spaces = np.flatnonzero(bound)
-    spaces += np.arange(1, len(spaces) + 1)
-    text = np.ones(len(data) + len(spaces), dtype=bool)
-    text[spaces] = False
-    out = np.full(len(text), ord(" "), dtype=np.uint8)
-    out[text] = LOWER[data]
-    return out.tobytes()
+    inside = ~SPACE[data]
+    begins = np.zeros(len(data) + 1, dtype=bool)
+    begins[starts] = True
+    begins = begins[: len(data)]
+    begins[1:] |= bound | ~inside[:-1]
+    return begins & inside, inside
 
 
 class WordEncoder:
@@ -100,7 +103,8 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
         names = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(names.values()) + 1, dtype=bool)
+        self.largest_id = max(names.values())
+        self.ends_word = np.zeros(self.largest_id + 1, dtype=bool)
         self.ends_word[[k for name, k in names.items() if name.endswith("</w>")]] = True
 
     def _encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
@@ -127,33 +131,50 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
-    def _parts(self, data: np.ndarray) -> list[bytes]:
-        raw = data.tobytes()
-        lowered = raw.lower()
-        if any(token in lowered for token in self.special):
-            return raw.split()
-        return parted(data).split()
-
-    def texts(self, data: np.ndarray, starts: np.ndarray) -> list[bytes]:
-        bounds = starts.tolist()
-        split = [self._parts(data[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
-        found = [list(map(self.known.get, parts)) for parts in split]
-        new = set()
-        for parts, ids in zip(split, found, strict=True):
-            new.update(compress(parts, map(is_, ids, repeat(None))))
-        made = self._encode(list(new))
-        encoded = [
-            b"".join(
-                [made[part] if one is None else one for part, one in zip(parts, ids, strict=True)]
-                if None in ids
-                else ids
-            )
-            for parts, ids in zip(split, found, strict=True)
-        ]
+    def _distinct_parts(
+        self, data: np.ndarray, starts: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Of each part its number among the distinct ones; parts per text; the distinct ones."""
+        lowered = LOWER[data]
+        begins, inside = part_bounds(data, starts)
+        flat = lowered.tobytes()
+        if any(token in flat for token in self.special):
+            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                if any(token in flat[a:b] for token in self.special):
+                    lowered[a:b] = data[a:b]
+                    begins[a + 1 : b] = inside[a + 1 : b] & ~inside[a : b - 1]
+        counts = np.diff(spread_starts(begins)[starts])
+        kept = spread_starts(inside)
+        offsets = np.append(kept[:-1][begins], kept[-1]).astype(np.int64)
+        parts = pa.Array.from_buffers(
+            pa.large_binary(),
+            len(offsets) - 1,
+            [None, pa.py_buffer(offsets), pa.py_buffer(lowered[inside])],
+        ).dictionary_encode()
+        return parts.indices.to_numpy(), counts, parts.dictionary.to_pylist()
+
+    def texts(
+        self, data: np.ndarray, starts: np.ndarray, end: bytes = b""
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with ``end`` behind it, and where each text's begin."""
+        number, counts, distinct = self._distinct_parts(data, starts)
+        ids = list(map(self.known.get, distinct))
+        made = self._encode(list(compress(distinct, map(is_, ids, repeat(None)))))
+        ids = [made[part] if one is None else one for part, one in zip(distinct, ids, strict=True)]
         if len(self.known) + len(made) > _KNOWN_PARTS:
             self.known = {}
         self.known.update((k, v) for k, v in made.items() if len(k) <= _LONGEST_KNOWN)
-        return encoded
+        if end:
+            number = np.insert(number, np.cumsum(counts), len(ids))
+            ids.append(end)
+            counts = counts + 1
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        # Each part's ids are copied from those of the distinct part.
+        sizes = lengths[number]
+        after = np.cumsum(sizes)
+        moved = np.repeat(spread_starts(lengths)[number] - (after - sizes), sizes)
+        every = np.frombuffer(b"".join(ids), dtype="<u4")[moved + np.arange(len(moved))]
+        return every, np.append(0, after)[spread_starts(counts)]
 
 
 def encoder(vocabulary: str) -> WordEncoder:
@@ -163,28 +184,23 @@ def encoder(vocabulary: str) -> WordEncoder:
     return _encoders[vocabulary]
 
 
-def _tokenize(vocabulary: str):
+def _tokenize(vocabulary: str, width: str):
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).texts
-        for block in blocks(batches, "text"):
-            lengths, sums, rests = [], [], []
-            for ids in encode(block.data, block.starts):
-                ids += end
-                whole = len(ids) // (4 * SEQUENCE) * 4 * SEQUENCE
-                lengths.append(len(ids) // 4)
-                sums.append(
-                    [zlib.crc32(ids[a : a + 4 * SEQUENCE]) for a in range(0, whole, 4 * SEQUENCE)]
-                )
-                rest = np.frombuffer(ids, dtype="<u4", offset=whole)
-                # The vocabulary has fewer than 65,536 ids; half the bytes to shuffle.
-                rests.append(rest.astype("<u2").tobytes())
+        for block in blocks(batches, "text", _BLOCK_BYTES):
+            ids, bounds = encode(block.data, block.starts, end)
+            sums, rests = [], []
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                whole = a + (b - a) // SEQUENCE * SEQUENCE
+                sums.append([zlib.crc32(ids[k : k + SEQUENCE]) for k in range(a, whole, SEQUENCE)])
+                rests.append(ids[whole:b].astype(width).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     block.rows.column("id"),
                     block.rows.column("bin"),
-                    pa.array(lengths, pa.int64()),
+                    pa.array(np.diff(bounds)),
                     pa.array(sums, pa.list_(pa.int64())),
                     pa.array(rests, pa.binary()),
                 ],
@@ -194,6 +210,45 @@ def _tokenize(vocabulary: str):
     return run
 
 
+class _Open:
+    """Open sequences by their room: the cheapest of those that have enough of it.
+
+    A tree over all rooms has the cheapest sequence of every range of rooms.
+    """
+
+    _NONE = (float("inf"), 0, 0)
+
+    def __init__(self) -> None:
+        self.leaves = 1 << SEQUENCE.bit_length()
+        self.tree = [self._NONE] * (2 * self.leaves)
+        self.heaps: dict[int, list[tuple[float, int, int]]] = {}
+
+    def _changed(self, room: int) -> None:
+        tree, at = self.tree, room + self.leaves
+        tree[at] = self.heaps[room][0] if self.heaps[room] else self._NONE
+        while at > 1:
+            at >>= 1
+            tree[at] = min(tree[2 * at], tree[2 * at + 1])
+
+    def put(self, cost: float, sequence: int, room: int) -> None:
+        heapq.heappush(self.heaps.setdefault(room, []), (cost, sequence, room))
+        self._changed(room)
+
+    def take(self, room: int) -> tuple[float, int, int] | None:
+        """Cost, number and room of the cheapest sequence with at least so much room."""
+        best, low, high = self._NONE, room + self.leaves, 2 * self.leaves
+        while low < high:
+            if low & 1:
+                best = min(best, self.tree[low])
+                low += 1
+            low, high = low >> 1, high >> 1
+        if best is self._NONE:
+            return None
+        heapq.heappop(self.heaps[best[2]])
+        self._changed(best[2])
+        return best
+
+
 def place(lengths: list[int]) -> list[tuple[int, int, int, int]]:
     """Pack items of the given lengths, each below `SEQUENCE`, which must be descending.
 
@@ -202,44 +257,39 @@ def place(lengths: list[int]) -> list[tuple[int, int, int, int]]:
     """
     total = sum(lengths)
     full = total // SEQUENCE
-    room = [SEQUENCE] * full
     left = total - full * SEQUENCE
     tails = [1 << bit for bit in range(SEQUENCE.bit_length(), -1, -1) if left >> bit & 1]
     pieces = []
-    cheapest = [(0.0, sequence) for sequence in range(full)]
+    open_ones = _Open()
+    for sequence in range(full):
+        open_ones.put(0.0, sequence, SEQUENCE)
     tail = full
-
     for item, length in enumerate(lengths):
         start = 0
         while length:
-            if not cheapest:
-                if len(room) == tail:
-                    room.append(tails[tail - full])
-                taken = min(length, room[tail])
+            found = open_ones.take(length) or open_ones.take(1)
+            if found is None:
+                taken = min(length, tails[0])
                 pieces.append((item, start, taken, tail))
-                room[tail] -= taken
-                tail += not room[tail]
+                tails[0] -= taken
+                if not tails[0]:
+                    del tails[0]
+                    tail += 1
             else:
-                looked = [heapq.heappop(cheapest) for _ in range(min(CANDIDATES, len(cheapest)))]
-                chosen = next((x for x in looked if room[x[1]] >= length), looked[0])
-                for other in looked:
-                    if other is not chosen:
-                        heapq.heappush(cheapest, other)
-                cost, sequence = chosen
-                taken = min(length, room[sequence])
+                cost, sequence, room = found
+                taken = min(length, room)
                 pieces.append((item, start, taken, sequence))
-                room[sequence] -= taken
-                if room[sequence]:
-                    heapq.heappush(
-                        cheapest, (cost + taken + taken * taken / QUADRATIC, sequence)
-                    )
+                if room > taken:
+                    cost += taken + taken * taken / QUADRATIC
+                    open_ones.put(cost, sequence, room - taken)
             start += taken
             length -= taken
     return pieces
 
 
-def _pack(rows: pa.Table) -> pa.Table:
+def _pack(rows: pa.Table, width: str) -> pa.Table:
     """All pieces of one group's documents."""
+    size = np.dtype(width).itemsize
     rests = rows.column("rest").to_pylist()
     tokens = rows.column("doc_tokens").to_pylist()
     sums = rows.column("whole_sums").to_pylist()
@@ -258,10 +308,10 @@ def _pack(rows: pa.Table) -> pa.Table:
             sequence += 1
     offsets: dict[int, int] = {}
     packed = [k for k in order if rests[k]]
-    for item, start, length, number in place([len(rests[k]) // 2 for k in packed]):
+    for item, start, length, number in place([len(rests[k]) // size for k in packed]):
         k = packed[item]
-        piece = rests[k][2 * start : 2 * (start + length)]
-        checksum = zlib.crc32(np.frombuffer(piece, dtype="<u2").astype("<u4").tobytes())
+        piece = rests[k][size * start : size * (start + length)]
+        checksum = zlib.crc32(np.frombuffer(piece, dtype=width).astype("<u4"))
         offset = offsets.get(number, 0)
         offsets[number] = offset + length
         before = len(sums[k]) * SEQUENCE
@@ -284,15 +334,35 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id and offset."""
     rows = documents.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
+    rows = rows.withColumn("key", F.xxhash64("id", "text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bins = 1 + total // GROUP_BYTES
+    # Equal rows have one key. Where theirs would be more than a group, they are dealt one by one;
+    # of such keys there are fewer than HOT_BYTES goes into the total.
+    hot = (
+        rows.groupBy("key")
+        .agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).alias("bytes"))
+        .filter(F.col("bytes") > HOT_BYTES)
+        .select("key", F.lit(True).alias("hot"))
+    )
+    salt = F.when(F.col("hot"), F.monotonically_increasing_id()).otherwise(F.lit(0).cast("long"))
+    dealt = rows.join(F.broadcast(hot), "key", "left").select(
+        "id", "text", F.pmod(F.xxhash64("key", salt), F.lit(bins)).alias("bin")
+    )
     kind = rows.schema["id"].dataType.simpleString()
-    tokens = rows.withColumn("bin", F.pmod(F.xxhash64("id", "text"), F.lit(bins))).mapInArrow(
-        _tokenize(vocabulary),
+    # Half the bytes to shuffle where the vocabulary allows it.
+    width = "<u2" if encoder(vocabulary).largest_id < 1 << 16 else "<u4"
+    tokens = dealt.mapInArrow(
+        _tokenize(vocabulary, width),
         f"id {kind}, bin bigint, doc_tokens bigint, whole_sums array<bigint>, rest binary",
     )
-    return tokens.groupBy("bin").applyInArrow(
-        _pack,
-        f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-        "sequence_id bigint, offset bigint",
+    tasks = max(shuffle_partitions(rows.sparkSession), bins // GROUPS_PER_TASK)
+    return (
+        tokens.repartition(tasks, "bin")
+        .groupBy("bin")
+        .applyInArrow(
+            lambda group: _pack(group, width),
+            f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+            "sequence_id bigint, offset bigint",
+        )
     )

@@ -16,10 +16,11 @@ from tillscope.llm.mixing import mix_sources
 from tillscope.llm.packing import pack_documents
 from tillscope.llm.quality import held_out, score_documents, train
 from tillscope.llm.simhash import near_fingerprints
+from tillscope.llm.staging import staged
 from tillscope.llm.suffix import remove_repeats
 from tillscope.llm.targeting import resample
 from tillscope.llm.tokencount import count_tokens
-from tillscope.llm.warc import page_of, page_records, read_warc, write_warc
+from tillscope.llm.warc import page_of, page_records, pushed_filters, read_warc, write_warc
 from tillscope.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,9 +41,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_warc(page_records(pages), path)
     kind = pages.schema["page_id"].dataType.simpleString()
     # Payloads are decoded and measured where they are stored; revisits have headers only.
-    stored = read_warc(spark, path, where=(("record_type", "=", "response"),))
-    revisits = read_warc(spark, path, payload=False, where=(("record_type", "=", "revisit"),))
-    return (
+    stored = read_warc(spark, path, pushdown=True).filter("record_type = 'response'")
+    revisits = read_warc(spark, path, payload=False, pushdown=True).filter(
+        "record_type = 'revisit'"
+    )
+    records = (
         stored.withColumn("payload_length", F.octet_length("payload").cast("long"))
         .withColumn("payload_digest", F.sha1("payload"))
         .drop("payload")
@@ -55,6 +58,8 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
             page_of("refers_to", kind).alias("refers_to"),
         )
     )
+    with pushed_filters(spark):
+        return staged(records, "warc-records")
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,15 +3,11 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Iterator
 from weakref import WeakKeyDictionary
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from tillscope.llm.textblocks import Block, blocks
 from tillscope.scratch import remove_folders, scratch_folder
 
 TASKS_PER_CORE = 2
@@ -59,34 +55,22 @@ def own_shuffle(aggregate: DataFrame) -> DataFrame:
     return aggregate.hint("rebalance")
 
 
-def without_rows(
-    documents: DataFrame, gone: DataFrame, keys_of: Callable[[Block], list[pa.Array]]
-) -> DataFrame:
-    """The documents but for the rows that ``gone`` (id and keys) has, with all their columns.
+def rows_with_names(documents: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The documents with columns c0, c1, ... and two more, which tell each row from all others.
 
-    Ids can be null, or be repeated with other texts. So a row is known by its id
-    together with the keys that ``keys_of`` finds for its text.
+    Ids can be null or be repeated, and so can whole rows. Of a table as it was read from files a
+    row's name is its file and its place there. Any other is written first: after a join, say,
+    a row of a file can be there twice.
     """
-    names = documents.columns
-    numbered = documents.toDF(*(f"c{k}" for k in range(len(names))))
-    number, text = (f"c{names.index(name)}" for name in ("doc_id", "text"))
-    keys = [field for field in gone.schema.fields if field.name != "id"]
-    schema = StructType([*numbered.schema.fields, *keys])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
-            columns = [*block.rows.columns, *keys_of(block)]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
-
-    keyed = numbered.mapInArrow(run, schema)
-    named = [F.col(key.name).alias(f"of_{key.name}") for key in keys]
-    gone = own_shuffle(gone.distinct()).select("id", *named)
-    same = F.col(number).eqNullSafe(F.col("id"))
-    for key in keys:
-        same &= F.col(key.name) == F.col(f"of_{key.name}")
-    return keyed.join(gone, same, "left_anti").select(
-        *(F.col(f"c{k}").alias(name) for k, name in enumerate(names))
-    )
+    names = ["of_file", "at_row"]
+    columns = [f"c{k}" for k in range(len(documents.columns))]
+    if documents._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        documents = staged(documents.toDF(*columns), "rows")
+    return documents.select(
+        *(F.col(f"`{name}`").alias(c) for name, c in zip(documents.columns, columns, strict=True)),
+        F.col("_metadata.file_path").alias(names[0]),
+        F.col("_metadata.row_index").alias(names[1]),
+    ), names
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

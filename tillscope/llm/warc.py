@@ -5,16 +5,20 @@ lengths) says how many bytes the member and its content have. Every task writes
 only a job that commits moves its archives into the folder, so tasks that are run
 again leave nothing behind.
 
-Read: archives are planned into partitions by size. Of each record only the headers are
+Read: archives are planned into partitions by size, those in subfolders too; names that
+begin with a dot or an underscore are left out. A large compressed archive is divided into
+ranges, each of which begins at the first gzip member in it whose content begins with a record.
+Of each record only the headers are
 inflated at first. Predicates on the record type and on headers are pushed down and decided
 there; a record that fails them, or whose payload no column of the schema asks for, is
-skipped by its length without decoding its payload. Members without ``sl`` and
-archives without compression are read too.
+skipped by its length without decoding its payload. Archives of others are read too: members
+without ``sl``, of several records, or with parts of one, and archives without compression,
+which are not divided.
 
 Predicates get to the reader in two ways. `read_warc` takes them as ``where`` and they belong
-to the table it returns. With ``pushdown`` Spark passes on the filters of the query.
-Spark 4.1 keeps those with the loaded table and not with the query, so that other filters on
-the same table, in one plan or later, see them too: such a table is for one query only.
+to the table it returns. With ``pushdown`` Spark passes on the filters of the query, within
+`pushed_filters`. Spark 4.1 keeps those with the loaded table and not with the query, so that
+other filters on the same table, in one plan or later, see them too: load it once for each query.
 
 Columns: record_id, record_type, target_uri, refers_to, warc_date, payload_digest
 (SHA-1 in lower-case hexadecimal), payload_length and payload. A schema with some of them
@@ -31,7 +35,9 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import pairwise
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -74,6 +80,7 @@ MOST_ROWS, MOST_BYTES = 1_000, 8 << 20
 _HEAD_BYTES = 4 << 10
 _READ_BYTES = 1 << 20
 _LEVEL = 3
+_GZIP, _RECORD = b"\x1f\x8b\x08", b"WARC/"
 
 
 def _place(path: str) -> tuple[pafs.FileSystem, str]:
@@ -83,6 +90,12 @@ def _place(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), path.removeprefix("file:")
 
 
+def _below(path: str, folder: str) -> list[str]:
+    """The names of a file's folders below ``folder``, and its own."""
+    depth = len(folder.strip("/").split("/"))
+    return path.strip("/").split("/")[depth:]
+
+
 # --- records ---
 
 
@@ -175,94 +188,181 @@ def _http_length(block: bytes) -> tuple[int | None, int]:
 # --- reading ---
 
 
-class _Member:
-    """One gzip member, inflated only as far as it is asked for."""
+class _Gzip:
+    """The content of gzip members one after another, inflated only as far as it is asked for.
 
-    def __init__(self, file: pa.NativeFile, offset: int) -> None:
-        self.file, self.offset = file, offset
-        file.seek(offset)
-        raw = file.read(_HEAD_BYTES)
-        self.length = None
-        if raw[3] & 4:
-            (extra,) = struct.unpack_from("<H", raw, 10)
-            if raw[12:14] == b"sl" and extra >= 12:
-                (self.length,) = struct.unpack_from("<I", raw, 16)
-        self.inflater = zlib.decompressobj(31)
-        self.position = offset + len(raw)
-        self.pending = raw
-        self.content = b""
+    A record mostly is a member, but can be one of many in a member, or go on in the next ones.
+    """
 
-    def upto(self, size: int | None) -> bytes:
-        """At least so many bytes of the content, or all that there are."""
-        parts, have = [self.content], len(self.content)
-        while not self.inflater.eof and (size is None or have < size):
+    def __init__(self, file: pa.NativeFile, offset: int = 0) -> None:
+        self.file, self.size = file, file.size()
+        self._open(offset)
+
+    def _open(self, offset: int) -> None:
+        if offset > self.size:
+            raise EOFError("an archive ends within a record")
+        self.offset = offset
+        self.file.seek(offset)
+        self.pending = raw = self.file.read(_HEAD_BYTES)
+        self.position = offset + len(raw)
+        self.inflater = zlib.decompressobj(31)
+        self.content, self.made, self.lengths = b"", 0, None
+        if len(raw) > 24 and raw[3] & 4 and raw[12:14] == b"sl":
+            self.lengths = struct.unpack_from("<II", raw, 16)
+
+    def _more(self, size: int, further: bool) -> bool:
+        """Inflate at most so many bytes, of the next member too if ``further``."""
+        while True:
+            if self.inflater.eof:
+                kept = self.content
+                if not further:
+                    return False
+                self._open(self.position - len(self.inflater.unused_data))
+                self.content = kept
+                if not self.pending:
+                    return False
             if not self.pending:
                 self.file.seek(self.position)
                 self.pending = self.file.read(_READ_BYTES)
                 self.position += len(self.pending)
+                if not self.pending and self.position == self.offset:
+                    return False
                 if not self.pending:
                     raise EOFError("an archive ends within a record")
-            part = self.inflater.decompress(self.pending, 0 if size is None else size - have)
+            part = self.inflater.decompress(self.pending, size)
             self.pending = self.inflater.unconsumed_tail
-            parts.append(part)
-            have += len(part)
-        self.content = b"".join(parts)
-        return self.content
+            if part:
+                self.content += part
+                self.made += len(part)
+                return True
 
-    def end(self) -> int:
-        if self.length:
-            return self.offset + self.length
-        self.upto(None)
-        return self.position - len(self.inflater.unused_data)
+    def peek(self, size: int, further: bool = True) -> bytes:
+        """So many bytes of the content, or all that there are of it or of this member."""
+        parts, have = [self.content], len(self.content)
+        while have < size:
+            self.content = b""
+            if not self._more(size - have, further):
+                break
+            parts.append(self.content)
+            have += len(self.content)
+        self.content = b"".join(parts)
+        return self.content[:size]
+
+    def starts_member(self) -> bool:
+        return self.made == len(self.content)
+
+    def skip(self, size: int, checked: bool = False) -> None:
+        """Go on behind so many bytes; a member that states its lengths isn't inflated for it.
+
+        Unless its checksum is to be ``checked``, which zlib does at the end of a member.
+        """
+        while True:
+            have = min(size, len(self.content))
+            self.content = self.content[have:]
+            size -= have
+            if not size:
+                return
+            left = self.lengths[1] - self.made if self.lengths and self.lengths[0] else -1
+            if 0 <= left <= size and not checked:
+                size -= left
+                self._open(self.offset + self.lengths[0])
+            elif not self._more(min(size, _READ_BYTES), True):
+                raise EOFError("an archive ends within a record")
 
 
 class _Plain:
-    """One record of an archive without compression."""
+    """The content of an archive without compression."""
 
-    def __init__(self, file: pa.NativeFile, offset: int) -> None:
-        self.file, self.offset = file, offset
-        self.content = b""
-        self.size: int | None = None
+    def __init__(self, file: pa.NativeFile) -> None:
+        self.file, self.offset, self.content = file, 0, b""
 
-    def upto(self, size: int | None) -> bytes:
-        size = self.size if size is None else size
-        if size is not None and len(self.content) < size:
+    def peek(self, size: int, further: bool = True) -> bytes:
+        if len(self.content) < size:
             self.file.seek(self.offset)
             self.content = self.file.read(size)
-        return self.content
-
-    def end(self) -> int:
-        return self.offset + self.size
+        return self.content[:size]
+
+    def starts_member(self) -> bool:
+        return True
+
+    def skip(self, size: int, checked: bool = False) -> None:
+        self.offset += size
+        self.content = self.content[size:]
+
+
+def _first_member(file: pa.NativeFile, start: int, end: int) -> _Gzip | None:
+    """The first member in [start, end) whose content begins with a record."""
+    at, raw = start, b""
+    while at < end:
+        file.seek(at)
+        raw = file.read(_READ_BYTES)
+        if len(raw) < len(_GZIP):
+            break
+        found = raw.find(_GZIP)
+        while found >= 0 and at + found < end:
+            try:
+                member = _Gzip(file, at + found)
+                if member.peek(len(_RECORD), further=False) == _RECORD:
+                    return member
+            except (zlib.error, EOFError):
+                pass  # these bytes are a part of some member
+            found = raw.find(_GZIP, found + 1)
+        at += len(raw) - len(_GZIP) + 1
+    return None
+
+
+def _head(record: _Gzip | _Plain, offset: int) -> tuple[dict[str, str], int]:
+    """The headers of the record that comes next, and where its block begins."""
+    size, further = _HEAD_BYTES, False
+    while b"\r\n\r\n" not in (head := record.peek(size, further)):
+        if len(head) == size:
+            size *= 2
+        elif further:
+            raise ValueError(f"no record at byte {offset}")
+        else:
+            further = True
+    return parse_headers(head)
 
 
 def read_archive(
-    file: pa.NativeFile, size: int, wanted: Callable[[dict], bool], columns: list[str]
+    file: pa.NativeFile,
+    wanted: Callable[[dict], bool],
+    columns: list[str],
+    start: int = 0,
+    end: int | None = None,
 ) -> Iterator[dict]:
-    """The records that are wanted; payloads of others are never decoded."""
-    offset = 0
+    """The records that are wanted; payloads of others are never decoded.
+
+    With a range, those from the first member in it that begins with a record up to the first
+    such member behind it. So ranges that cover an archive give each record once.
+    """
     file.seek(0)
-    kind = _Member if file.read(2) == b"\x1f\x8b" else _Plain
-    while offset < size:
-        record = kind(file, offset)
-        step = _HEAD_BYTES
-        while b"\r\n\r\n" not in (head := record.upto(step)):
-            if len(head) < step:
-                raise ValueError(f"no record at byte {offset}")
-            step *= 2
-        headers, block = parse_headers(head)
+    if file.read(len(_GZIP)) == _GZIP:
+        record = _first_member(file, start, end) if start else _Gzip(file)
+    else:
+        record = _Plain(file)
+    while record is not None and record.peek(1):
+        if end is not None and record.offset >= end and record.starts_member():
+            break
+        headers, block = _head(record, record.offset)
         length = int(headers["content-length"])
-        if kind is _Plain:
-            record.size = block + length + 4
         row = _columns(headers)
-        if wanted(row):
+        if is_wanted := wanted(row):
+            if "payload" in columns:
+                content = record.peek(block + length)[block:]
+            elif "payload_length" in columns:
+                step = 1024
+                while True:
+                    content = record.peek(block + min(step, length))[block:]
+                    if step >= length or b"\r\n\r\n" in content or content[:5] != b"HTTP/":
+                        break
+                    step *= 2
             if "payload_length" in columns or "payload" in columns:
-                needed = None if "payload" in columns else min(block + 1024, block + length)
-                content = record.upto(needed)[block : block + length]
                 stated, at = _http_length(content)
                 row["payload_length"] = length - at if stated is None else stated
                 row["payload"] = content[at:]
             yield row
-        offset = record.end()
+        record.skip(block + length + 4, is_wanted and "payload" in columns)
 
 
 _TESTS = {
@@ -326,7 +426,7 @@ def header_test(predicate: Filter) -> Callable[[dict], bool] | None:
 
 @dataclass
 class Archives(InputPartition):
-    paths: list[tuple[str, int]]
+    ranges: list[tuple[str, int, int]]
 
 
 class WarcReader(DataSourceReader):
@@ -342,20 +442,29 @@ class WarcReader(DataSourceReader):
             raise ValueError(f"where is on the columns {', '.join(_HEADER_COLUMNS)} only")
 
     def partitions(self) -> list[InputPartition]:
-        """Archives together up to the split size; an archive is never divided."""
+        """Small archives together, and ranges of large compressed ones, up to the split size."""
         system, folder = _place(self.path)
+        every = pafs.FileSelector(folder, allow_not_found=True, recursive=True)
         found = sorted(
             (info.path, info.size)
-            for info in system.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
-            if info.is_file and info.path.endswith((".warc", ".warc.gz")) and info.size
+            for info in system.get_file_info(every)
+            if info.is_file
+            and info.path.endswith((".warc", ".warc.gz"))
+            and info.size
+            and not any(name[0] in "_." for name in _below(info.path, folder))
         )
         planned: list[InputPartition] = []
         room = 0
         for path, size in found:
-            if not planned or size > room:
+            if size > self.split and path.endswith(".gz"):
+                cuts = [*range(0, size, self.split), size]
+                planned += [Archives([(path, *cut)]) for cut in pairwise(cuts)]
+                room = 0
+                continue
+            if size > room:
                 planned.append(Archives([]))
                 room = self.split
-            planned[-1].paths.append((path, size))
+            planned[-1].ranges.append((path, 0, size))
             room -= size
         return planned or [Archives([])]
 
@@ -373,9 +482,9 @@ class WarcReader(DataSourceReader):
             ]
         )
         rows, size = [], 0
-        for path, length in partition.paths:
+        for path, start, end in partition.ranges:
             with system.open_input_file(path) as file:
-                for row in read_archive(file, length, wanted, self.columns):
+                for row in read_archive(file, wanted, self.columns, start, end):
                     rows.append(row)
                     size += len(row.get("payload") or b"")
                     if len(rows) >= MOST_ROWS or size >= MOST_BYTES:
@@ -463,6 +572,18 @@ class WarcSource(DataSource):
         return WarcWriter(self.options)
 
 
+@contextmanager
+def pushed_filters(spark: SparkSession) -> Iterator[None]:
+    """Within it, filters of queries on a table with ``pushdown`` get to the reader."""
+    setting = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def read_warc(
     spark: SparkSession,
     path: str,
@@ -470,13 +591,12 @@ def read_warc(
     where: tuple[tuple, ...] = (),
     pushdown: bool = False,
 ) -> DataFrame:
-    """The records of all archives in the folder that satisfy each of ``where``.
+    """The records of all archives in the folder, and below it, that satisfy each of ``where``.
 
-    ``where`` holds (column, predicate, value), with a predicate of `PREDICATES`.
+    ``where`` holds (column, predicate, value), with a predicate of `PREDICATES`. A table with
+    ``pushdown`` is read within `pushed_filters`.
     """
     spark.dataSource.register(WarcSource)
-    if pushdown:
-        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return (
         spark.read.format("warc")
         .schema(SCHEMA if payload else HEADERS_ONLY)
