@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tillscope.llm import licences
+from tillscope.llm import licences, queries
 from tillscope.llm.licences import NAMES, SIMILAR, TEMPLATES, TERMS, scan_licences
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -161,6 +161,43 @@ def test_headers_and_licence_files(spark):
     assert got == {number: name for number, _, _, name in HEADERS}
 
 
+def test_query_with_inheritance(spark):
+    """The registered query; what it inherits is what its own licence files say."""
+    rows = queries.QUERIES["op4_licences"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == 1000
+    held = {}
+    for r in rows:
+        folder, _, name = r.path.rpartition("/")
+        if name.startswith("LICENSE") and r.own_licence:
+            held.setdefault(folder, []).append((-r.cosine, name, r.own_licence))
+    inherited = 0
+    for r in rows:
+        folder = r.path.rpartition("/")[0]
+        above = next((f for f in (folder, folder.rpartition("/")[0]) if f in held), None)
+        if r.own_licence:
+            assert (r.licence, r.licence_from) == (r.own_licence, None)
+        else:
+            expected = (min(held[above])[2], above) if above else (None, None)
+            assert (r.licence, r.licence_from) == expected
+            inherited += above is not None
+    assert inherited > 100 and len({f.count("/") for f in held}) == 2
+
+
+def test_a_root_over_many_directories_is_joined_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(licences, "PIECE_DIRECTORIES", 100)
+    rows = [("root", f"root/{k}") for k in range(1_000)] + [("other", "other/1"), ("none", "none")]
+    expanded = spark.createDataFrame(rows, "above string, directory string")
+    licensed = spark.createDataFrame(
+        [("root", "MIT"), ("other", "GPL-3.0"), ("lone", "MIT")], "above string, inherited string"
+    )
+    joined = licences._below_licensed(expanded, licensed)
+    assert "piece" in joined._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted(tuple(r) for r in joined.select("above", "directory", "inherited").collect())
+    assert got == sorted(
+        [(a, d, "MIT") for a, d in rows if a == "root"] + [("other", "other/1", "GPL-3.0")]
+    )
+
+
 def test_runs_against_brute_force():
     drawn = random.Random(4)
     idf = np.array([drawn.uniform(1, 6) for _ in licences.WORDS] + [7.0])

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tillscope.llm.lz import (
+    SLOTS,
     compare_with_next,
     edited_text,
     fingerprints,
@@ -62,22 +65,29 @@ def test_likeness_follows_the_share_of_phrases(texts):
         assert abs(exact - estimate) < 0.16
 
 
+def _likeness(one, other):
+    """Of two printed fingerprints: the share of slots that agree, of those either fills."""
+    pairs = [(one[k : k + 4], other[k : k + 4]) for k in range(0, 4 * SLOTS, 4)]
+    filled = [pair for pair in pairs if pair != ("0000", "0000")]
+    return sum(a == b for a, b in filled) / len(filled) if filled else 1.0
+
+
 def _expected(rows):
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     texts = [text or "" for _, text in rows]
     follows = texts[1:] + texts[:1]
     edits = [edited_text(a, b) for a, b in zip(texts, follows, strict=True)]
-    own, edited, after = _prints(texts), _prints(edits), _prints(follows)
+    own, edited, after = (printed(_prints(some)) for some in (texts, edits, follows))
     return [
         (row[0], len(text), hashlib.sha256(edit.encode()).hexdigest(), *rest)
         for row, text, edit, *rest in zip(
             rows,
             texts,
             edits,
-            printed(own),
-            printed(edited),
-            likeness(own, edited).tolist(),
-            likeness(own, after).tolist(),
+            own,
+            edited,
+            map(_likeness, own, edited),
+            map(_likeness, own, after),
             strict=True,
         )
     ]
@@ -105,6 +115,40 @@ def test_odd_rows(spark, odd, nothing):
     assert row.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
 
 
+@pytest.mark.parametrize("equal", [False, True])
+def test_rows_of_one_id_are_divided(spark, equal):
+    """Two thirds of the rows have no id; with other texts each, or mostly the same one."""
+    words = ["ab", "cd", "efg", "h"]
+    rows = [
+        (None, "same text" if equal and k % 5 else " ".join(words[k * j % 4] for j in range(1, 9)) + str(k))
+        for k in range(800)
+    ]
+    rows += [(7, f"seven {k % 3}") for k in range(100)] + [(k, f"text {k}") for k in range(20, 320)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    try:
+        result = compare_with_next(frame)
+        got = result.collect()
+        ranges = result.groupBy(F.spark_partition_id()).count().collect()
+        sizes = [row["count"] for row in ranges]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got) == len(rows) and max(sizes) < 3 * len(rows) / 16
+    # Order within an id is that of the hashes, as Spark has them.
+    hashed = frame.select("doc_id", "text", F.xxhash64("text").alias("hash")).collect()
+    ordered = [(r.doc_id, r.text) for r in sorted(
+        hashed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.hash)
+    )]
+    texts = [text for _, text in ordered]
+    follows = texts[1:] + texts[:1]
+    expected = Counter(
+        (k, len(a), hashlib.sha256(edited_text(a, b).encode()).hexdigest(), printed(_prints([a]))[0])
+        for (k, a), b in zip(ordered, follows, strict=True)
+    )
+    assert Counter(tuple(row)[:4] for row in got) == expected
+
+
 def test_quarters_differ():
     base = "".join(np.random.default_rng(1).choice(list("abcdefgh "), 3000))
     other = "".join(np.random.default_rng(2).choice(list("stuvwxyz "), 3000))

@@ -66,6 +66,15 @@ def test_a_hot_source_comes_near_its_target(spark):
         assert max(times) - min(times) <= 1
 
 
+def test_rows_without_an_id_or_of_one_id_are_drawn_one_by_one(spark):
+    rows = [(k if k % 2 else (None if k % 4 else -1), f"t{k} " + "w " * 20, "a") for k in range(600)]
+    rows += [(k, "w " * 11, "b") for k in range(1_000, 1_200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for source in "ab":
+        own = [row for row in mix_sources(frame).collect() if row.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 11
+
+
 def test_quality_decides_who_comes_early(spark):
     good = [(k, "w w w w", "a", 1.0) for k in range(1500)]
     bad = [(k, "w w w w", "a", 0.2) for k in range(1500, 3000)]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import os
 import zlib
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillscope.llm import quality
+from tillscope.llm import quality, queries
 from tillscope.llm.quality import (
     fit_model,
     good_documents,
@@ -87,6 +88,43 @@ def test_held_out_accuracy(tables, model):
     assert sum(clean) / len(clean) > 0.98
 
 
+def test_query_equals_brute_force(spark, tables, model):
+    """Every line's marginal by all labellings is another test; here the mean and the curve."""
+    documents, labels = tables
+    rows = queries.QUERIES["op10_quality"](spark, TABLES).collect()
+    assert sorted(rows[0].asDict()) == ["doc_id", "held_out", "predicted", "score"]
+    got = {r.doc_id: (r.held_out, r.score, r.predicted) for r in rows}
+    expected = {}
+    for r in documents.collect():
+        lines = _features(r.text or "")
+        marginals, _ = line_marginals(
+            lines.features @ model.weights, lines.counts, model.transitions
+        )
+        weights = [max(len(line), 1) for line in (r.text or "").encode().split(b"\n")]
+        quality = sum(m * w for m, w in zip(marginals, weights, strict=True)) / sum(weights)
+        score = 1 / (1 + math.exp(-(model.slope * quality + model.intercept)))
+        held = zlib.crc32(str(r.doc_id).encode()) % 4 == 2
+        expected[r.doc_id] = (held, pytest.approx(score, abs=1e-9), int(score >= 0.7))
+    assert got == expected
+
+
+def test_the_curve_is_fitted_on_whole_texts(spark):
+    """Long texts whose bad lines lie between the windows; the curve sees all of them."""
+    good = [f"The {k} word line goes on and on, as text does." for k in range(4_000)]
+    bad = [f"#### $$$ %%% {k} &&& !!!" for k in range(40)]
+    rows, labels = [], []
+    for k in range(120):
+        lines = list(good[k : k + 3_000])
+        if k % 2:
+            lines[100:100] = bad * 20
+        rows.append((k, "\n".join(lines)))
+        labels.append((k, 1 - k % 2))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    fitted = train(frame, spark.createDataFrame(labels, "doc_id long, quality int"))
+    scored = {r.id: r.score for r in score_documents(frame, fitted).collect()}
+    assert min(scored[k] for k in range(0, 120, 2)) > max(scored[k] for k in range(1, 120, 2))
+
+
 def test_labels_of_held_out_rows_are_not_learnt(tables, model):
     documents, labels = tables
     turned = labels.withColumn(

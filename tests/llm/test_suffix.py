@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from tillscope.llm.staging import in_blocks
 from tillscope.llm.suffix import LENGTH, remove_repeats
 from tillscope.llm.suffixsort import BlindTrie, as_words, deep_shallow_sort
 
@@ -112,6 +114,16 @@ def test_odd_rows(odd, nothing):
     assert remove_repeats(nothing).count() == 0
 
 
+def test_equal_rows_are_dealt_over_blocks(spark):
+    text = "the same passage of more than fifty bytes, again and again and again"
+    rows = [(None, text)] * 400 + [(3, f"{text} {k}") for k in range(5)] + [(9, "")] * 100
+    frame = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    sizes = in_blocks(frame, 40, 2_000).groupBy("block").count().agg(F.max("count")).first()[0]
+    assert sizes < 60
+    frame = frame.withColumnRenamed("id", "doc_id")
+    assert _got(frame, block_bytes=500) == brute_force(rows)
+
+
 def test_texts_are_shuffled_once(documents):
     plan = remove_repeats(documents)
     plan.collect()

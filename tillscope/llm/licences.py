@@ -127,6 +127,7 @@ for _name in sorted({*TEMPLATES, *BODIES}):
         HEADERS.append((_name, f"SPDX-License-Identifier: {_id}"))
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([._-].*)?$"
 SIMILAR = 0.8
+PIECE_DIRECTORIES = 100_000
 SAME = 0.95
 
 _TERM = np.zeros(256, dtype=bool)
@@ -415,6 +416,31 @@ def own_licences(files: DataFrame) -> DataFrame:
     )
 
 
+def _below_licensed(expanded: DataFrame, licensed: DataFrame) -> DataFrame:
+    """Directories with those above them that are licensed; joined in pieces.
+
+    A root has every directory below it, so directories that have many below are licensed in copies
+    and each piece of what is below gets one. Of such there are fewer than `PIECE_DIRECTORIES`
+    goes into the rows, which bounds their broadcast.
+    """
+    hot = (
+        expanded.groupBy("above")
+        .count()
+        .filter(F.col("count") > PIECE_DIRECTORIES)
+        .select("above", F.ceil(F.col("count") / PIECE_DIRECTORIES).alias("pieces"))
+    )
+    pieces = F.coalesce("pieces", F.lit(1).cast("long"))
+    dealt = expanded.join(F.broadcast(hot), "above", "left").select(
+        "above", "directory", F.pmod(F.xxhash64("directory"), pieces).alias("piece")
+    )
+    copies = licensed.join(F.broadcast(hot), "above", "left").select(
+        "above",
+        "inherited",
+        F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("piece"),
+    )
+    return dealt.join(copies, ["above", "piece"]).drop("piece")
+
+
 def scan_licences(files: DataFrame) -> DataFrame:
     """``files`` (id, path, text): own_licence, cosine, licence and licence_from of each.
 
@@ -442,12 +468,14 @@ def scan_licences(files: DataFrame) -> DataFrame:
             F.sequence(F.lit(0), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/")
         )
     )
-    nearest = (
+    expanded = (
         own.filter("own_licence is null and directory is not null")
         .select("directory")
         .distinct()
         .select("directory", above.alias("above"))
-        .join(licensed, "above")
+    )
+    nearest = (
+        _below_licensed(expanded, licensed)
         .groupBy("directory")
         .agg(F.max(F.struct(F.length("above").alias("depth"), "above", "inherited")).alias("n"))
         .select("directory", "n.above", "n.inherited")

@@ -14,8 +14,10 @@ known already. Rows that repeat an id come in the order of their texts' hashes.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,7 @@ SLOTS = 128
 _EMPTY = np.uint64(2**64 - 1)
 _WIDTH = np.uint64(2**64 // SLOTS)
 _ROUND_BYTES = 1 << 19
+_LEAST = -(2**63)
 
 
 def _parse(text: str, start: int, known: set[str]) -> list[int]:
@@ -65,7 +68,10 @@ def forked_ends(text: str, edited: str, same: int) -> tuple[list[int], list[int]
 
 
 def fingerprints(texts: list[str], phrases: list[list[int]]) -> np.ndarray:
-    """A row of `SLOTS` hashes for each text; an empty slot holds the largest hash."""
+    """A row of `SLOTS` integers of 16 bits for each text, 0 for an empty slot.
+
+    They are cut from the smallest hashes; two that differ are cut alike once in 65,535 times.
+    """
     slots = np.full(len(texts) * SLOTS, _EMPTY)
     points, starts = code_points(texts)
     if len(points):
@@ -79,7 +85,9 @@ def fingerprints(texts: list[str], phrases: list[list[int]]) -> np.ndarray:
         values = mix(points.astype(np.uint64) + np.uint64(1))
         hashes = substring_hashes(values, begins, ends)
         np.minimum.at(slots, row * SLOTS + (hashes // _WIDTH).astype(np.int64), hashes)
-    return slots.reshape(len(texts), SLOTS)
+    cut = np.uint64(1) + mix(slots) % np.uint64(2**16 - 1)
+    cut[slots == _EMPTY] = 0
+    return cut.astype(np.uint16).reshape(len(texts), SLOTS)
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -89,15 +97,14 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def likeness(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Row by row, the share of slots that agree among those that either text fills."""
-    filled = ((one != _EMPTY) | (other != _EMPTY)).sum(axis=1)
-    alike = ((one == other) & (one != _EMPTY)).sum(axis=1)
+    filled = ((one != 0) | (other != 0)).sum(axis=1)
+    alike = ((one == other) & (one != 0)).sum(axis=1)
     return np.where(filled > 0, alike / np.maximum(filled, 1), 1.0)
 
 
 def printed(slots: np.ndarray) -> list[str]:
-    """16 bits of every slot, in hexadecimal; equal texts have equal strings."""
-    short = (mix(slots) >> np.uint64(48)).astype(">u2")
-    return [row.tobytes().hex() for row in short]
+    """Four hexadecimal digits for every slot, in their order; likeness is that of these."""
+    return [row.tobytes().hex() for row in slots.astype(">u2")]
 
 
 def edited_text(text: str, following: str) -> str:
@@ -142,72 +149,147 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _range_of(firsts: list[int]):
-    bounds = np.array(firsts)
+class _Ranges(NamedTuple):
+    """Where ranges of rows begin, in the order of (id, hash, salt).
+
+    ``firsts`` has (id, hash) of the row that each range begins with, where those are known;
+    else it is the row of the smallest hash with the id. ``before`` is the range of rows before.
+    """
 
-    @F.pandas_udf("part int, first boolean")
-    def place(ids: pd.Series) -> pd.DataFrame:
-        part = np.searchsorted(bounds, ids, "right") - 1
-        return pd.DataFrame({"part": part, "first": bounds[part] == ids})
+    starts: list[tuple[int, int, int]]
+    firsts: list[tuple[int, int] | None] | None
+    before: list[int]
+
+
+def _range_of(ranges: _Ranges):
+    starts = np.array(ranges.starts, dtype=np.int64)
+    before = np.array(ranges.before)
+
+    def part_of(keys: np.ndarray) -> np.ndarray:
+        every = np.concatenate((starts, keys))
+        is_key = np.arange(len(every)) >= len(starts)
+        order = np.lexsort((is_key, *every.T[::-1]))
+        part = np.empty(len(every), dtype=np.int64)
+        part[order] = np.cumsum(~is_key[order]) - 1
+        return part[len(starts) :]
+
+    @F.pandas_udf("part int, guest_of int")
+    def place(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        sent: set[int] = set()
+        for ids, hashes, salts in batches:
+            keys = np.stack([ids.to_numpy(), hashes.to_numpy(), salts.to_numpy()], axis=1)
+            part = part_of(keys)
+            if ranges.firsts is None:
+                guest = starts[part, 0] == keys[:, 0]
+            else:
+                firsts = np.array([first or (0, 0) for first in ranges.firsts], dtype=np.int64)
+                guest = (firsts[part] == keys[:, :2]).all(axis=1)
+                # Equal in id and hash are equal rows, of which any is the successor.
+                at = np.flatnonzero(guest)
+                once = at[np.unique(part[at], return_index=True)[1]]
+                guest[:] = False
+                guest[[k for k in once if part[k] not in sent]] = True
+                sent.update(part[once].tolist())
+            yield pd.DataFrame({"part": part, "guest_of": np.where(guest, before[part], -1)})
 
     return place
 
 
+def _even(pieces: int) -> list[int]:
+    """Where the pieces of all 64-bit integers begin, but for the first."""
+    return [-(2**63) + k * 2**64 // pieces for k in range(1, pieces)]
+
+
+def _ranges(rows: DataFrame, parts: int) -> _Ranges:
+    """At most some rows per partition come to the driver."""
+    cuts = rows.agg(
+        F.min("id").alias("least"),
+        F.count("*").alias("rows"),
+        F.percentile_approx("id", [k / parts for k in range(1, parts)] or [0.5], 20 * parts).alias(
+            "bounds"
+        ),
+    ).first()
+    if cuts.least is None:
+        return _Ranges([(0, _LEAST, _LEAST)], None, [0])
+    times = Counter(cuts.bounds if parts > 1 else [])
+    starts = {(k, _LEAST, _LEAST) for k in (cuts.least, *times)}
+    hot = [k for k, n in times.items() if n > 1]
+    if not hot:
+        return _with_neighbours(sorted(starts), None)
+    # An id of several ranges is divided by the hashes of its texts, and rows that are equal in
+    # both, if they would still be much of a range, by a salt.
+    starts |= {(k, at, _LEAST) for k in hot for at in _even(times[k])}
+    heavy = (
+        rows.filter(F.col("id").isin(hot))
+        .groupBy("id", "hash")
+        .count()
+        .filter(F.col("count") > cuts.rows // parts)
+        .collect()
+    )
+    for row in heavy:
+        pieces = 1 + row["count"] * parts // cuts.rows
+        starts |= {(row.id, row.hash, at) for at in (_LEAST, *_even(pieces))}
+        if row.hash < 2**63 - 1:
+            starts.add((row.id, row.hash + 1, _LEAST))
+    ordered = sorted(starts)
+    place = _range_of(_Ranges(ordered, None, [0] * len(ordered)))
+    found = (
+        rows.select("id", "hash", place("id", "hash", "salt")["part"].alias("part"))
+        .groupBy("part")
+        .agg(F.min(F.struct("id", "hash")).alias("first"))
+        .collect()
+    )
+    firsts = {row["part"]: tuple(row["first"]) for row in found}
+    return _with_neighbours(ordered, [firsts.get(k) for k in range(len(ordered))])
+
+
+def _with_neighbours(
+    starts: list[tuple[int, int, int]], firsts: list[tuple[int, int] | None] | None
+) -> _Ranges:
+    """The range before each, of those that have rows; before the first of all is the last."""
+    used = [k for k in range(len(starts)) if firsts is None or firsts[k] is not None]
+    before = [0] * len(starts)
+    for at, k in enumerate(used):
+        before[k] = used[at - 1]
+    return _Ranges(starts, firsts, before)
+
+
 def compare_with_next(
     documents: DataFrame, row_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Each row's fingerprint, that of its edited text, and their likeness.
 
     Rows are dealt by ranges of ids, whose bounds are quantiles of the ids, so the texts are
-    shuffled once. The row that a range begins with goes to the range before it too; the
+    shuffled once. An id that would be several ranges, as the null can be, is divided. The row that
+    a range begins with goes to the range before it too; the
     first of all goes to the last range. Every range is read in the order of ids with
     only some rows at hand. Integer ids; a null id is below all others.
     """
     spark = documents.sparkSession
     rows = documents.select(
-        F.coalesce(F.col(row_id).cast("long"), F.lit(-(2**63))).alias("id"),
+        F.coalesce(F.col(row_id).cast("long"), F.lit(_LEAST)).alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
+    ).withColumns(
+        {"hash": F.xxhash64("text"), "salt": F.xxhash64(F.monotonically_increasing_id())}
     )
-    parts = shuffle_partitions(spark)
-    # At most one id per partition comes to the driver.
-    cuts = rows.agg(
-        F.min("id").alias("least"),
-        F.percentile_approx("id", [k / parts for k in range(1, parts)] or 0.5, 20 * parts).alias(
-            "bounds"
-        ),
-    ).first()
-    if cuts.least is None:
-        firsts = [0]
-    else:
-        bounds = cuts.bounds if isinstance(cuts.bounds, list) else [cuts.bounds]
-        firsts = sorted({cuts.least, *bounds}) if parts > 1 else [cuts.least]
-    placed = rows.withColumn("place", _range_of(firsts)("id")).select(
-        "id",
-        "text",
-        F.explode(
-            F.when(
-                F.col("place.first"),
-                F.array(
-                    F.struct(F.col("place.part").alias("part"), F.lit(0).alias("guest")),
-                    F.struct(
-                        F.pmod(F.col("place.part") - 1, F.lit(len(firsts))).alias("part"),
-                        F.lit(1).alias("guest"),
-                    ),
-                ),
-            ).otherwise(
-                F.array(F.struct(F.col("place.part").alias("part"), F.lit(0).alias("guest")))
-            )
-        ).alias("at"),
-    ).select("id", "text", "at.part", "at.guest")
-    ordered = placed.repartitionById(len(firsts), F.col("part")).sortWithinPartitions(
-        "guest", "id", F.xxhash64("text")
+    ranges = _ranges(rows, shuffle_partitions(spark))
+    own = F.struct(F.col("place.part").alias("part"), F.lit(0).alias("guest"))
+    guest = F.struct(F.col("place.guest_of").alias("part"), F.lit(1).alias("guest"))
+    both = F.when(F.col("place.guest_of") >= 0, F.array(own, guest)).otherwise(F.array(own))
+    placed = (
+        rows.withColumn("place", _range_of(ranges)("id", "hash", "salt"))
+        .select("id", "text", "hash", F.explode(both).alias("at"))
+        .select("id", "text", "hash", "at.part", "at.guest")
+    )
+    ordered = placed.repartitionById(len(ranges.starts), F.col("part")).sortWithinPartitions(
+        "guest", "id", "hash"
     )
     compared = ordered.select("id", "text", "guest").mapInArrow(
         _without_extra_guests,
         "id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double",
     )
-    return compared.withColumn("id", F.when(F.col("id") != F.lit(-(2**63)), F.col("id")))
+    return compared.withColumn("id", F.when(F.col("id") != F.lit(_LEAST), F.col("id")))
 
 
 def _without_extra_guests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

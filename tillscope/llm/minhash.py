@@ -6,9 +6,11 @@ evaluations; minimum and maximum agree between two sets with the probability of
 their Jaccard similarity each. The values are banded in 32 bands of 4. Equal sets are one class from the
 start, so copies never meet each other. In a band's bucket of several classes every class is
 compared with one centre, which gives as many pairs as there are members, and similarity is
-confirmed on the full sets.
+confirmed on the full sets. Buckets that are then in several components get a few more centres,
+chosen by a hash; in a crowd of near copies, which are similar to many others and not to all, that
+joins nearly all of them.
 
-What is then not in one component is searched exactly, in a join by prefixes: sets in their order of
+What is then still not in one component is searched exactly, in a join by prefixes: sets in their order of
 rarest shingles first can only be similar if they share one of the first quarter; of the smaller
 set the first seventh or so is enough. That join takes the sets of buckets that are still in
 several components, and all sets of up to `SMALL` shingles, so that no link among those depends
@@ -47,9 +49,10 @@ PERMUTATIONS = 64
 BANDS = 32
 ROWS = 2 * PERMUTATIONS // BANDS
 SIMILAR = 75  # per cent
+MORE_CENTRES = 4
 SMALL = 16  # shingles
 MOST_SLOTS = 1 << 27
-MOST_COUNTERS = 1 << 22
+MOST_COUNTERS = 1 << 20
 _KEYS = ["n_shingles", "key1", "key2"]
 
 _RANDOM = np.random.Generator(np.random.PCG64(75))
@@ -278,16 +281,46 @@ def prefix_pairs(sets: DataFrame) -> DataFrame:
     )
 
 
-def _still_apart(buckets: DataFrame, components: DataFrame) -> DataFrame:
-    """Numbers of the classes in buckets of several components, with their components."""
-    rows = _in_components(buckets.select("number", "band"), components)
+def _still_apart(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """Of the rows (band, number) those in buckets of several components, with their component."""
+    rows = _in_components(rows.select("band", "number"), components)
     several = (
         rows.groupBy("band")
         .agg(F.min("component").alias("least"), F.max("component").alias("most"))
         .filter("least < most")
         .select("band")
     )
-    return rows.join(own_shuffle(several), "band", "left_semi").select("number").distinct()
+    return rows.join(own_shuffle(several), "band")
+
+
+def _more_pairs(apart: DataFrame) -> DataFrame:
+    """Each row with a few others of its bucket, unless they are of one component."""
+    drawn = [
+        F.min(F.struct(F.xxhash64("number", "band", F.lit(k)), "number", "component"))
+        for k in range(MORE_CENTRES)
+    ]
+    centres = apart.groupBy("band").agg(F.array(*drawn).alias("centres"))
+    others = F.filter("centres", lambda c: c["component"] != F.col("component"))
+    return (
+        apart.join(own_shuffle(centres), "band")
+        .select("number", F.explode(F.transform(others, lambda c: c["number"])).alias("other"))
+        .select(F.least("number", "other").alias("a"), F.greatest("number", "other").alias("b"))
+        .distinct()
+    )
+
+
+def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further links (a, b) between their members."""
+    named = _in_components(links.withColumnRenamed("a", "number"), components)
+    named = named.select(F.col("component").alias("a"), F.col("b").alias("number"))
+    named = _in_components(named, components).select("a", F.col("component").alias("b"))
+    further = connected_components(named)
+    above = further.select(F.col("node").alias("component"), F.col("component").alias("above"))
+    known = components.join(above, "component", "left").select(
+        "node", F.coalesce("above", "component").alias("component")
+    )
+    # A class that had no link so far has no row yet.
+    return known.unionByName(further.join(components.select("node"), "node", "left_anti"))
 
 
 def _found_components(classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -316,27 +349,20 @@ def _found_components(classes: DataFrame, texts: DataFrame) -> DataFrame:
         .distinct()
     )
     components = connected_components(_confirmed(centres, sets))
+    apart = staged(_still_apart(buckets, components), "apart", narrow=True)
+    components = _joined(components, _confirmed(_more_pairs(apart), sets))
+    components = staged(components, "components", narrow=True)
+    apart = _still_apart(apart, components).select("number").distinct()
     few = classes.filter(F.size("small") > 0).select("number", F.col("small").alias("shingles"))
-    apart = _still_apart(buckets, components)
     open_sets = (
         sets.filter(F.size("shingles") > SMALL)
         .join(apart, "number", "left_semi")
         .unionByName(few)
     )
     open_sets = staged(_in_components(open_sets, components), "open-sets")
-    links = _confirmed(prefix_pairs(open_sets), open_sets)
-    named = _in_components(links.withColumnRenamed("a", "number"), components)
-    named = named.select(F.col("component").alias("a"), F.col("b").alias("number"))
-    named = _in_components(named, components).select("a", F.col("component").alias("b"))
-    further = connected_components(named)
+    components = _joined(components, _confirmed(prefix_pairs(open_sets), open_sets))
     release(buckets, sets)
-    joined = further.select(F.col("node").alias("component"), F.col("component").alias("further"))
-    linked = components.join(joined, "component", "left").select(
-        "node", F.coalesce("further", "component").alias("component")
-    )
-    # A component of the second round can be a class that had no link in the first one.
-    fresh = further.join(components.select("node"), "node", "left_anti")
-    return linked.unionByName(fresh)
+    return components
 
 
 def near_duplicates(

@@ -13,8 +13,8 @@ the budget ends is found from these sums, and only that bucket is put in order.
 remains per source is one limit, so choosing documents is a filter.
 
 Defined cases: a null text has size 0; a null source is a source, the last one; a source
-of size 0 has target 0; an empty table gives an empty mix. Rows that are equal in id,
-size and key are taken together or not at all.
+of size 0 has target 0; an empty table gives an empty mix. Rows of one id, or without any, are
+drawn each by its own text; rows that are equal in id and text are taken together or not at all.
 """
 
 from __future__ import annotations
@@ -44,9 +44,13 @@ def text_quality(text: Column, size: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + away)
 
 
-def exponential_key(row_id: Column, quality: Column) -> Column:
-    """-ln(u) / quality, with u in (0, 1) from the id alone, so that reruns agree."""
-    digest = F.md5(F.coalesce(row_id.cast("string"), F.lit("")).cast("binary"))
+def exponential_key(row_id: Column, text: Column, quality: Column) -> Column:
+    """-ln(u) / quality, with u in (0, 1) from id and text, so that reruns agree.
+
+    From both, for ids can be null or be repeated, and such rows would be drawn all alike.
+    """
+    named = [F.coalesce(c.cast("string"), F.lit("")) for c in (row_id, text)]
+    digest = F.md5(F.concat(named[0], F.lit(":"), named[1]).cast("binary"))
     drawn = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
     u = (drawn + F.lit(0.5)) / F.lit(float(2**52))
     return -F.log(u) / quality
@@ -124,7 +128,8 @@ def sized_documents(
         (quality if quality is not None else F.lit(None).cast("double")).alias("given"),
     )
     weight = F.coalesce(F.col("given"), text_quality(F.col("text"), F.col("size")))
-    keyed = sized.select("id", "source", "size", exponential_key(F.col("id"), weight).alias("key"))
+    key = exponential_key(F.col("id"), F.col("text"), weight)
+    keyed = sized.select("id", "source", "size", key.alias("key"))
     return keyed.withColumn("bucket", F.floor(F.log("key") * BUCKETS_PER_UNIT))
 
 
@@ -208,7 +213,10 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
     again = (
         whole.withColumn("size", size)
         .withColumn(
-            "key", exponential_key(F.col("doc_id"), text_quality(F.col("text"), F.col("size")))
+            "key",
+            exponential_key(
+                F.col("doc_id"), F.col("text"), text_quality(F.col("text"), F.col("size"))
+            ),
         )
         .select(
             "row",

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.staging import shuffle_partitions
+from tillscope.llm.staging import in_blocks, shuffle_partitions
 from tillscope.llm.textblocks import LOWER, SPACE, blocks, spread_starts
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -42,7 +42,6 @@ SEQUENCE = 4096
 GROUP_BYTES = 4 << 20
 GROUPS_PER_TASK = 16
 HOT_BYTES = 16 * GROUP_BYTES
-ROW_BYTES = 64
 # Of a piece of n tokens: n + n * n / QUADRATIC. For a model of width 2,048 the scores
 # cost as much as all else at about six times the width.
 QUADRATIC = 12_288
@@ -334,21 +333,9 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id and offset."""
     rows = documents.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("id", "text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bins = 1 + total // GROUP_BYTES
-    # Equal rows have one key. Where theirs would be more than a group, they are dealt one by one;
-    # of such keys there are fewer than HOT_BYTES goes into the total.
-    hot = (
-        rows.groupBy("key")
-        .agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).alias("bytes"))
-        .filter(F.col("bytes") > HOT_BYTES)
-        .select("key", F.lit(True).alias("hot"))
-    )
-    salt = F.when(F.col("hot"), F.monotonically_increasing_id()).otherwise(F.lit(0).cast("long"))
-    dealt = rows.join(F.broadcast(hot), "key", "left").select(
-        "id", "text", F.pmod(F.xxhash64("key", salt), F.lit(bins)).alias("bin")
-    )
+    dealt = in_blocks(rows, bins, HOT_BYTES).withColumnRenamed("block", "bin")
     kind = rows.schema["id"].dataType.simpleString()
     # Half the bytes to shuffle where the vocabulary allows it.
     width = "<u2" if encoder(vocabulary).largest_id < 1 << 16 else "<u4"
@@ -356,10 +343,12 @@ def pack_documents(
         _tokenize(vocabulary, width),
         f"id {kind}, bin bigint, doc_tokens bigint, whole_sums array<bigint>, rest binary",
     )
-    tasks = max(shuffle_partitions(rows.sparkSession), bins // GROUPS_PER_TASK)
+    # Each task gets as many groups as any other, by number and not by hash.
+    tasks = max(min(bins, shuffle_partitions(rows.sparkSession)), bins // GROUPS_PER_TASK)
     return (
-        tokens.repartition(tasks, "bin")
-        .groupBy("bin")
+        tokens.withColumn("task", F.pmod("bin", F.lit(tasks)).cast("int"))
+        .repartitionById(tasks, F.col("task"))
+        .groupBy("task", "bin")
         .applyInArrow(
             lambda group: _pack(group, width),
             f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "

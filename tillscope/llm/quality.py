@@ -9,9 +9,9 @@ The labels are of documents. A document labelled good has good lines only; in on
 bad all lines count as bad at first, in a fit of lines without their chain, and then
 those that the last fit finds bad, the worst of them at least.
 
-Fitted on at most `TRAIN_DOCUMENTS` labelled rows, those of the smallest id hashes, of
-which a long one gives at most `TRAIN_WINDOWS` windows of `WINDOW_LINES` lines. Scores
-are of whole texts.
+Fitted on at most `TRAIN_DOCUMENTS` labelled rows, those of the smallest id hashes. Of a long
+one the chain learns from `TRAIN_WINDOWS` windows of `WINDOW_LINES` lines, spread evenly over
+it; the curve learns from the quality of whole texts, which tasks compute. Scores are of whole texts.
 
 Defined cases: a null text is empty, and an empty text has one empty line; without labels
 of both kinds every score is the share of good labels, or a half without any;
@@ -37,8 +37,8 @@ from tillscope.llm.textblocks import (
     words,
 )
 
-TRAIN_DOCUMENTS = 4_000
-TRAIN_WINDOWS = 2
+TRAIN_DOCUMENTS = 5_000
+TRAIN_WINDOWS = 8
 WINDOW_LINES = 64
 FITS = 3
 # Chains of a block advance together, so a larger block has fewer steps.
@@ -253,7 +253,11 @@ def fit_model(lines: Lines, labels: np.ndarray) -> Model:
         )
         worst = np.repeat(np.minimum.reduceat(marginals, starts), lines.counts)
         targets = np.where((of_line == GOOD) | ((marginals > 0.5) & (marginals > worst)), 1, 0)
-    slope, intercept = _fit_curve(document_quality(lines, model), labels)
+    return with_curve(model, document_quality(lines, model), labels)
+
+
+def with_curve(model: Model, qualities: np.ndarray, labels: np.ndarray) -> Model:
+    slope, intercept = _fit_curve(qualities, labels)
     return model._replace(slope=slope, intercept=intercept)
 
 
@@ -276,6 +280,17 @@ def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                 )
 
 
+def _whole_qualities(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text", BLOCK_BYTES):
+            found = document_quality(line_features(block.data, block.starts), model)
+            yield pa.RecordBatch.from_arrays(
+                [block.rows.column("label"), pa.array(found)], names=["label", "quality"]
+            )
+
+    return run
+
+
 def held_out(row_id: Column) -> Column:
     """Rows whose labels are never learnt from."""
     return F.coalesce(F.crc32(row_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -307,7 +322,16 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality") -> Mo
         np.concatenate([np.zeros(0, np.int64), *lengths]),
         np.array([len(x) for x in lengths], dtype=np.int64),
     )
-    return fit_model(lines, np.array([r.label for r in rows], dtype=np.int64))
+    model = fit_model(lines, np.array([r.label for r in rows], dtype=np.int64))
+    if not model.slope:  # labels of one kind
+        return model
+    whole = (
+        sample.select("text", "label")
+        .mapInArrow(_whole_qualities(model), "label int, quality double")
+        .collect()
+    )
+    whole.sort()
+    return with_curve(model, np.array([r.quality for r in whole]), np.array([r.label for r in whole]))
 
 
 def scores(data: np.ndarray, starts: np.ndarray, model: Model) -> np.ndarray:

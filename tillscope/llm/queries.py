@@ -70,17 +70,16 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents have no paths, so every one gets a path by rule.
 
-    A source is a tree of shelves of 400 documents, in folders of 20. A folder's first
-    document is its licence file, and a shelf's first that of the whole shelf.
+    A source is a tree of shelves of 400 documents, in folders of 20. A document that speaks of
+    a licence is a licence file of its folder, and each fourth of those one of the whole shelf.
     """
     number = F.col("doc_id")
     shelf = F.concat(F.col("source"), F.lit("/"), F.floor(number / 400))
     folder = F.concat(shelf, F.lit("/"), F.floor(number / 20))
-    path = (
-        F.when(number % 400 == 0, F.concat(shelf, F.lit("/LICENSE")))
-        .when(number % 20 == 0, F.concat(folder, F.lit("/LICENSE")))
-        .otherwise(F.concat(folder, F.lit("/"), number, F.lit(".txt")))
-    )
+    place = F.when(number % 4 == 0, shelf).otherwise(folder)
+    path = F.when(
+        F.col("text").rlike("(?i)licen[cs]ed? "), F.concat(place, F.lit("/LICENSE."), number)
+    ).otherwise(F.concat(folder, F.lit("/"), number, F.lit(".txt")))
     files = _table(spark, sf_dir, "documents").select(
         number.alias("id"), path.alias("path"), "text"
     )
@@ -271,7 +270,8 @@ WITH sized AS (
   FROM documents),
 keyed AS (
   SELECT doc_id, source, size,
-         -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
+         -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')
+               || ':' || coalesce(text, '')), 1, 13) AS BIGINT)
               + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
          / (1.0::DOUBLE / (1.0::DOUBLE
             + abs(coalesce(length(text)::DOUBLE / greatest(size, 1), 0) - 6.0::DOUBLE)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +13,13 @@ from pyspark.sql import functions as F
 
 from tillscope.scratch import remove_folders, scratch_folder
 
-TASKS_PER_CORE = 2
+TASKS_PER_CORE = 4
+ROW_BYTES = 64
 # Once a table is written, the shuffle files it was made from serve nobody.
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _settings = threading.Lock()
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def staged(table: DataFrame, label: str, narrow: bool = False) -> DataFrame:
@@ -34,12 +39,28 @@ def staged(table: DataFrame, label: str, narrow: bool = False) -> DataFrame:
             table.write.parquet(path)
         finally:
             spark.conf.set(_CLEAN_UP, before)
+    if (made := _made.get()) is not None:
+        made.append(path)
     # The schema is known, so nothing has to be inferred from files that an empty table lacks.
     written = spark.read.schema(table.schema).parquet(path)
     _folders[written] = path
     return written
 
 
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables that are staged within it are removed at its end, but for those in the list."""
+    made: list[str] = []
+    kept: list[DataFrame] = []
+    token = _made.set(made)
+    try:
+        yield kept
+    finally:
+        _made.reset(token)
+        left = {_folders[table] for table in kept}
+        remove_folders(spark, *(path for path in made if path not in left))
+
+
 def release(*tables: DataFrame) -> None:
     """Remove the folders of staged tables that nothing will read any more."""
     for table in tables:
@@ -55,6 +76,26 @@ def own_shuffle(aggregate: DataFrame) -> DataFrame:
     return aggregate.hint("rebalance")
 
 
+def in_blocks(rows: DataFrame, blocks: int, hot_bytes: int) -> DataFrame:
+    """The rows (id, text) with the number of one of so many blocks, by id and text.
+
+    Equal rows would all be in one block. Where those of one id and text have more than
+    ``hot_bytes``, they are dealt one by one. There are fewer such keys than ``hot_bytes`` goes
+    into the table, which bounds their broadcast.
+    """
+    keyed = rows.withColumn("key", F.xxhash64("id", "text"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES
+    hot = (
+        keyed.groupBy("key")
+        .agg(F.sum(size).alias("bytes"))
+        .filter(F.col("bytes") > hot_bytes)
+        .select("key", F.lit(True).alias("hot"))
+    )
+    one = F.when(F.col("hot"), F.monotonically_increasing_id()).otherwise(F.lit(0).cast("long"))
+    dealt = keyed.join(F.broadcast(hot), "key", "left")
+    return dealt.select(*rows.columns, F.pmod(F.xxhash64("key", one), F.lit(blocks)).alias("block"))
+
+
 def rows_with_names(documents: DataFrame) -> tuple[DataFrame, list[str]]:
     """The documents with columns c0, c1, ... and two more, which tell each row from all others.
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.staging import shuffle_partitions
+from tillscope.llm.staging import in_blocks, shuffle_partitions
 from tillscope.llm.suffixsort import as_words, deep_shallow_sort
 from tillscope.llm.textblocks import byte_values, mix, substring_hashes, text_bytes
 
@@ -41,6 +41,7 @@ LENGTH = 50
 GRAM = 24
 WINDOW = LENGTH - GRAM + 1  # grams of a window
 BLOCK_BYTES = 8 << 20
+HOT_BLOCKS = 4
 HOT_SURROUNDINGS = 100_000
 _CHUNK = 1 << 18
 _SHALLOW = GRAM // 8
@@ -510,7 +511,7 @@ def remove_repeats(
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1 + total // block_bytes, shuffle_partitions(documents.sparkSession))
-    blocks = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(parts)))
+    blocks = in_blocks(rows, parts, HOT_BLOCKS * block_bytes)
     by_block = blocks.groupBy("block")
     grams = by_block.applyInArrow(
         _report_grams(parts), "part bigint, block bigint, grams array<int>, counts array<int>"
