@@ -16,7 +16,7 @@ from tillscope.llm.minhash import without_near_duplicates
 from tillscope.llm.mixing import mixed_documents
 from tillscope.llm.packing import pack_documents
 from tillscope.llm.quality import good_documents, train
-from tillscope.llm.staging import staged
+from tillscope.llm.staging import release, scratch_tables, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -28,12 +28,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document of the largest doc_id stays."""
+    """Of equal texts one document of the largest doc_id stays."""
     return without_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates the document of the smallest doc_id stays."""
+    """Of near-duplicates one document of the smallest doc_id stays."""
     return without_near_duplicates(docs)
 
 
@@ -60,8 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's result over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's result over ``documents``; other tables that were written are removed."""
+    documents = docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        before = docs
+        with scratch_tables(spark) as kept:
+            docs = staged(stage(spark, before, sf_dir), name)
+            kept.append(docs)
+        if before is not documents:
+            release(before)
     return docs
