@@ -149,6 +149,17 @@ def test_large_hour_of_unknown_size_is_cut(spark, tmp_path):
     assert len(glob.glob(f"{path}/Timestamp=hot/part-*.csv")) > 1
 
 
+def test_an_hour_of_equal_rows_is_cut(spark, tmp_path):
+    row = tuple(f"v{k}" for k in range(len(CATALOGUE.names)))
+    catalogue = spark.createDataFrame([row], CATALOGUE).crossJoin(spark.range(0, 40_000, 1, 1))
+    catalogue = catalogue.drop("id").withColumn("Timestamp", F.lit("hot"))
+    path = str(tmp_path / "saved")
+    save_catalogue(catalogue, path, rows_per_piece=10_000)
+    assert load_catalogue(spark, path).count() == 40_000
+    sizes = [sum(1 for _ in open(file)) for file in glob.glob(f"{path}/Timestamp=hot/part-*.csv")]
+    assert len(sizes) > 2 and max(sizes) < 30_000
+
+
 def test_saving_replaces_all_hours_in_any_overwrite_mode(spark, tmp_path):
     path = str(tmp_path / "saved")
     save_catalogue(lines(spark, {"a": 1}), path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.operators.spread import ROWS_PER_PIECE
+from tillscope.operators.spread import ROWS_PER_PIECE, numbered
 from tillscope.scratch import remove_folders, scratch_folder
 from tillscope.schemas import CATALOGUE
 from tillscope.sinks.by_hour import hour_counts, in_hour_tasks, with_hour_task
@@ -16,19 +16,17 @@ def save_catalogue(
 ) -> None:
     """Replace the catalogue at ``path``, whatever hours it had.
 
-    The hours are counted first, in a pass of its own, so an hour with much of the data is
-    written by several tasks. Rows are dealt by content and by the task that they come
-    from, which is the same if that task is run again; their order need not be.
+    Its rows are written once as they come and read back by position. So it is computed
+    once, its hours are counted in one column of that table, and an hour with
+    much of the data is written by several tasks even where its rows are all equal.
     """
     spark = catalogue.sparkSession
     rows = catalogue.select(*CATALOGUE.names)
-    folder = scratch_folder(spark, "hours")
-    hour_counts(rows, "Timestamp").write.parquet(folder)
-    counts = spark.read.schema("Hour string, HourRows bigint").parquet(folder)
-    position = F.xxhash64(*CATALOGUE.names, F.spark_partition_id())
-    placed, tasks = with_hour_task(
-        rows.withColumn("RowPosition", position), "Timestamp", counts, rows_per_piece
-    )
+    folder = scratch_folder(spark, "catalogue-rows")
+    rows.write.parquet(folder)
+    written = numbered(spark.read.schema(rows.schema).parquet(folder))
+    counts = hour_counts(written, "Timestamp")
+    placed, tasks = with_hour_task(written, "Timestamp", counts, rows_per_piece)
     write_catalogue(in_hour_tasks(placed, tasks), path)
     remove_folders(spark, folder)
 
