@@ -293,10 +293,19 @@ src AS (
               ELSE concat(CAST(value AS VARCHAR), '$') END AS p
   FROM events),
 kinds AS (
-  SELECT *, CASE event_type WHEN 'purchase' THEN 'Purchase' WHEN 'click' THEN 'AddToCart'
-                            WHEN 'view' THEN 'ProductView' END AS Kind FROM src
+  SELECT src.* REPLACE (ProductId + 7 * n AS ProductId),
+         CAST(n + 1 AS BIGINT) AS Quantity, 'Purchase' AS Kind
+  FROM src JOIN range(8) AS item(n)
+    ON n < CASE WHEN event_id % 37 = 0 THEN 0 WHEN event_id % 5 = 0 THEN 1 + event_id % 8
+                ELSE 1 END
+  WHERE event_type = 'purchase'
   UNION ALL
-  SELECT *, CASE event_type WHEN 'click' THEN 'ProductView' ELSE 'AddToCart' END AS Kind
+  SELECT *, NULL AS Quantity,
+         CASE event_type WHEN 'click' THEN 'AddToCart' ELSE 'ProductView' END AS Kind
+  FROM src WHERE event_type IN ('click', 'view')
+  UNION ALL
+  SELECT *, NULL AS Quantity,
+         CASE event_type WHEN 'click' THEN 'ProductView' ELSE 'AddToCart' END AS Kind
   FROM src WHERE event_id % 11 = 0),
 ev AS (
   SELECT event_id, CustomerId, ProductId,
@@ -304,7 +313,8 @@ ev AS (
          CASE WHEN contains(Source, 'desk') THEN 'Desk'
               WHEN contains(Source, 'tablet') THEN 'Tablet'
               ELSE 'Mobile' END AS Channel,
-         CAST(CASE WHEN p = 'n/a' THEN 0 ELSE CAST(rtrim(p, '$') AS FLOAT) END AS DOUBLE) AS Price
+         CAST(CASE WHEN p = 'n/a' THEN 0 ELSE CAST(rtrim(p, '$') AS FLOAT) END AS DOUBLE) AS Price,
+         Quantity
   FROM kinds),
 cat AS (
   SELECT ev.Kind, ev.CustomerId, ev.ProductId, ev.Timestamp, City, State, ZipCode,
@@ -352,7 +362,7 @@ def oracle_sql() -> dict[str, str]:
     tails = {
         "customers_clean": "SELECT * FROM cust",
         "products": "SELECT * FROM prod",
-        "purchase_events": _events_sql("Purchase", ", CAST(1 AS BIGINT) AS Quantity"),
+        "purchase_events": _events_sql("Purchase", ", Quantity"),
         "cart_events": _events_sql("AddToCart"),
         "view_events": _events_sql("ProductView"),
         "price_parse": _ODD_PRICES,

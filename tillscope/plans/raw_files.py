@@ -2,7 +2,7 @@
 
 The files hold what the rules are about: customers and products that are missing or listed
 twice, events without a customer, records of two kinds, long zip codes, categories with
-outer spaces, and baskets of many items. Which rows those are follows from their ids.
+outer spaces, and baskets of many items and of none. Which rows those are follows from their ids.
 """
 
 from __future__ import annotations
@@ -140,7 +140,17 @@ def _listings(number: Column, missing: int, twice: int) -> Column:
 def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     product = F.from_json("props", "k INT")["k"].cast("string").alias("ProductId")
     item = F.struct(product, price_text().alias("Price"))
-    basket_item = F.struct(product, price_text().alias("Price"), F.lit(1).alias("Quantity"))
+    # Most baskets have one item, each fifth up to eight, and some none.
+    number = F.col("event_id")
+    items = F.when(number % 37 == 0, 0).when(number % 5 == 0, 1 + number % 8).otherwise(1)
+    basket = F.transform(
+        F.filter(F.array(*map(F.lit, range(8))), lambda n: n < items),
+        lambda n: F.struct(
+            (F.from_json("props", "k INT")["k"] + 7 * n).cast("string").alias("ProductId"),
+            price_text().alias("Price"),
+            (n + 1).alias("Quantity"),
+        ),
+    )
 
     # Each eleventh record carries a cart too, or a view beside a cart.
     second = F.when(F.col("event_id") % 11 == 0, F.lit("AddToCart"))
@@ -157,7 +167,7 @@ def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_id") % 29 > 0, F.col("user_id").cast("string")).alias("CustomerId"),
         _source_name(F.col("event_id")).alias("Source"),
         F.struct(
-            member("Purchase", F.array(basket_item)),
+            member("Purchase", basket),
             member("AddToCart", item),
             member("ProductView", item),
         ).alias("EventType"),
