@@ -18,6 +18,8 @@ ROW_BYTES = 64
 # Once a table is written, the shuffle files it was made from serve nobody.
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _settings = threading.Lock()
+_writing: list[None] = []
+_before: list[str] = []
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
@@ -32,13 +34,8 @@ def staged(table: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     path = scratch_folder(spark, label)
     if narrow:
         table = table.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
-    with _settings:
-        before = spark.conf.get(_CLEAN_UP, "false")
-        spark.conf.set(_CLEAN_UP, "true")
-        try:
-            table.write.parquet(path)
-        finally:
-            spark.conf.set(_CLEAN_UP, before)
+    with _clean_up(spark):
+        table.write.parquet(path)
     if (made := _made.get()) is not None:
         made.append(path)
     # The schema is known, so nothing has to be inferred from files that an empty table lacks.
@@ -47,6 +44,23 @@ def staged(table: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     return written
 
 
+@contextmanager
+def _clean_up(spark: SparkSession) -> Iterator[None]:
+    """The setting holds while any thread writes, and is put back by the last of them."""
+    with _settings:
+        if not _writing:
+            _before[:] = [spark.conf.get(_CLEAN_UP, "false")]
+            spark.conf.set(_CLEAN_UP, "true")
+        _writing.append(None)
+    try:
+        yield
+    finally:
+        with _settings:
+            _writing.pop()
+            if not _writing:
+                spark.conf.set(_CLEAN_UP, _before[0])
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[list[DataFrame]]:
     """Tables that are staged within it are removed at its end, but for those in the list."""
