@@ -17,8 +17,6 @@ from tillscope.scratch import scratch_folder
 from tillscope.schemas import PRODUCT, RAW_CUSTOMER, RAW_EVENT
 from tillscope.sources import load_customers, load_events, load_products
 
-BASKET_SIZE = 8
-
 # Which kind of event each type of the events table stands for.
 _KIND_TYPES = {"Purchase": "purchase", "AddToCart": "click", "ProductView": "view"}
 
@@ -210,25 +208,18 @@ def odd_price_text() -> Column:
 
 
 def _basket_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as purchase records, up to `BASKET_SIZE` items in a basket.
+    """Order lines as purchase records, an order's lines of one part of the table in a basket.
 
-    An order with more lines than that has several baskets, so that no group
-    grows with the data.
+    So an order has as many baskets as parts that it stands in, and no basket grows with the data.
     """
-    basket = F.floor(F.monotonically_increasing_id() / BASKET_SIZE)
+    basket = F.spark_partition_id()
     item = F.struct(
         F.col("l_partkey").cast("string").alias("ProductId"),
         F.col("l_extendedprice").cast("string").alias("Price"),
         F.col("l_quantity").cast("long").alias("Quantity"),
     )
-    # Sorted by every column: rows that tie are equal, so a task that is run again
-    # puts the same items into the same baskets.
-    columns = ("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity")
-    lines = (
-        _table(spark, sf_dir, "lineitem")
-        .select(*columns)
-        .sortWithinPartitions(*columns)
-        .select("l_orderkey", basket.alias("basket"), item.alias("item"))
+    lines = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", basket.alias("basket"), item.alias("item")
     )
     kinds = F.struct(
         F.col("items").alias("Purchase"),
