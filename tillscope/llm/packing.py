@@ -45,10 +45,9 @@ HOT_BYTES = 16 * GROUP_BYTES
 # Of a piece of n tokens: n + n * n / QUADRATIC. For a model of width 2,048 the scores
 # cost as much as all else at about six times the width.
 QUADRATIC = 12_288
-_KNOWN_PARTS = 600_000
+_KNOWN_PARTS = 400_000
 _LONGEST_KNOWN = 48
 _LINE = 200
-_BLOCK_BYTES = 2 << 20
 
 _encoders: dict[str, tuple] = {}
 
@@ -188,7 +187,7 @@ def _tokenize(vocabulary: str, width: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).texts
-        for block in blocks(batches, "text", _BLOCK_BYTES):
+        for block in blocks(batches, "text"):
             ids, bounds = encode(block.data, block.starts, end)
             sums, rests = [], []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

@@ -69,7 +69,7 @@ def blocks(
 
 
 class _Powers:
-    """Powers of the base and of its inverse, as many as the longest block so far needs."""
+    """Powers of the base and of its inverse, as many as a block of the usual size needs."""
 
     up = np.ones(1, dtype=np.uint64)
     down = np.ones(1, dtype=np.uint64)
@@ -80,7 +80,7 @@ class _Powers:
             up, down = np.full(n, _BASE), np.full(n, _BASE_INVERSE)
             up[0] = down[0] = 1
             made = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-            if n > 4 * BLOCK_BYTES:  # a very long text; its table isn't kept
+            if n > BLOCK_BYTES + 1:  # a larger block or a long text; workers keep no such table
                 return made
             cls.up, cls.down = made
         return cls.up, cls.down
