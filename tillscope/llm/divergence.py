@@ -12,7 +12,9 @@ floor((p - q)^2 / (p + q)).
 
 For the comparison of sources with each other only the terms that one of the two has are looked at: all
 others of the V terms add the same amount. Terms are dealt over pieces of bounded size, and a
-piece returns one sum for each two sources, whatever its number of terms.
+piece returns one sum for each two sources, whatever its number of terms. The result has a row for
+each two sources of a language, so a language has some thousand sources at most, and what is held of them
+at once (their totals, and one sum for each two) is less than that result.
 
 Defined cases: null texts, languages and sources are empty strings; a row is a document,
 whether or not it repeats an id; a language without kept terms has value 0 for each two of its
