@@ -46,12 +46,10 @@ def parse_price(price: Column) -> Column:
     """
     has_sign = F.endswith(price, F.lit("$"))
     bare = F.when(has_sign, F.left(price, F.length(price) - 1)).otherwise(price)
+    number = bare.try_cast("float")
+    # The cast takes these words in any case, and a short form too. Digits can be endless as well.
+    endless = F.isnan(number) | (F.abs(number) == F.lit(float("inf")).cast("float"))
     word = F.trim(bare)
-    # The cast takes these words in any case, and a short form too.
-    other_spelling = word.rlike("(?i)^[+-]?(nan|inf|infinity)$") & ~word.rlike(
-        "^[+-]?(NaN|Infinity)$"
-    )
+    other_spelling = word.rlike("^[+-]?[a-zA-Z]") & ~word.rlike("^[+-]?(NaN|Infinity)$")
     unreadable = F.lit(0.0).cast("float")
-    return F.when(other_spelling, unreadable).otherwise(
-        F.coalesce(bare.try_cast("float"), unreadable)
-    )
+    return F.when(endless & other_spelling, unreadable).otherwise(F.coalesce(number, unreadable))
