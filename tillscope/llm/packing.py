@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.staging import in_blocks, shuffle_partitions
+from tillscope.llm.staging import by_number, in_blocks, shuffle_partitions
 from tillscope.llm.textblocks import LOWER, SPACE, blocks, spread_starts
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -342,15 +342,9 @@ def pack_documents(
         _tokenize(vocabulary, width),
         f"id {kind}, bin bigint, doc_tokens bigint, whole_sums array<bigint>, rest binary",
     )
-    # Each task gets as many groups as any other, by number and not by hash.
     tasks = max(min(bins, shuffle_partitions(rows.sparkSession)), bins // GROUPS_PER_TASK)
-    return (
-        tokens.withColumn("task", F.pmod("bin", F.lit(tasks)).cast("int"))
-        .repartitionById(tasks, F.col("task"))
-        .groupBy("task", "bin")
-        .applyInArrow(
-            lambda group: _pack(group, width),
-            f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-            "sequence_id bigint, offset bigint",
-        )
+    return by_number(tokens, "bin", tasks).applyInArrow(
+        lambda group: _pack(group, width),
+        f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+        "sequence_id bigint, offset bigint",
     )

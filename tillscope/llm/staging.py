@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.scratch import remove_folders, scratch_folder
@@ -110,6 +110,15 @@ def in_blocks(rows: DataFrame, blocks: int, hot_bytes: int) -> DataFrame:
     return dealt.select(*rows.columns, F.pmod(F.xxhash64("key", one), F.lit(blocks)).alias("block"))
 
 
+def by_number(table: DataFrame, column: str, tasks: int) -> GroupedData:
+    """Groups of a number's rows, in as many tasks, each with as many numbers as any other.
+
+    Dealt by the number itself: by its hash some tasks would have several numbers and some none.
+    """
+    dealt = table.withColumn("task", F.pmod(column, F.lit(tasks)).cast("int"))
+    return dealt.repartitionById(tasks, F.col("task")).groupBy("task", column)
+
+
 def rows_with_names(documents: DataFrame) -> tuple[DataFrame, list[str]]:
     """The documents with columns c0, c1, ... and two more, which tell each row from all others.
 

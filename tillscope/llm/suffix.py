@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.staging import in_blocks, shuffle_partitions
+from tillscope.llm.staging import by_number, in_blocks, shuffle_partitions
 from tillscope.llm.suffixsort import as_words, deep_shallow_sort
 from tillscope.llm.textblocks import byte_values, mix, substring_hashes, text_bytes
 
@@ -42,6 +42,7 @@ GRAM = 24
 WINDOW = LENGTH - GRAM + 1  # grams of a window
 BLOCK_BYTES = 8 << 20
 HOT_BLOCKS = 4
+BLOCKS_PER_TASK = 16
 HOT_SURROUNDINGS = 100_000
 _CHUNK = 1 << 18
 _SHALLOW = GRAM // 8
@@ -512,22 +513,23 @@ def remove_repeats(
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1 + total // block_bytes, shuffle_partitions(documents.sparkSession))
     blocks = in_blocks(rows, parts, HOT_BLOCKS * block_bytes)
-    by_block = blocks.groupBy("block")
+    tasks = max(min(parts, shuffle_partitions(documents.sparkSession)), parts // BLOCKS_PER_TASK)
+    by_block = by_number(blocks, "block", tasks)
     grams = by_block.applyInArrow(
         _report_grams(parts), "part bigint, block bigint, grams array<int>, counts array<int>"
     )
-    shared = grams.groupBy("part").applyInArrow(
+    shared = by_number(grams, "part", tasks).applyInArrow(
         _shared_grams(hot), "block bigint, keys array<bigint>, divided array<boolean>"
     )
-    surroundings = by_block.cogroup(shared.groupBy("block")).applyInArrow(
+    surroundings = by_block.cogroup(by_number(shared, "block", tasks)).applyInArrow(
         _surroundings(parts),
         "part bigint, block bigint, grams array<int>, ids array<bigint>, lefts array<tinyint>, "
         "lengths array<tinyint>, several array<boolean>, content binary",
     )
-    removals = surroundings.groupBy("part").applyInArrow(
+    removals = by_number(surroundings, "part", tasks).applyInArrow(
         _compare, "block bigint, keys array<bigint>, firsts array<bigint>, masks array<int>"
     )
-    kept = by_block.cogroup(removals.groupBy("block")).applyInArrow(
+    kept = by_block.cogroup(by_number(removals, "block", tasks)).applyInArrow(
         _remove, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     )
     return kept.withColumn("id", F.when(F.col("id") != F.lit(_NO_ID), F.col("id")))
