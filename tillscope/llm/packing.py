@@ -45,7 +45,7 @@ HOT_BYTES = 16 * GROUP_BYTES
 # Of a piece of n tokens: n + n * n / QUADRATIC. For a model of width 2,048 the scores
 # cost as much as all else at about six times the width.
 QUADRATIC = 12_288
-_KNOWN_PARTS = 400_000
+_KNOWN_PARTS = 300_000
 _LONGEST_KNOWN = 48
 _LINE = 200
 

@@ -66,6 +66,9 @@ def blocks(
                 starts[first : last + 1] - starts[first],
             )
             first = last
+        del batch, data
+    # Idle workers would hold what their last task needed.
+    pa.default_memory_pool().release_unused()
 
 
 class _Powers:
