@@ -56,7 +56,7 @@ def _lowered(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def _with_shared(rows: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+def _with_shared(rows: DataFrame, text: Column) -> tuple[DataFrame, DataFrame]:
     """The rows with length and beginning of their text, and those that several rows have."""
     beginning = F.xxhash64(_lowered(F.substring(text, 1, PREFIX_CHARS)))
     rows = rows.withColumns({"n_bytes": F.octet_length(text), "beginning": beginning})
@@ -86,7 +86,7 @@ def exact_groups(
     rows = documents.select(
         F.col(row_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    rows, classes = _with_shared(rows, "text")
+    rows, classes = _with_shared(rows, F.col("text"))
     hashed = (
         rows.join(own_shuffle(classes), _HEAD, "left")
         .select("id", "text", F.coalesce("shared", F.lit(False)).alias("shared"))
@@ -131,12 +131,12 @@ def without_exact_copies(documents: DataFrame) -> DataFrame:
     columns = [f"c{k}" for k in range(len(documents.columns))]
     row_id, text = (columns[documents.columns.index(name)] for name in ("doc_id", "text"))
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows, classes = _with_shared(documents.toDF(*columns).withColumn("whole", whole), "whole")
+    rows, classes = _with_shared(documents.toDF(*columns), whole)
     marked = rows.join(own_shuffle(classes), _HEAD, "left")
     numbered = staged(
         marked.select(
             *columns,
-            F.when(F.col("shared"), F.sha2(_lowered(F.col("whole")), 256)).alias("digest"),
+            F.when(F.col("shared"), F.sha2(_lowered(whole), 256)).alias("digest"),
             F.monotonically_increasing_id().alias("number"),
         ),
         "exact-rows",
